@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,17 +45,24 @@ def left_lookup(
     return _split_hot_keys(fact, side, on, hot_share)
 
 
+def hot_keys(fact: DataFrame, on: Sequence[str], hot_share: float = HOT_SHARE) -> DataFrame:
+    """Keys above the given share of the rows that have a complete key.
+
+    At most ``1 / hot_share`` keys, whatever the size of the fact.
+    """
+    complete = reduce(and_, [F.col(c).isNotNull() for c in on])
+    per_key = fact.where(complete).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    threshold = per_key.agg(F.sum("_n") * F.lit(hot_share)).scalar()
+    return per_key.where(F.col("_n") > threshold).select(*on)
+
+
 def _split_hot_keys(
     fact: DataFrame, side: DataFrame, on: list[str], hot_share: float
 ) -> DataFrame:
     extra = [c for c in side.columns if c not in on]
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
-
-    per_key = fact.where(complete).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    threshold = per_key.agg(F.sum("_n") * F.lit(hot_share)).scalar()
-    hot_keys = per_key.where(F.col("_n") > threshold).select(*on)
-    hot_rows = side.join(F.broadcast(hot_keys), on, "left_semi")
-    hot_side = hot_keys.join(hot_rows, on, "left").withColumn("_hot", F.lit(True))
+    keys = hot_keys(fact, on, hot_share)
+    hot_rows = side.join(F.broadcast(keys), on, "left_semi")
+    hot_side = keys.join(hot_rows, on, "left").withColumn("_hot", F.lit(True))
 
     marked = fact.join(F.broadcast(hot_side), on, "left")
     # A row with a missing key matches nothing, so it need not be shuffled either.

@@ -85,6 +85,9 @@ class Workspace(Testbed):
         """Additive parts, kept as a table: all three levels read them."""
         return as_written_table(additive_parts(self.silver_pupils), "parts")
 
+    # The country and the states are read again by the levels below them, and the
+    # comparison reads an indicator twice.  Like the pipeline, such tables are kept.
+
     @cached_property
     def country(self) -> DataFrame:
         return gold.indicator_country(self.parts, self.silver_goals, MODEL)
@@ -92,28 +95,39 @@ class Workspace(Testbed):
     @cached_property
     def state(self) -> DataFrame:
         return gold.indicator_state(
-            self.silver_state, self.parts, self.silver_goals, self.country, MODEL
+            self.silver_state, self.parts, self.silver_goals, self.kept_country, MODEL
         )
 
     @cached_property
     def municipality(self) -> DataFrame:
         return gold.indicator_municipality(
-            self.silver_municipality, self.parts, self.silver_goals, self.state,
-            self.country, MODEL,
+            self.silver_municipality, self.parts, self.silver_goals, self.kept_state,
+            self.kept_country, MODEL,
         )
 
+    @cached_property
+    def kept_country(self) -> DataFrame:
+        return as_written_table(self.country, "indicador_brasil")
+
+    @cached_property
+    def kept_state(self) -> DataFrame:
+        return as_written_table(self.state, "indicador_uf")
+
     def comparison(self, level) -> DataFrame:
-        return gold.goal_comparison(self._indicator(level), self.silver_goals, level)
+        indicator = {
+            MUNICIPALITY.scope: lambda: as_written_table(self.municipality, "indicador"),
+            STATE.scope: lambda: self.kept_state,
+            COUNTRY.scope: lambda: self.country,
+        }[level.scope]()
+        return gold.goal_comparison(indicator, self.silver_goals, level)
 
     def evolution(self, level) -> DataFrame:
-        return gold.evolution(self._indicator(level), self.silver_goals, level, MODEL)
-
-    def _indicator(self, level) -> DataFrame:
-        return {
+        indicator = {
             MUNICIPALITY.scope: lambda: self.municipality,
             STATE.scope: lambda: self.state,
             COUNTRY.scope: lambda: self.country,
         }[level.scope]()
+        return gold.evolution(indicator, self.silver_goals, level, MODEL)
 
     def features(self, bucket) -> DataFrame:
         return gold.pupil_features(
@@ -122,6 +136,7 @@ class Workspace(Testbed):
         )
 
 
+BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -130,8 +145,9 @@ def query(name: str):
 
     def register(build: Callable[[Workspace], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(Workspace(spark, folder.rstrip("/"))).drop("processed_at")
+            return BUILDERS[name](Workspace(spark, folder.rstrip("/")))
 
+        BUILDERS[name] = lambda workspace: build(workspace).drop("processed_at")
         QUERIES[name] = run
         return build
 

@@ -19,6 +19,7 @@ def local_session(cores: str = "8", app: str = "lettera", **extra: str) -> Spark
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in extra.items():
         builder = builder.config(key, value)

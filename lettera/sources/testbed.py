@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettera.functions import weighted_rate
@@ -47,6 +47,14 @@ _DICTIONARY = [
 ]
 
 
+# Ingredients of a pupil record, as SQL over line items.
+_NETWORK = "CASE l_returnflag WHEN 'A' THEN 2 WHEN 'N' THEN 3 ELSE 4 END"
+_GRADE = "IF(l_linestatus = 'F', 2, 5)"
+_FLAG = "IF(l_linenumber <> 7, CAST(l_discount >= 0.05 AS INT), NULL)"
+_WEIGHT = "IF(l_suppkey % 10 <> 0, l_quantity, NULL)"
+_LEVEL = "LEAST(CAST(ROUND(l_discount * 100) AS INT), 8)"
+
+
 class Testbed:
     """Bronze tables made from the tables in one folder."""
 
@@ -55,48 +63,30 @@ class Testbed:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # -- pupils ------------------------------------------------------------------------
 
-    @staticmethod
-    def _network() -> Column:
-        flag = F.col("l_returnflag")
-        return F.when(flag == "A", 2).when(flag == "N", 3).otherwise(4)
-
-    @staticmethod
-    def _grade() -> Column:
-        return F.when(F.col("l_linestatus") == "F", 2).otherwise(5)
-
-    @staticmethod
-    def _flag() -> Column:
-        return F.when(
-            F.col("l_linenumber") != 7, (F.col("l_discount") >= 0.05).cast("int")
-        )
-
-    @staticmethod
-    def _weight() -> Column:
-        return F.when(F.col("l_suppkey") % 10 != 0, F.col("l_quantity"))
-
     def pupils(self) -> DataFrame:
         """Bronze ``alunos``."""
-        return self.table("lineitem").select(
-            F.year("l_shipdate").alias("ano"),
-            F.concat(F.lit(" "), F.col("l_suppkey"), F.lit(" ")).alias("id_municipio"),
-            F.concat(F.col("l_partkey"), F.lit(" ")).alias("id_escola"),
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-            .alias("id_aluno"),
-            F.col("l_linenumber").cast("string").alias("caderno"),
-            self._grade().cast("string").alias("serie"),
-            F.concat(F.lit(" "), self._network().cast("string")).alias("rede"),
-            (F.col("l_tax") >= 0.01).cast("int").cast("string").alias("presenca"),
-            (F.col("l_tax") >= 0.04).cast("int").cast("string")
-            .alias("preenchimento_caderno"),
-            self._flag().cast("string").alias("alfabetizado"),
-            F.col("l_extendedprice").alias("proficiencia"),
-            self._weight().alias("peso_aluno"),
+        return self.table("lineitem").selectExpr(
+            "YEAR(l_shipdate) AS ano",
+            "CONCAT(' ', l_suppkey, ' ') AS id_municipio",
+            "CONCAT(l_partkey, ' ') AS id_escola",
+            "CONCAT_WS('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id_aluno",
+            "CAST(l_linenumber AS STRING) AS caderno",
+            f"CAST({_GRADE} AS STRING) AS serie",
+            f"CONCAT(' ', {_NETWORK}) AS rede",
+            "CAST(CAST(l_tax >= 0.01 AS INT) AS STRING) AS presenca",
+            "CAST(CAST(l_tax >= 0.04 AS INT) AS STRING) AS preenchimento_caderno",
+            f"CAST({_FLAG} AS STRING) AS alfabetizado",
+            "l_extendedprice AS proficiencia",
+            f"{_WEIGHT} AS peso_aluno",
         )
 
     # -- published rates ---------------------------------------------------------------
@@ -107,120 +97,99 @@ class Testbed:
 
         Written once, because both published tables and their composite networks need it.
         """
-        flag, weight = self._flag(), self._weight()
-        level = F.least(F.round(F.col("l_discount") * 100).cast("int"), F.lit(8))
-        parts = (
-            self.table("lineitem")
-            .groupBy(
-                "l_suppkey",
-                F.year("l_shipdate").alias("ano"),
-                self._grade().alias("serie"),
-                self._network().alias("rede"),
-            )
-            .agg(
-                F.sum(flag * weight).alias("soma_ponderada"),
-                F.sum(F.when(flag.isNotNull(), weight)).alias("soma_pesos"),
-                F.sum(flag.cast("double")).alias("soma_alfabetizados"),
-                F.count(flag).alias("qtd_alunos"),
-                F.count(F.lit(1)).alias("linhas"),
-                F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint"))
-                .alias("centavos"),
-                *[F.count_if(level == n).alias(f"nivel_{n}") for n in LEVELS],
-            )
+        lines = self.table("lineitem").selectExpr(
+            "l_suppkey",
+            "YEAR(l_shipdate) AS ano",
+            f"{_GRADE} AS serie",
+            f"{_NETWORK} AS rede",
+            f"{_FLAG} AS alfabetizado",
+            f"{_WEIGHT} AS peso_aluno",
+            "CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS centavos",
+            f"{_LEVEL} AS nivel",
+        )
+        keys = ["l_suppkey", "ano", "serie", "rede"]
+        parts = lines.groupBy(*keys).agg(
+            F.expr("SUM(alfabetizado * peso_aluno) AS soma_ponderada"),
+            F.expr("SUM(IF(alfabetizado IS NOT NULL, peso_aluno, NULL)) AS soma_pesos"),
+            F.expr("SUM(CAST(alfabetizado AS DOUBLE)) AS soma_alfabetizados"),
+            F.expr("COUNT(alfabetizado) AS qtd_alunos"),
+            F.expr("COUNT(*) AS linhas"),
+            F.expr("SUM(centavos) AS centavos"),
+            *[F.expr(f"COUNT_IF(nivel = {n}) AS nivel_{n}") for n in LEVELS],
         )
         return as_written_table(parts, "published-parts")
 
-    def _published(self, parts: DataFrame, key: str) -> DataFrame:
+    def _published(self, parts: DataFrame, key: str, shown_key: str) -> DataFrame:
         sums = [*PARTS, "linhas", "centavos", *[f"nivel_{n}" for n in LEVELS]]
         summed = (
             into_network_groups(parts, MODEL)
             .groupBy(key, "ano", "serie", "rede")
-            .agg(*[F.sum(c).alias(c) for c in sums])
+            .agg(*[F.expr(f"SUM({c}) AS {c}") for c in sums])
         )
         return summed.select(
             "ano",
-            key,
-            F.col("serie").cast("string").alias("serie"),
-            F.col("rede").cast("string").alias("rede"),
+            F.expr(shown_key),
+            F.expr("CAST(serie AS STRING) AS serie"),
+            F.expr("CAST(rede AS STRING) AS rede"),
             weighted_rate(*[F.col(c) for c in PARTS]).alias("taxa_alfabetizacao"),
-            (F.col("centavos") / F.col("linhas") / F.lit(100.0)).alias("media_portugues"),
+            F.expr("centavos / linhas / 100D AS media_portugues"),
             *[
-                (F.lit(100.0) * F.col(f"nivel_{n}") / F.col("linhas"))
-                .alias(f"proporcao_aluno_nivel_{n}")
+                F.expr(f"100D * nivel_{n} / linhas AS proporcao_aluno_nivel_{n}")
                 for n in LEVELS
             ],
         )
 
     def published_municipalities(self) -> DataFrame:
         """Bronze ``municipio``."""
-        published = self._published(self._published_parts, "l_suppkey")
-        return published.withColumn(
-            "l_suppkey", F.concat(F.col("l_suppkey"), F.lit(" "))
-        ).withColumnRenamed("l_suppkey", "id_municipio")
+        return self._published(
+            self._published_parts, "l_suppkey", "CONCAT(l_suppkey, ' ') AS id_municipio"
+        )
 
     def published_states(self) -> DataFrame:
         """Bronze ``uf``."""
-        by_nation = self._published_parts.join(
-            self.table("supplier").select(
-                F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey")
-            ),
-            "l_suppkey",
-        )
-        published = self._published(by_nation, "n_nationkey")
-        return published.join(F.broadcast(self._nation_names()), "n_nationkey").drop(
-            "n_nationkey"
+        nations = self.table("supplier").selectExpr("s_suppkey AS l_suppkey", "s_nationkey")
+        by_nation = (
+            self._published_parts.join(nations, "l_suppkey")
+            .join(F.broadcast(self._nation_names()), "s_nationkey")
         )
+        return self._published(by_nation, "sigla_uf", "sigla_uf")
 
     def _nation_names(self) -> DataFrame:
         """Nations are 25 at every scale."""
-        return self.table("nation").select(
-            "n_nationkey",
-            F.concat(F.lit(" "), F.lower("n_name"), F.lit(" ")).alias("sigla_uf"),
+        return self.table("nation").selectExpr(
+            "n_nationkey AS s_nationkey", "CONCAT(' ', LOWER(n_name), ' ') AS sigla_uf"
         )
 
     # -- dimensions --------------------------------------------------------------------
 
     def localities(self) -> DataFrame:
         """Bronze ``municipio_ibge``: some municipalities are missing, one is there twice."""
-        places = (
+        copies = "EXPLODE(IF(s_suppkey = 1, ARRAY('', ' (copia)'), ARRAY(''))) AS copia"
+        return (
             self.table("supplier")
-            .where(F.col("s_suppkey") % 20 != 19)
-            .join(
-                F.broadcast(self._nation_names()),
-                F.col("s_nationkey") == F.col("n_nationkey"),
-            )
-            .select(
-                F.concat(F.lit(" "), F.col("s_suppkey")).alias("id_municipio"),
-                F.col("s_name").alias("nome_municipio"),
+            .where("s_suppkey % 20 <> 19")
+            .join(F.broadcast(self._nation_names()), "s_nationkey")
+            .selectExpr("s_suppkey", "s_name", "sigla_uf", copies)
+            .selectExpr(
+                "CONCAT(' ', s_suppkey) AS id_municipio",
+                "CONCAT(s_name, copia) AS nome_municipio",
                 "sigla_uf",
             )
         )
-        again = F.when(
-            F.trim("id_municipio") == "1", F.array(F.lit(""), F.lit(" (copia)"))
-        ).otherwise(F.array(F.lit("")))
-        return places.withColumn("_suffix", F.explode(again)).select(
-            "id_municipio",
-            F.concat("nome_municipio", "_suffix").alias("nome_municipio"),
-            "sigla_uf",
-        )
 
     def locality_documents(self) -> DataFrame:
         """Localities as nested JSON text."""
-        place = F.struct(
-            F.col("s_suppkey").alias("id"),
-            F.col("s_name").alias("nome"),
-            F.struct(
-                F.struct(F.struct(F.col("n_name").alias("sigla")).alias("UF"))
-                .alias("mesorregiao")
-            ).alias("microrregiao"),
-        )
         return (
             self.table("supplier")
             .join(
                 F.broadcast(self.table("nation")),
                 F.col("s_nationkey") == F.col("n_nationkey"),
             )
-            .select(F.to_json(place).alias("value"))
+            .selectExpr(
+                "TO_JSON(NAMED_STRUCT('id', s_suppkey, 'nome', s_name, 'microrregiao', "
+                "NAMED_STRUCT('mesorregiao', NAMED_STRUCT('UF', "
+                "NAMED_STRUCT('sigla', n_name))))) AS value"
+            )
         )
 
     def dictionary(self) -> DataFrame:
@@ -234,91 +203,77 @@ class Testbed:
     # -- goals -------------------------------------------------------------------------
 
     @staticmethod
-    def _wide_goals(places: DataFrame, base: Column, key: list[Column], text: Column):
-        years = F.array(*[F.lit(y) for y in PUBLICATION_YEARS])
-        published = F.col("ano")
-        goals = [
-            F.when(
-                published <= y, base + 3 * (y - 1995) + (published - 1998) * 0.5
-            ).alias(f"{GOAL_PREFIX}{y}")
-            for y in GOAL_YEARS
-        ]
-        return places.withColumn("ano", F.explode(years)).select(
+    def _wide_goals(places: DataFrame, base: str, key: list[str], text: str) -> DataFrame:
+        years = ", ".join(str(y) for y in PUBLICATION_YEARS)
+        return places.selectExpr(
+            "*", f"{base} AS _base", f"EXPLODE(ARRAY({years})) AS ano"
+        ).selectExpr(
             "ano",
             *key,
-            text.alias("rede"),
-            base.cast("double").alias("taxa_alfabetizacao"),
-            *goals,
-            (base + 40).cast("double").alias("percentual_participacao"),
+            f"{text} AS rede",
+            "CAST(_base AS DOUBLE) AS taxa_alfabetizacao",
+            *[
+                f"IF(ano <= {y}, CAST(_base + 3 * ({y} - 1995) + (ano - 1998) * 0.5D "
+                f"AS DOUBLE), NULL) AS {GOAL_PREFIX}{y}"
+                for y in GOAL_YEARS
+            ],
+            "CAST(_base + 40 AS DOUBLE) AS percentual_participacao",
         )
 
     def goals_municipalities(self) -> DataFrame:
         """Bronze ``meta_alfabetizacao_municipio``."""
-        key = F.col("s_suppkey")
-        text = F.when(key % 25 == 24, "Outra").otherwise(" Municipal ")
         return self._wide_goals(
             self.table("supplier"),
-            40 + key % 15,
-            [F.concat(F.lit(" "), key).alias("id_municipio")],
-            text,
-        ).withColumn("nivel_alfabetizacao", F.lit(1))
+            "40 + s_suppkey % 15",
+            ["CONCAT(' ', s_suppkey) AS id_municipio", "1 AS nivel_alfabetizacao"],
+            "IF(s_suppkey % 25 = 24, 'Outra', ' Municipal ')",
+        )
 
     def goals_states(self) -> DataFrame:
         """Bronze ``meta_alfabetizacao_uf``."""
         return self._wide_goals(
             self.table("nation"),
-            40 + F.col("n_nationkey") % 15,
-            [F.concat(F.lower("n_name"), F.lit(" ")).alias("sigla_uf")],
-            F.lit("Pública"),
+            "40 + n_nationkey % 15",
+            ["CONCAT(LOWER(n_name), ' ') AS sigla_uf"],
+            "'Pública'",
         )
 
     def goals_country(self) -> DataFrame:
         """Bronze ``meta_alfabetizacao_brasil``."""
         country = self.table("nation").agg(F.max("n_nationkey").alias("_last"))
-        return self._wide_goals(country, 40 + F.col("_last") % 15, [], F.lit("Pública"))
+        return self._wide_goals(country, "40 + _last % 15", [], "'Pública'")
 
     # -- events ------------------------------------------------------------------------
 
     def goal_events(self) -> DataFrame:
         """Events as JSON envelopes of every shape, good and bad (``event_id``, ``value``)."""
-        year = (1998 + F.col("event_id") % 4).cast("int")
-        goals = [
-            x
+        year = "CAST(1998 + event_id % 4 AS INT)"
+        goals = ", ".join(
+            f"'{GOAL_PREFIX}{y}', IF({year} < {y}, CAST(value + {y} - 1995 AS STRING), NULL)"
             for y in GOAL_YEARS
-            for x in (
-                F.lit(f"{GOAL_PREFIX}{y}"),
-                F.when(year < y, (F.col("value") + y - 1995).cast("string")),
-            )
-        ]
-        goal_map = F.map_filter(F.create_map(*goals), lambda _, v: v.isNotNull())
-        network = F.when(F.col("event_type") == "view", " Municipal").when(
-            F.col("event_type") == "error", "Outra"
-        ).otherwise("Pública")
-        head = F.create_map(
-            F.lit("ano"), year.cast("string"),
-            F.lit("rede"), network,
-            F.lit("taxa_alfabetizacao"), F.col("value").cast("string"),
         )
-        goal = F.to_json(F.map_concat(head, goal_map))
-        shape = F.col("user_id") % 9
-
-        def around(before: str, after: str) -> Column:
-            return F.concat(F.lit(before), F.col("_goal"), F.lit(after))
-
-        listed = around('{"metas":[', "]}")
-        envelope = (
-            F.when(shape == 0, around('{"version":"0","detail":{"detail":[', "]}}"))
-            .when(shape == 1, listed)
-            .when(shape == 2, around('{"metas":', "}"))
-            .when(shape == 3, F.col("_goal"))
-            .when(shape == 4, around('{"version":"0","detail":[', "]}"))
-            .when(shape == 5, F.to_json(F.struct(listed.alias("body"))))
-            .when(shape == 6, F.lit("{}"))
-            .when(shape == 7, F.lit('{"metas":"nada"}'))
-            .otherwise(F.lit('{"metas":[]}'))
+        network = (
+            "CASE event_type WHEN 'view' THEN ' Municipal' WHEN 'error' THEN 'Outra' "
+            "ELSE 'Pública' END"
+        )
+        goal = (
+            f"TO_JSON(MAP_FILTER(MAP('ano', CAST({year} AS STRING), 'rede', {network}, "
+            f"'taxa_alfabetizacao', CAST(value AS STRING), {goals}), "
+            "(k, v) -> v IS NOT NULL)) AS _goal"
         )
+        listed = """CONCAT('{"metas":[', _goal, ']}')"""
+        envelope = f"""CASE user_id % 9
+            WHEN 0 THEN CONCAT('{{"version":"0","detail":{{"detail":[', _goal, ']}}}}')
+            WHEN 1 THEN {listed}
+            WHEN 2 THEN CONCAT('{{"metas":', _goal, '}}')
+            WHEN 3 THEN _goal
+            WHEN 4 THEN CONCAT('{{"version":"0","detail":[', _goal, ']}}')
+            WHEN 5 THEN TO_JSON(NAMED_STRUCT('body', {listed}))
+            WHEN 6 THEN '{{}}'
+            WHEN 7 THEN '{{"metas":"nada"}}'
+            ELSE '{{"metas":[]}}' END AS value"""
         return (
             self.table("events")
-            .withColumn("_goal", goal)
-            .select("event_id", envelope.alias("value"))
+            .selectExpr("event_id", "user_id", goal)
+            .selectExpr("event_id", envelope)
         )

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -165,20 +165,28 @@ def start_goal_stream(
     bronze: str,
     quarantine: str,
     checkpoint: str,
-    refresh: Callable[[SparkSession, int], None] | None = None,
+    refresh: Callable[[SparkSession, int, int], None] | None = None,
 ) -> StreamingQuery:
     """Process all events there are, then stop; run again to continue where it stopped.
 
-    ``refresh`` is called once per micro-batch, after its goals are stored, to bring the
-    tables that depend on goals up to date.
+    ``refresh(session, batch, goals)`` is called after a micro-batch has stored its goals, to
+    bring the tables that depend on goals up to date.  A batch without usable goals calls
+    nothing.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        items = goal_items(batch)
-        accepted(items).write.mode("overwrite").parquet(f"{bronze}/lote={batch_id}")
-        quarantined(items).write.mode("overwrite").parquet(f"{quarantine}/lote={batch_id}")
-        if refresh is not None:
-            refresh(batch.sparkSession, batch_id)
+        items = goal_items(batch).persist()
+        try:
+            stored = Observation()
+            accepted(items).observe(stored, F.count(F.lit(1)).alias("goals")) \
+                .write.mode("overwrite").parquet(f"{bronze}/lote={batch_id}")
+            quarantined(items).write.mode("overwrite") \
+                .parquet(f"{quarantine}/lote={batch_id}")
+        finally:
+            items.unpersist()
+        goals = stored.get["goals"]
+        if refresh is not None and goals:
+            refresh(batch.sparkSession, batch_id, goals)
 
     return (
         events.writeStream.foreachBatch(store)

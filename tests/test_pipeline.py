@@ -1,0 +1,154 @@
+"""The whole run over folders, from bronze to catalogued gold."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from lettera.model import SNAPSHOT_TABLES
+from lettera.plans.pipeline import (
+    CATALOG_TABLES,
+    Layers,
+    refresh_after_goals,
+    run_pipeline,
+)
+from lettera.plans.reports import spread_between_and_within_states, state_ranking
+from lettera.sources.readers import snapshot
+from lettera.sources.testbed import CURRENT_YEAR, FINAL_YEAR, MODEL
+from lettera.streaming import goal_events as stream
+from tests.conftest import as_set
+
+
+@pytest.fixture(scope="module")
+def layers(spark, workspace, tmp_path_factory):
+    root = tmp_path_factory.mktemp("lake")
+    layers = Layers(str(root / "bronze"), str(root / "silver"), str(root / "gold"),
+                    str(root / "received"))
+    sources = {
+        "alunos": workspace.pupils, "municipio": workspace.published_municipalities,
+        "uf": workspace.published_states, "dicionario": workspace.dictionary,
+        "meta_alfabetizacao_brasil": workspace.goals_country,
+        "meta_alfabetizacao_municipio": workspace.goals_municipalities,
+        "meta_alfabetizacao_uf": workspace.goals_states,
+        "municipio_ibge": workspace.localities,
+    }
+    snapshot(lambda t: sources[t](), [*SNAPSHOT_TABLES, "municipio_ibge"], layers.bronze)
+    before_events = Layers(layers.bronze, layers.silver, layers.gold)
+    run_pipeline(spark, before_events, MODEL, database="lake")
+    return layers
+
+
+def gold(spark, layers, table):
+    return spark.read.parquet(f"{layers.gold}/{table}")
+
+
+@pytest.mark.parametrize("level", ["municipio", "uf", "brasil"])
+def test_written_tables_equal_the_ones_built_in_one_go(spark, workspace, layers, level):
+    direct = {
+        "municipio": workspace.municipality, "uf": workspace.state, "brasil": workspace.country,
+    }[level].drop("processed_at")
+    written = gold(spark, layers, f"indicador_{level}").select(*direct.columns)
+    assert written.count() == direct.count()
+    assert written.exceptAll(direct).count() == 0
+
+
+@pytest.mark.parametrize(
+    "table, columns",
+    {
+        "indicador_municipio": "id_municipio nome_municipio sigla_uf ano_referencia serie "
+        "serie_descricao rede rede_descricao taxa_alfabetizacao media_portugues "
+        "origem_indicador qtd_alunos meta_alfabetizacao_do_ano gap_meta_do_ano_pp "
+        "taxa_alfabetizacao_uf diferenca_pp_vs_uf taxa_alfabetizacao_brasil "
+        "diferenca_pp_vs_brasil nivel_geografico processed_at ano",
+        "indicador_uf": "sigla_uf ano_referencia serie serie_descricao rede rede_descricao "
+        "taxa_alfabetizacao media_portugues origem_indicador qtd_alunos "
+        "meta_alfabetizacao_do_ano gap_meta_do_ano_pp taxa_alfabetizacao_brasil "
+        "diferenca_pp_vs_brasil nivel_geografico processed_at ano",
+        "indicador_brasil": "ano_referencia serie serie_descricao rede rede_descricao "
+        "taxa_alfabetizacao qtd_alunos origem_indicador meta_alfabetizacao_do_ano "
+        "gap_meta_do_ano_pp nivel_geografico processed_at ano",
+        "metas_vs_resultado_uf": "nivel_geografico sigla_uf ano_observacao serie "
+        "serie_descricao rede rede_descricao taxa_alfabetizacao qtd_alunos origem_indicador "
+        "escopo_meta ano_meta meta_alfabetizacao gap_pp percentual_da_meta atingiu_meta "
+        "meta_ja_vencida processed_at ano",
+        "evolucao_temporal_brasil": "ano_referencia serie serie_descricao rede rede_descricao "
+        "taxa_alfabetizacao qtd_alunos origem_indicador meta_alfabetizacao_do_ano "
+        "gap_meta_do_ano_pp nivel_geografico processed_at ano_anterior taxa_ano_anterior "
+        "taxa_primeiro_ano variacao_pp variacao_percentual variacao_acumulada_pp "
+        "meta_alfabetizacao_final gap_para_meta_final_pp ano",
+        "ml_aluno": "id_aluno id_escola id_municipio nome_municipio sigla_uf ano_referencia "
+        "serie rede rede_descricao caderno presenca preenchimento_caderno proficiencia "
+        "peso_aluno taxa_alfabetizacao_municipio_ano_anterior "
+        "media_portugues_municipio_ano_anterior dataset_split alfabetizado processed_at ano",
+    }.items(),
+)
+def test_columns_in_order(spark, layers, table, columns):
+    assert gold(spark, layers, table).columns == columns.split()
+
+
+def test_catalog_has_the_nine_tables(spark, layers):
+    found = {t.name for t in spark.catalog.listTables("lake")}
+    assert found == set(CATALOG_TABLES)
+    for table in CATALOG_TABLES:
+        assert spark.table(f"lake.{table}").count() == gold(spark, layers, table).count() > 0
+
+
+def test_reports_also_run_as_sql(spark, layers):
+    comparison = gold(spark, layers, "metas_vs_resultado_uf")
+    mine = state_ranking(comparison, CURRENT_YEAR, FINAL_YEAR).groupBy("sigla_uf").agg(
+        F.max("degraus_alcancados").alias("n")
+    )
+    sql = spark.sql(
+        f"SELECT sigla_uf, count_if(atingiu_meta) AS n FROM lake.metas_vs_resultado_uf "
+        f"WHERE ano = '{CURRENT_YEAR}' AND escopo_meta = 'uf' GROUP BY sigla_uf"
+    )
+    assert as_set(mine) == as_set(sql)
+    spread = spread_between_and_within_states(
+        gold(spark, layers, "indicador_municipio"), CURRENT_YEAR
+    )
+    medians = spark.sql(
+        f"SELECT sigla_uf, ROUND(APPROX_PERCENTILE(diferenca_pp_vs_brasil, 0.5), 1) AS m "
+        f"FROM lake.indicador_municipio WHERE ano = '{CURRENT_YEAR}' "
+        f"AND rede_descricao = 'Municipal' GROUP BY sigla_uf, serie"
+    )
+    assert as_set(spread, "sigla_uf", "mediana_vs_brasil_pp") == as_set(medians)
+
+
+def test_reports_read_one_year(spark, layers):
+    ranking = state_ranking(
+        gold(spark, layers, "metas_vs_resultado_uf"), CURRENT_YEAR, FINAL_YEAR
+    )
+    plan = ranking._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull(ano" in plan and f"= {CURRENT_YEAR})]" in plan
+
+
+def test_missing_columns_stop_the_run_early(spark, layers, tmp_path):
+    from lettera.plans.pipeline import build_parts
+
+    spark.range(1).write.parquet(str(tmp_path / "alunos"))
+    with pytest.raises(ValueError, match="table alunos lacks the columns"):
+        build_parts(spark, Layers(layers.bronze, str(tmp_path), layers.gold))
+
+
+def test_streamed_goals_reach_gold(spark, layers, tmp_path):
+    """An event changes the national goal; goal tables follow, features stay."""
+    features = spark.read.parquet(f"{layers.gold}/ml_aluno").inputFiles()
+    event = {"metas": {"ano": "2000", "rede": "Pública", "meta_alfabetizacao_2000": "1.5",
+                       "meta_alfabetizacao_2002": "2.5"}}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "e.json").write_text(json.dumps(event))
+    query = stream.start_goal_stream(
+        stream.read_goal_events(spark, str(tmp_path / "in")),
+        layers.received_goals, str(tmp_path / "quarantine"), str(tmp_path / "checkpoint"),
+        refresh=lambda session, *_: refresh_after_goals(session, layers, MODEL),
+    )
+    query.awaitTermination()
+
+    country = gold(spark, layers, "indicador_brasil").where("ano = 2000 AND rede = 5")
+    assert as_set(country, "meta_alfabetizacao_do_ano") == {(1.5,)}
+    final = gold(spark, layers, "evolucao_temporal_brasil").where("ano = 2000 AND rede = 5")
+    assert as_set(final, "meta_alfabetizacao_final") == {(2.5,)}
+    # Goal years the event did not mention keep the loaded goal.
+    kept = gold(spark, layers, "metas_vs_resultado_brasil").where("ano = 2000 AND rede = 5")
+    assert {r["ano_meta"] for r in kept.select("ano_meta").collect()} == {2000, 2001, 2002}
+    assert spark.read.parquet(f"{layers.gold}/ml_aluno").inputFiles() == features
