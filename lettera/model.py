@@ -72,15 +72,14 @@ SNAPSHOT_TABLES = (
 class Level:
     """One geographic level of the gold layer.
 
-    ``bounded`` says that the number of places is fixed by the code list (27 states, one
-    country), so a table at this grain may be broadcast.  Municipality-level tables make no
-    such promise and are joined without a hint.
+    ``few_rows`` marks the levels whose report tables are a handful of rows per year (27
+    states, one country) and are stored in one file per year.
     """
 
     scope: str
     key: str | None
     id_columns: tuple[str, ...]
-    bounded: bool
+    few_rows: bool
 
     @property
     def keys(self) -> list[str]:

@@ -8,27 +8,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lettera.model import Level
+from lettera.operators.joins import left_lookup
 
 CUT = ("ano_referencia", "serie", "rede")
 
 
 def attach_volume(df: DataFrame, volume: DataFrame, level: Level) -> DataFrame:
-    """Pupil count by place, year, grade and network."""
-    side = F.broadcast(volume) if level.bounded else volume
-    return df.join(side, [*level.keys, *CUT], "left").select(*df.columns, "qtd_alunos")
+    """Pupil count by place, year, grade and network.
+
+    Both sides have one row per cut of a place, so neither has a hot key.  No hint: Spark
+    knows the size of both once they are aggregated.
+    """
+    return df.join(volume, [*level.keys, *CUT], "left").select(*df.columns, "qtd_alunos")
 
 
 def attach_reference_rate(
-    df: DataFrame, reference: DataFrame, places: Sequence[str], suffix: str
+    df: DataFrame, reference: DataFrame, places: Sequence[str], suffix: str, *, fits: bool
 ) -> DataFrame:
     """Rate of a coarser level on the same cut, and the difference to it.
 
-    The reference is a table of states or of the country: few rows by definition.
+    Many rows share one reference, a third of them perhaps: a large state.  ``fits`` says
+    whether the reference may be broadcast; if not, its hot keys are still kept out of the
+    shuffle.
     """
     on = [*places, *CUT]
     rate = f"taxa_alfabetizacao_{suffix}"
     side = reference.select(*on, F.col("taxa_alfabetizacao").alias(rate))
-    return df.join(F.broadcast(side), on, "left").select(
+    return left_lookup(df, side, on, fits=fits).select(
         *df.columns,
         rate,
         (F.col("taxa_alfabetizacao") - F.col(rate)).alias(f"diferenca_pp_vs_{suffix}"),

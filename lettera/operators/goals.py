@@ -71,7 +71,9 @@ def _join_by_place(
 ) -> DataFrame:
     """Join goal columns by network, place and the year columns given (``{ours: theirs}``).
 
-    Goals of the country and of the states are few by definition and are broadcast.
+    Goals of the country are broadcast: their natural key leaves at most one row per mapped
+    network, revision and goal year.  Goals of places are joined without a hint, on a key
+    that holds one cut of one place.
     """
     on = ["rede", *years]
     side = goals.withColumnsRenamed({theirs: ours for ours, theirs in years.items()})
@@ -79,9 +81,8 @@ def _join_by_place(
         on.append(level.key)
         side = side.withColumnRenamed("chave", level.key)
     else:
-        side = side.where(F.col("chave") == COUNTRY_KEY).drop("chave")
-    if level.bounded:
-        side = F.broadcast(side)
+        mapped = F.col("rede").isNotNull() & (F.col("chave") == COUNTRY_KEY)
+        side = F.broadcast(side.where(mapped).drop("chave"))
     return df.join(side, on, how).select(
         *df.columns, *[c for c in side.columns if c not in on]
     )

@@ -4,6 +4,9 @@ A side is broadcast only when its number of rows is known to be small.  Beyond t
 join shuffles, and the keys that hold a large share of the fact are taken out of the shuffle:
 there can only be ``1 / hot_share`` of them, so their few side rows are broadcast instead.
 Both ways return the same rows.
+
+The second way reads the fact three times (its keys to count them, then hot and other rows)
+and the side twice; give it stored tables rather than long computations.
 """
 
 from __future__ import annotations

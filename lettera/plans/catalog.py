@@ -130,9 +130,11 @@ class Workspace(Testbed):
         return gold.evolution(indicator, self.silver_goals, level, MODEL)
 
     def features(self, bucket) -> DataFrame:
+        """From written silver tables, as in the pipeline: the join reads both repeatedly."""
+        published = as_written_table(self.silver_municipality, "municipio")
         return gold.pupil_features(
-            self.silver_pupils, self.silver_municipality, MODEL,
-            published_fits=False, bucket=bucket,
+            as_written_table(self.silver_pupils, "alunos"), published, MODEL,
+            published_fits=fits_broadcast(published), bucket=bucket,
         )
 
 
@@ -412,20 +414,37 @@ def _(w):
     rates = w.silver_municipality.select(
         "id_municipio", "sigla_uf", *YEAR_GRADE, "rede", "taxa_alfabetizacao"
     )
-    return attach_reference_rate(rates, w.silver_state, ["sigla_uf"], "uf")
+    states = as_written_table(w.silver_state, "uf")
+    return attach_reference_rate(
+        rates, states, ["sigla_uf"], "uf", fits=fits_broadcast(states)
+    )
+
+
+@query("compare_to_parent_large")
+def _(w):
+    """The way taken when the parent level is too large to broadcast."""
+    rates = w.silver_municipality.select(
+        "id_municipio", "sigla_uf", *YEAR_GRADE, "rede", "taxa_alfabetizacao"
+    )
+    return attach_reference_rate(rates, w.silver_state, ["sigla_uf"], "uf", fits=False)
 
 
 @query("compare_to_total")
 def _(w):
-    return attach_reference_rate(_rates(w.silver_state, STATE), w.country, [], "brasil")
+    return attach_reference_rate(
+        _rates(w.silver_state, STATE), w.country, [], "brasil", fits=True
+    )
 
 
 @query("prior_year_context")
 def _(w):
-    pupils = w.silver_pupils.select(
-        "id_aluno", "id_municipio", "ano_referencia", "rede", "serie"
+    """Takes the way for published tables too large to broadcast."""
+    pupils = typed(normalize_ids(w.pupils(), ["id_aluno", "id_municipio"]), ["rede", "serie"])
+    keyed = pupils.select(
+        "id_aluno", "id_municipio", F.col("ano").alias("ano_referencia"), "rede", "serie"
     )
-    return attach_year_before(pupils, w.silver_municipality, fits=False)
+    published = as_written_table(w.silver_municipality, "municipio")
+    return attach_year_before(keyed, published, fits=False)
 
 
 # ---- aggregations -------------------------------------------------------------------

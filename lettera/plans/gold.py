@@ -26,6 +26,7 @@ from lettera.operators.goals import (
     attach_goal_of_year,
     goals_against_results,
 )
+from lettera.operators.joins import fits_broadcast
 from lettera.operators.rollup import pupil_volume, roll_up
 from lettera.operators.timeline import with_changes
 
@@ -85,7 +86,7 @@ def indicator_state(
     model: IndicatorModel,
 ) -> DataFrame:
     df = _published(silver, parts, goals, STATE, model)
-    return finished(attach_reference_rate(df, country, [], "brasil"), STATE)
+    return finished(_against_country(df, country), STATE)
 
 
 def indicator_municipality(
@@ -96,9 +97,18 @@ def indicator_municipality(
     country: DataFrame,
     model: IndicatorModel,
 ) -> DataFrame:
+    """``states`` and ``country`` are best given as written tables: ``states`` is counted
+    to see whether it can be broadcast."""
     df = _published(silver, parts, goals, MUNICIPALITY, model)
-    df = attach_reference_rate(df, states, ["sigla_uf"], "uf")
-    return finished(attach_reference_rate(df, country, [], "brasil"), MUNICIPALITY)
+    df = attach_reference_rate(
+        df, states, ["sigla_uf"], "uf", fits=fits_broadcast(states)
+    )
+    return finished(_against_country(df, country), MUNICIPALITY)
+
+
+def _against_country(df: DataFrame, country: DataFrame) -> DataFrame:
+    """The country has one row per year, grade and network: always few enough."""
+    return attach_reference_rate(df, country, [], "brasil", fits=True)
 
 
 def goal_comparison(indicator: DataFrame, goals: DataFrame, level: Level) -> DataFrame:

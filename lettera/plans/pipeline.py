@@ -105,7 +105,7 @@ def build_goal_dependent(spark: SparkSession, layers: Layers, model: IndicatorMo
     def store(kind: str, level: Level, df: DataFrame) -> DataFrame:
         path = f"{layers.gold}/{kind}_{level.scope}"
         # A year of states or of the country is a handful of rows; municipalities may be many.
-        return write_partitioned(df, path, ["ano"], one_file=level.bounded)
+        return write_partitioned(df, path, ["ano"], one_file=level.few_rows)
 
     def store_level(level: Level, indicator: DataFrame) -> DataFrame:
         written = store("indicador", level, indicator)

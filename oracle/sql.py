@@ -371,10 +371,10 @@ STATEMENTS = {
         diferenca_pp_vs_uf FROM municipality""",
     "compare_to_total": f"""SELECT sigla_uf, {RATES}, taxa_alfabetizacao_brasil,
         diferenca_pp_vs_brasil FROM state""",
-    "prior_year_context": """SELECT id_aluno, p.id_municipio, p.ano_referencia, p.rede,
-            p.serie, m.taxa_alfabetizacao AS taxa_alfabetizacao_municipio_ano_anterior,
+    "prior_year_context": """SELECT id_aluno, p.id_municipio, p.ano AS ano_referencia,
+            p.rede, p.serie, m.taxa_alfabetizacao AS taxa_alfabetizacao_municipio_ano_anterior,
             m.media_portugues AS media_portugues_municipio_ano_anterior
-        FROM pupil p LEFT JOIN silver_m m ON m.id_municipio = p.id_municipio
+        FROM raw_pupil p LEFT JOIN silver_m m ON m.id_municipio = p.id_municipio
             AND m.ano = p.ano - 1 AND m.rede = p.rede AND m.serie = p.serie""",
     # aggregations
     "additive_parts": f"""SELECT sigla_uf, id_municipio, ano_referencia, serie,
@@ -561,7 +561,8 @@ STATEMENTS = {
     "q9_national_evolution": _evolution("country", "brasil", None),
 }
 
-# The same result by another way of joining.
+# The same results by another way of joining.
+STATEMENTS["compare_to_parent_large"] = STATEMENTS["compare_to_parent"]
 STATEMENTS["dim_enrich_large"] = STATEMENTS["dim_enrich"]
 
 ORACLE = {name: _with(sql) for name, sql in STATEMENTS.items()}
