@@ -93,7 +93,7 @@ FRAGMENTS = {
             rede_descricao, p AS ano_publicacao, y AS ano_meta,
             CAST(40 + base + 3 * (y - 1995) + (p - 1998) * 0.5 AS DOUBLE)
                 AS meta_alfabetizacao
-        FROM goal_base CROSS JOIN calendar""",
+        FROM goal_base JOIN calendar ON true""",
     "volume_m": """SELECT id_municipio, ano, serie, g.rede, count(alfabetizado) AS qtd_alunos
         FROM pupil p JOIN grp g ON g.membro = p.rede
         GROUP BY id_municipio, ano, serie, g.rede""",
@@ -464,13 +464,13 @@ STATEMENTS = {
         FROM goal_event WHERE forma > 5""",
     "goal_map_explode": """SELECT event_id, ano, rede, y AS ano_meta,
             value + y - 1995 AS meta_alfabetizacao
-        FROM goal_event CROSS JOIN range(1996, 2003) AS r(y)
-        WHERE forma <= 5 AND y > ano""",
+        FROM goal_event JOIN range(1996, 2003) AS r(y) ON y > ano
+        WHERE forma <= 5""",
     "latest_goal": """SELECT ano, rede, max(event_id) AS event_id FROM goal_event
         WHERE forma <= 5 GROUP BY ano, rede""",
     "stream_ingest": """SELECT ano, rede, y AS ano_meta, value + y - 1995 AS meta_alfabetizacao
-        FROM goal_event CROSS JOIN range(1996, 2003) AS r(y)
-        WHERE forma <= 5 AND y > ano""",
+        FROM goal_event JOIN range(1996, 2003) AS r(y) ON y > ano
+        WHERE forma <= 5""",
     # tables
     "silver_state": "SELECT * FROM silver_s",
     "silver_municipality": "SELECT * FROM silver_m",
