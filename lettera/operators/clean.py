@@ -50,15 +50,25 @@ def one_per_key(
     """Keep one row per key, always the same one.
 
     The survivor has the smallest (``latest``: the largest) ``prefer`` columns, then the
-    smallest (largest) remaining columns, NULL counting as smallest.  It is an aggregate and
-    not a window: the candidates of a key shrink to one per task before they are shuffled.
+    smallest (largest) remaining columns; a known value goes before a missing one.  It is an
+    aggregate and not a window: the candidates of a key shrink to one per task before they
+    are shuffled.
     """
     keys = list(keys)
     others = [c for c in df.columns if c not in keys]
+    if len(others) == 1:
+        # A plain minimum or maximum of a number is hashed, that of a struct is sorted.
+        pick = F.max(others[0]) if latest else F.min(others[0])
+        return df.groupBy(*keys).agg(pick.alias(others[0])).select(*df.columns)
+
     ranked = [*prefer, *(c for c in others if c not in prefer)]
-    pick = F.max if latest else F.min
+    if latest:
+        survivor = F.max(F.struct(*ranked))
+    else:
+        missing_last = [x for c in ranked for x in (F.col(c).isNull().alias(f"_{c}"), c)]
+        survivor = F.min(F.struct(*missing_last))
     return (
         df.groupBy(*keys)
-        .agg(pick(F.struct(*ranked)).alias("_row"))
+        .agg(survivor.alias("_row"))
         .select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
     )

@@ -44,7 +44,8 @@ def left_lookup(
     """Left join of a fact with a side that has one row per key."""
     on = list(on)
     if fits:
-        return fact.join(F.broadcast(side), on, "left")
+        extra = [c for c in side.columns if c not in on]
+        return fact.join(F.broadcast(side), on, "left").select(*fact.columns, *extra)
     return _split_hot_keys(fact, side, on, hot_share)
 
 

@@ -21,6 +21,7 @@ from lettera.model import (
     IndicatorModel,
     Level,
 )
+from lettera.operators import quality
 from lettera.operators.joins import fits_broadcast
 from lettera.operators.quality import require_columns
 from lettera.operators.rollup import additive_parts
@@ -130,6 +131,40 @@ def build_features(spark: SparkSession, layers: Layers, model: IndicatorModel) -
     write_partitioned(features, f"{layers.gold}/ml_aluno", ["ano"])
 
 
+def quality_tables(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
+    """What to look at after a run, computed from the written tables.
+
+    Row counts by the key that each table is judged by; for the silver tables also the facts
+    without a place and the codes without a description; for goals the unknown networks.
+    """
+    def silver_table(name: str) -> DataFrame:
+        return scan(spark, f"{layers.silver}/{name}")
+
+    pupils, places = silver_table("alunos"), silver_table("municipio")
+    states, goals = silver_table("uf"), silver_table("meta_alfabetizacao")
+    found = {
+        "alunos_por_uf_e_ano": quality.count_by_key(pupils, ["sigla_uf", "ano"]),
+        "alunos_distintos": quality.count_distinct(
+            pupils, ["sigla_uf", "id_municipio", "id_aluno"]
+        ),
+        "alunos_sem_municipio": quality.unmatched_rows(pupils, "nome_municipio"),
+        "alunos_sem_de_para": quality.unmapped_codes(pupils, silver.PUPIL_CODES),
+        "municipio_sem_municipio": quality.unmatched_rows(places, "nome_municipio"),
+        "municipio_sem_de_para": quality.unmapped_codes(places, silver.SUMMARY_CODES),
+        "uf_sem_de_para": quality.unmapped_codes(states, silver.SUMMARY_CODES),
+        "metas_por_escopo_e_ano": quality.count_by_key(goals, ["escopo", "ano_publicacao"]),
+        "metas_redes": quality.distinct_rows(goals, ["escopo", "rede", "rede_descricao"]),
+        "metas_sem_rede": quality.unmapped_texts(goals),
+        "ml_aluno": quality.count_by_key(
+            scan(spark, f"{layers.gold}/ml_aluno"), ["dataset_split", "ano"]
+        ),
+    }
+    for table in CATALOG_TABLES:
+        key = "escopo_meta" if table.startswith("metas") else "ano"
+        found[table] = quality.count_by_key(scan(spark, f"{layers.gold}/{table}"), [key])
+    return found
+
+
 def register_gold(spark: SparkSession, layers: Layers, database: str) -> list[str]:
     return register_tables(
         spark, database, {t: f"{layers.gold}/{t}" for t in CATALOG_TABLES}, layers.gold

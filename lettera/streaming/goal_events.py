@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,7 +32,10 @@ BRONZE_SCHEMA = (
 def read_goal_events(
     spark: SparkSession, path: str, one_event_per_file: bool = False, files_per_batch: int = 1000
 ) -> DataFrame:
-    """Stream of raw events: ``value`` and the time its file arrived (``chegada``)."""
+    """Stream of raw events: ``value`` and the time its file arrived (``chegada``).
+
+    Events are lines, or whole files.  Lines of one file arrive at the same time.
+    """
     return (
         spark.readStream.format("text")
         .option("wholetext", one_event_per_file)
@@ -63,30 +67,34 @@ def unwrap(events: DataFrame) -> DataFrame:
 
 
 def goal_items(events: DataFrame) -> DataFrame:
-    """One row per goal object: ``item`` (a map of texts), ``ordem``, and ``motivo``.
+    """One row per goal object: ``ordem``, its text, its fields (a map), and ``motivo``.
 
-    ``motivo`` is NULL for usable rows and tells why the others are refused.  A refused event
-    keeps one row, with its original text.
+    ``motivo`` is NULL for usable rows and tells why the others are refused.  Items are judged
+    one by one; an event without any keeps one row, with its original text.
     """
-    unwrapped = unwrap(events)
     listed = (
         F.when(_starts_with(F.col("carga"), "{"), F.concat(F.lit("["), "carga", F.lit("]")))
         .when(_starts_with(F.col("carga"), "["), F.col("carga"))
     )
-    parsed = unwrapped.withColumn("_items", F.from_json(listed, "array<map<string,string>>"))
-    exploded = parsed.select("*", F.posexplode_outer("_items").alias("ordem", "item"))
+    texts = unwrap(events).withColumn("_texts", F.from_json(listed, "array<string>"))
+    items = texts.select("*", F.posexplode_outer("_texts").alias("ordem", "texto")).withColumn(
+        "item",
+        F.when(
+            _starts_with(F.col("texto"), "{"), F.from_json("texto", "map<string,string>")
+        ),
+    )
     year = to_int(F.element_at("item", F.lit("ano")))
+    listless, empty_list = F.col("_texts").isNull(), F.col("ordem").isNull()
     reason = (
-        F.when(
-            F.col("_items").isNull() | (F.col("ordem").isNotNull() & F.col("item").isNull()),
-            REJECT_FORMAT,
-        )
-        .when(F.col("item").isNull() | (F.size("item") == 0), REJECT_EMPTY)
+        F.when(listless, REJECT_FORMAT)
+        .when(empty_list | (F.size("item") == 0), REJECT_EMPTY)
+        .when(F.col("item").isNull(), REJECT_FORMAT)
         .when(year.isNull(), REJECT_YEAR)
     )
-    return exploded.select(
+    return items.select(
         *events.columns,
         "ordem",
+        "texto",
         "item",
         year.alias("ano"),
         F.trim(F.element_at("item", F.lit("rede"))).alias("rede"),
@@ -95,14 +103,14 @@ def goal_items(events: DataFrame) -> DataFrame:
 
 
 def accepted(items: DataFrame) -> DataFrame:
-    kept = [c for c in items.columns if c not in ("value", "motivo", "item")]
+    kept = [c for c in items.columns if c not in ("value", "motivo", "item", "texto")]
     return items.where(F.col("motivo").isNull()).select(
-        *kept, F.to_json("item").alias("item")
+        *kept, F.col("texto").alias("item")
     )
 
 
 def quarantined(items: DataFrame) -> DataFrame:
-    kept = [c for c in items.columns if c not in ("item", "ano", "rede")]
+    kept = [c for c in items.columns if c not in ("item", "texto", "ano", "rede")]
     return items.where(F.col("motivo").isNotNull()).select(*kept)
 
 
@@ -157,7 +165,13 @@ def with_streamed_goals(goals: DataFrame, streamed: DataFrame) -> DataFrame:
 
 
 def read_received(spark: SparkSession, bronze: str) -> DataFrame:
-    return spark.read.schema(BRONZE_SCHEMA).parquet(bronze)
+    """Goals received so far; none before the first event."""
+    try:
+        return spark.read.schema(BRONZE_SCHEMA).parquet(bronze)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], BRONZE_SCHEMA)
 
 
 def start_goal_stream(

@@ -36,10 +36,20 @@ def test_survivor_is_always_the_same(rows):
         assert latest.columns == df.columns
 
 
+def test_known_values_go_before_missing_ones(rows):
+    one = rows([("k", None), ("k", 2.0), ("k", 3.0), ("m", None)], "key string, v double")
+    assert as_set(one_per_key(one, ["key"])) == {("k", 2.0), ("m", None)}
+    assert as_set(one_per_key(one, ["key"], latest=True)) == {("k", 3.0), ("m", None)}
+    two = rows([("k", None, 1), ("k", "b", None), ("k", "b", 5)], "key string, s string, n int")
+    assert as_set(one_per_key(two, ["key"])) == {("k", "b", 5)}
+    assert as_set(one_per_key(two, ["key"], latest=True)) == {("k", "b", 5)}
+
+
 def test_a_group_of_copies_is_reduced_before_the_shuffle(spark):
     """A third of the rows share one key: the plan holds a partial aggregate, no window."""
     df = spark.range(30_000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id AS v")
     out = one_per_key(df, ["k"])
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and "Window" not in plan
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
     assert out.count() == 20_001 and out.where("k = 0").first()["v"] == 0

@@ -9,6 +9,7 @@ from lettera.model import SNAPSHOT_TABLES
 from lettera.plans.pipeline import (
     CATALOG_TABLES,
     Layers,
+    quality_tables,
     refresh_after_goals,
     run_pipeline,
 )
@@ -33,8 +34,7 @@ def layers(spark, workspace, tmp_path_factory):
         "municipio_ibge": workspace.localities,
     }
     snapshot(lambda t: sources[t](), [*SNAPSHOT_TABLES, "municipio_ibge"], layers.bronze)
-    before_events = Layers(layers.bronze, layers.silver, layers.gold)
-    run_pipeline(spark, before_events, MODEL, database="lake")
+    run_pipeline(spark, layers, MODEL, database="lake")
     return layers
 
 
@@ -93,6 +93,19 @@ def test_catalog_has_the_nine_tables(spark, layers):
         assert spark.table(f"lake.{table}").count() == gold(spark, layers, table).count() > 0
 
 
+def test_quality_tables(spark, workspace, layers):
+    tables = quality_tables(spark, layers)
+    lines = workspace.table("lineitem").count()
+    assert tables["alunos_por_uf_e_ano"].agg(F.sum("registros")).first()[0] == lines
+    assert tables["alunos_sem_municipio"].first()["registros"] == lines
+    unmapped = {r["coluna"]: r["sem_de_para"] for r in tables["alunos_sem_de_para"].collect()}
+    assert unmapped["serie"] == 0 < unmapped["rede"]
+    assert tables["metas_vs_resultado_municipio"].count() == 2
+    for name in CATALOG_TABLES:
+        total = tables[name].agg(F.sum("registros")).first()[0]
+        assert total == gold(spark, layers, name).count()
+
+
 def test_reports_also_run_as_sql(spark, layers):
     comparison = gold(spark, layers, "metas_vs_resultado_uf")
     mine = state_ranking(comparison, CURRENT_YEAR, FINAL_YEAR).groupBy("sigla_uf").agg(

@@ -80,8 +80,24 @@ def test_what_cannot_be_used_is_kept_aside(events, event, reason):
 
 
 def test_bad_items_do_not_take_good_ones_along(events):
-    items = stream.goal_items(events({"metas": [FOUR[0], {"rede": "x"}, {}]}))
-    assert as_set(items, "ordem", "motivo") == {(0, None), (1, "sem ano"), (2, "vazio")}
+    items = stream.goal_items(events({"metas": [FOUR[0], {"rede": "x"}, {}, "x", None, 7]}))
+    assert as_set(items, "ordem", "motivo") == {
+        (0, None), (1, "sem ano"), (2, "vazio"), (3, "formato nao suportado"),
+        (4, "formato nao suportado"), (5, "formato nao suportado"),
+    }
+
+
+def test_unexpected_fields_do_not_matter(events):
+    odd = {"ano": 2024, "rede": None, "outro": {"a": [1]}, "meta_alfabetizacao_2025": 61.5}
+    items = stream.accepted(stream.goal_items(events({"detail": "texto", "metas": [odd]})))
+    assert as_set(stream.goal_years_of(items), "ano", "rede", "meta_alfabetizacao") == {
+        (2024, None, 61.5)
+    }
+
+
+def test_nothing_received_yet(spark, tmp_path):
+    received = stream.read_received(spark, str(tmp_path / "absent"))
+    assert stream.streamed_goals(received, MODEL).count() == 0
 
 
 def test_any_goal_year_is_found(events):
