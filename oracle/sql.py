@@ -462,13 +462,14 @@ STATEMENTS = {
             CASE forma WHEN 6 THEN '{}' WHEN 7 THEN '{"metas":"nada"}'
                 ELSE '{"metas":[]}' END AS value
         FROM goal_event WHERE forma > 5""",
-    "goal_map_explode": """SELECT event_id, ano, rede, y AS ano_meta,
+    "goal_map_explode": """SELECT event_id, ano, rede, CAST(y AS INTEGER) AS ano_meta,
             value + y - 1995 AS meta_alfabetizacao
         FROM goal_event JOIN range(1996, 2003) AS r(y) ON y > ano
         WHERE forma <= 5""",
     "latest_goal": """SELECT ano, rede, max(event_id) AS event_id FROM goal_event
         WHERE forma <= 5 GROUP BY ano, rede""",
-    "stream_ingest": """SELECT ano, rede, y AS ano_meta, value + y - 1995 AS meta_alfabetizacao
+    "stream_ingest": """SELECT ano, rede, CAST(y AS INTEGER) AS ano_meta,
+            value + y - 1995 AS meta_alfabetizacao
         FROM goal_event JOIN range(1996, 2003) AS r(y) ON y > ano
         WHERE forma <= 5""",
     # tables

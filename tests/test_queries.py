@@ -21,6 +21,14 @@ def test_same_as_sql(workspace, con, name):
     assert differences(BUILDERS[name](workspace), con, ORACLE[name]) == []
 
 
+@pytest.mark.parametrize("name", sorted(BUILDERS))
+def test_plan_stays_in_the_engine(workspace, name):
+    """No product of two sides, no Python in the data path."""
+    plan = BUILDERS[name](workspace)._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "PythonUDF"):
+        assert unwanted not in plan
+
+
 @pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
 def test_runs(workspace, name):
     assert BUILDERS[name](workspace).count() > 0
