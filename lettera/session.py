@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "lettera", **extra: str) -> SparkSession:
-    """A local session as the tests and the benchmark use it."""
+    """A local session as the tests and the benchmark use it.
+
+    Many different queries run in it, so it keeps more generated code than usual; and most of
+    its large groupings are deduplications of nearly unique rows, for which the small first
+    hash map only gets in the way.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -20,6 +25,8 @@ def local_session(cores: str = "8", app: str = "lettera", **extra: str) -> Spark
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
+        .config("spark.sql.codegen.aggregate.map.twolevel.enabled", "false")
     )
     for key, value in extra.items():
         builder = builder.config(key, value)

@@ -81,7 +81,9 @@ def test_union_keeps_networks_apart_and_one_row_per_key(rows):
          (2024, "1", "Pública", 70.0), (2024, "1", "X", 1.0), (2024, "1", "Y", 1.0)],
         schema,
     )
-    country = rows([(2024, "Pública", 80.0)], "ano int, rede string, meta_alfabetizacao_2024 double")
+    country = rows(
+        [(2024, "Pública", 80.0)], "ano int, rede string, meta_alfabetizacao_2024 double"
+    )
     out = union_goals([(first, MUNICIPALITY), (country, COUNTRY)], MODEL)
     assert as_set(out, "escopo", "chave", "rede_descricao", "meta_alfabetizacao") == {
         ("municipio", "1", "Municipal", 50.0), ("municipio", "1", "Pública", 70.0),
