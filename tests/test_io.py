@@ -123,3 +123,20 @@ def test_scratch_is_below_the_checkpoint_folder(spark, table):
     assert folder != scratch_folder(spark, "x")
     kept = as_written_table(table, "kept")
     assert kept.dtypes == table.dtypes and kept.exceptAll(table).count() == 0
+
+
+@pytest.mark.parametrize("master", ["local[2]", "yarn"])
+def test_only_a_local_session_may_do_without_a_shared_folder(master):
+    class Unset:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Unset()
+        sparkContext = type("Context", (), {"master": master})
+
+    if master == "yarn":
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_folder(Session(), "x")
+    else:
+        assert "/x-" in scratch_folder(Session(), "x")
