@@ -28,6 +28,11 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+#: Usual groupings, for what a plain run loses because it runs on into another number.
+GROUPED = {
+    "card": r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?![0-9])",
+    "phone": r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])",
+}
 #: Characters around a mention that count as its context, on either side.
 REACH = 80
 TERM = r"[\p{L}\p{N}]+"
@@ -98,18 +103,30 @@ def _entity(kind: str, value: Column) -> Column:
     return F.concat(F.lit(kind + ":"), plain)
 
 
-def base_spans(text: Column) -> Column:
-    """Spans of the four kinds, by kind as listed, then start: kind, start, end, entity."""
-    empty = F.array().cast("array<struct<kind:string,start:int,end:int,entity:string>>")
+def spans_of(text: Column) -> Column:
+    """Spans by kind as listed, then start: kind, start, end, entity, base.
+
+    ``base`` marks the matches of the plain patterns; cards and phones in their usual grouping
+    that overlap none of them are added, so a number beside another one isn't lost.
+    """
+    empty = F.array().cast("array<struct<kind:string,start:int,end:int,entity:string,base:boolean>>")
     may = {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+"))}
 
-    def of_kind(kind: str) -> Column:
-        hits = F.filter(places(text, PATTERNS[kind]), lambda s: _holds(kind, s["value"]))
-        spans = F.transform(hits, lambda s: F.struct(
+    def hits(kind: str, pattern: str, base: bool) -> Column:
+        held = F.filter(places(text, pattern), lambda s: _holds(kind, s["value"]))
+        return F.transform(held, lambda s: F.struct(
             F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-            _entity(kind, s["value"]).alias("entity"),
+            _entity(kind, s["value"]).alias("entity"), F.lit(base).alias("base"),
         ))
-        return F.when(may.get(kind, text.rlike(r"[0-9][\x20.-]?[0-9]")), spans).otherwise(empty)
+
+    def of_kind(kind: str) -> Column:
+        plain = hits(kind, PATTERNS[kind], True)
+        if kind in GROUPED:
+            plain = let(plain, lambda b: F.array_sort(F.concat(b, F.filter(
+                hits(kind, GROUPED[kind], False),
+                lambda s: ~F.exists(b, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])),
+            ))))
+        return F.when(may.get(kind, text.rlike(r"[0-9][\x20.-]?[0-9]")), plain).otherwise(empty)
 
     return F.concat(*map(of_kind, KINDS))
 
@@ -164,7 +181,7 @@ def found(docs: DataFrame, text: str = "text", keep: list[str] | None = None) ->
                                    s["end"] - s["start"] + 2 * REACH)).alias("place"),
         ))
 
-    marks = let(base_spans(whole), lambda spans: F.struct(
+    marks = let(spans_of(whole), lambda spans: F.struct(
         spans.alias("spans"),
         F.when(F.size(spans) > 0, context(spans)).alias("context"),
         F.when(F.size(spans) > 0, whole).alias("text"),
