@@ -230,8 +230,8 @@ def _verifier(size: int, least: float, depth: int):
 def near_duplicates(
     docs: DataFrame, least: float = 0.8, size: int = 5, target: float = 0.999,
 ) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): ``doc_id``, ``text_key``, ``class_id``,
-    ``n_links``, ``class_docs``.
+    """One row per row of ``docs`` (doc_id, text): ``doc_id``, ``text_key``, ``class_key`` (unique,
+    null for texts without words), ``class_id``, ``n_links``, ``class_docs``.
 
     Texts are linked whose sets of ``size``-word shingles (lower-case words; a shorter text is
     one shingle) have a Jaccard similarity of at least ``least``; a class is a component of the
@@ -286,7 +286,7 @@ def near_duplicates(
     )
     of_text = stored(
         joined.join(named, "root").select(
-            "text_key", "class_id", "class_docs",
+            "text_key", F.col("root").alias("class_key"), "class_id", "class_docs",
             (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         ),
         "near-classes",
@@ -294,7 +294,7 @@ def near_duplicates(
     out = rows.select("id", "text_key", "n").join(of_text, "text_key", "left")
     bare = F.col("n") == 0
     return out.select(
-        F.col("id").alias("doc_id"), "text_key",
+        F.col("id").alias("doc_id"), "text_key", "class_key",
         F.when(bare, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(bare, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
         F.when(bare, F.lit(1)).otherwise(F.col("class_docs")).cast("long").alias("class_docs"),
@@ -310,7 +310,7 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
     found = near_duplicates(docs, **how)
     chosen = (
         found.filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-        .groupBy("doc_id", F.col("class_id"))
+        .groupBy("doc_id", F.coalesce("class_key", F.xxhash64("text_key")).alias("class_key"))
         .agg(F.min("text_key").alias("text_key"))
         .select(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), "text_key").alias("pick"))
     )

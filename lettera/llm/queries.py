@@ -57,7 +57,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop(
+        "text_key", "class_key"
+    )
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
