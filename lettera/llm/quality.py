@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettera.llm.common import let, stored, text_of
+from lettera.llm.common import let, rows_of, stored, text_of
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -272,28 +272,29 @@ def judged(docs: DataFrame, labels: DataFrame, whole_rows: bool = False) -> tupl
     """``docs`` (doc_id, text) with their statistics ``s``, ``base_failed`` and ``kept``; the rules.
 
     ``labels`` holds doc_id and quality (0 or 1).  An id with labels of both kinds counts as
-    unlabelled; null ids are never labelled.  With ``whole_rows`` the rows carry all columns in
-    ``row``; else ``doc_id`` alone.  Statistics are computed once and stored.
+    unlabelled; null ids are never labelled.  Statistics are stored with ``doc_id``.  With
+    ``whole_rows`` the rows carry all columns in ``row`` and their statistics are computed again,
+    so that no text is written a second time.
     """
-    carried = (
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if whole_rows
-        else F.struct(F.col("doc_id"))
-    )
-    found = stored(
-        docs.select(carried.alias("row"), F.col("doc_id").alias("id"), statistics(text_of()).alias("s")),
-        "quality-statistics",
-    )
+    found = stored(docs.select(F.struct("doc_id").alias("row"), statistics(text_of()).alias("s")),
+                   "quality-statistics")
     sure = (
         labels.filter(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").alias("id"))
         .agg(F.min("quality").alias("y"), F.max("quality").alias("z"))
         .filter((F.col("y") == F.col("z")) & F.col("id").isNotNull()).select("id", "y")
     )
     columns = shares(F.col("s"))
-    examples = found.filter(~base_failed(F.col("s"))).select("id", *(c.alias(n) for n, c in columns.items()))
-    rules = learn(examples.join(sure, "id"), "y", FEATURES)
-    failed = base_failed(F.col("s"))
-    out = found.select(
-        "row", "s", failed.alias("base_failed"),
-        (~failed & verdict(rules, columns)).alias("kept"),
+    examples = found.filter(~base_failed(F.col("s"))).select(
+        F.col("row.doc_id").alias("id"), *(c.alias(n) for n, c in columns.items())
     )
-    return out, rules
+    rules = learn(examples.join(sure, "id"), "y", FEATURES)
+    if whole_rows:
+        found = rows_of(docs, statistics(text_of()).alias("s"))
+
+    def decided(s: Column) -> Column:
+        failed = base_failed(s)
+        return F.struct(failed.alias("base_failed"), (~failed & verdict(rules, shares(s))).alias("kept"))
+
+    return found.select("row", "s", let(F.col("s"), decided).alias("d")).select(
+        "row", "s", "d.base_failed", "d.kept"
+    ), rules

@@ -161,11 +161,14 @@ def generalised(term: Column) -> Column:
     return F.concat(F.substring(term, 1, 3), F.lit("*"))
 
 
-def found(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def found(
+    docs: DataFrame, text: str = "text", keep: list[str] | None = None, bare: bool = True,
+) -> DataFrame:
     """Stored rows: ``row``, ``id`` (one for each row), ``spans``, ``context`` of the mentions.
 
     ``keep`` names the columns to carry in ``row``, all by default; ``text`` stays beside them
-    where there are mentions.  A null text counts as the empty one and has no spans.
+    where there are mentions.  A null text counts as the empty one and has no spans.  Without
+    ``bare`` only rows with spans are there.
     """
     names = docs.columns if keep is None else keep
     whole = text_of(text)
@@ -186,13 +189,11 @@ def found(docs: DataFrame, text: str = "text", keep: list[str] | None = None) ->
         F.when(F.size(spans) > 0, context(spans)).alias("context"),
         F.when(F.size(spans) > 0, whole).alias("text"),
     ))
-    rows = stored(
-        docs.select(
-            F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"),
-            F.monotonically_increasing_id().alias("id"), marks.alias("marks"),
-        ),
-        "sanitise-found",
+    every = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"),
+        F.monotonically_increasing_id().alias("id"), marks.alias("marks"),
     )
+    rows = stored(every if bare else every.filter(F.size("marks.spans") > 0), "sanitise-found")
     return rows.select("row", "id", "marks.spans", "marks.context", "marks.text")
 
 
@@ -306,19 +307,21 @@ def sanitised(docs: DataFrame, text: str = "text", length: str | None = None) ->
     Rows without personal data stay as they are, nulls included.  ``length`` names a column to
     set to the new number of code points.  Extra columns of any name are kept.
     """
-    rows = marked_spans(docs, text)
-    new = F.when(
-        F.size("spans") > 0, cleaned(F.col("text"), F.col("spans"), F.col("terms"))
-    ).otherwise(F.col("row")[text])
-    out = rows.select("row", new.alias("new"))
+    rows = found(docs, text, bare=False)
+    terms = term_spans(rows, disclosing(docs, rows, text))
+    none = F.array().cast("array<struct<start:int,end:int,action:string>>")
+    some = rows.join(terms, "id", "left").select(
+        "row", cleaned(F.col("text"), F.col("spans"), F.coalesce("terms", none)).alias("new")
+    )
+
     def column(c: str) -> Column:
-        if c == text:
-            return F.col("new").alias(c)
-        if c == length:
-            changed = ~F.col("new").eqNullSafe(F.col("row")[text])
-            return F.when(changed, F.length("new").cast(docs.schema[c].dataType)).otherwise(F.col("row")[c]).alias(c)
-        return F.col("row")[c].alias(c)
-    return out.select(*(column(c) for c in docs.columns))
+        kind = docs.schema[c].dataType
+        out = {text: F.col("new"), length: F.length("new")}.get(c, F.col("row")[c])
+        return out.cast(kind).alias(c)
+
+    # Found again rather than stored: rows without personal data pass by as they are.
+    clean = docs.filter(F.size(spans_of(text_of(text))) == 0)
+    return clean.unionByName(some.select(*(column(c) for c in docs.columns)))
 
 
 def listed(spans: Column) -> Column:
