@@ -472,10 +472,9 @@ def _(w):
 
 @query("weighted_rate")
 def _(w):
-    """Rates of single networks: weighted where weights exist, simple elsewhere."""
+    """Rates of all network groups: weighted where weights exist, simple elsewhere."""
     grain = ["id_municipio", *YEAR_GRADE, "rede"]
-    pupils = w.silver_pupils.where(F.col("rede") == 3)
-    return roll_up(additive_parts(pupils, grain), ["id_municipio"], MODEL)
+    return roll_up(additive_parts(w.silver_pupils, grain), ["id_municipio"], MODEL)
 
 
 @query("count_by_key")
@@ -490,7 +489,7 @@ def _(w):
 
 @query("percentiles")
 def _(w):
-    rates = w.silver_municipality.where(F.col("sigla_uf").isNotNull())
+    rates = w.silver_municipality
     tails = F.percentile_approx("taxa_alfabetizacao", [0.1, 0.5, 0.9])
     return (
         rates.groupBy("sigla_uf", "serie")
@@ -551,11 +550,11 @@ def _(w):
 
 @query("top_n")
 def _(w):
-    """Ten best municipalities of the year: order and limit become one top-k step."""
+    """Ten best rates of all years and networks: order and limit become one top-k step."""
     return (
-        w.silver_municipality.where((F.col("ano") == CURRENT_YEAR) & (F.col("rede") == 3))
-        .orderBy(F.desc_nulls_last("taxa_alfabetizacao"), "id_municipio", "serie")
-        .select("id_municipio", "serie", "taxa_alfabetizacao")
+        w.silver_municipality
+        .orderBy(F.desc_nulls_last("taxa_alfabetizacao"), "id_municipio", "serie", "ano", "rede")
+        .select("id_municipio", "serie", "ano", "rede", "taxa_alfabetizacao")
         .limit(10)
     )
 

@@ -386,7 +386,7 @@ STATEMENTS = {
     "weighted_rate": """SELECT r.*, rede_descricao FROM (
             SELECT id_municipio, g.rede, {rate} AS taxa_alfabetizacao_calculada,
                 count(alfabetizado) AS qtd_alunos
-            FROM pupil p JOIN grp g ON g.membro = p.rede WHERE p.rede = 3
+            FROM pupil p JOIN grp g ON g.membro = p.rede
             GROUP BY id_municipio, g.rede) r
         JOIN grp_label USING (rede)""",
     "count_by_key": """SELECT sigla_uf, ano, count(*) AS registros FROM pupil
@@ -398,7 +398,7 @@ STATEMENTS = {
             quantile_disc(taxa_alfabetizacao, 0.1) AS p10,
             quantile_disc(taxa_alfabetizacao, 0.5) AS p50,
             quantile_disc(taxa_alfabetizacao, 0.9) AS p90
-        FROM silver_m WHERE sigla_uf IS NOT NULL GROUP BY sigla_uf, serie""",
+        FROM silver_m GROUP BY sigla_uf, serie""",
     "label_share": f"""SELECT dataset_split, count(*) AS registros,
             count(*) / sum(count(*)) OVER () AS fracao
         FROM (SELECT {SPLIT} AS dataset_split FROM raw_pupil) GROUP BY dataset_split""",
@@ -420,9 +420,8 @@ STATEMENTS = {
         FROM (SELECT n_name, count(*) AS municipios FROM supplier
             JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name)""",
     # order and distinct rows
-    "top_n": f"""SELECT id_municipio, serie, taxa_alfabetizacao FROM silver_m
-        WHERE ano = {YEAR} AND rede = 3
-        ORDER BY taxa_alfabetizacao DESC NULLS LAST, id_municipio, serie LIMIT 10""",
+    "top_n": """SELECT id_municipio, serie, ano, rede, taxa_alfabetizacao FROM silver_m
+        ORDER BY taxa_alfabetizacao DESC NULLS LAST, id_municipio, serie, ano, rede LIMIT 10""",
     "dedup_rows": """SELECT DISTINCT concat(' ', id_municipio, ' ') AS id_municipio, ano,
         CAST(serie AS VARCHAR) AS serie, concat(' ', rede) AS rede,
         CAST(alfabetizado AS VARCHAR) AS alfabetizado FROM raw_pupil""",
