@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -81,7 +80,3 @@ def texts(batch: pa.RecordBatch, column: str) -> Iterator[str]:
     """The values of a text column, one at a time."""
     return (x.as_py() or "" for x in batch.column(batch.schema.get_field_index(column)))
 
-
-def scratch_name() -> str:
-    """A name for a table or folder that no other run uses."""
-    return f"{os.getpid()}-{uuid.uuid4().hex}"
