@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lettera.model import Level
-from lettera.operators.joins import left_lookup
+from lettera.operators.clean import one_per_key
+from lettera.operators.joins import HOT_FACTOR, left_lookup
 
 CUT = ("ano_referencia", "serie", "rede")
 
@@ -23,18 +24,18 @@ def attach_volume(df: DataFrame, volume: DataFrame, level: Level) -> DataFrame:
 
 
 def attach_reference_rate(
-    df: DataFrame, reference: DataFrame, places: Sequence[str], suffix: str, *, fits: bool
+    df: DataFrame, reference: DataFrame, places: Sequence[str], suffix: str, *,
+    split_hot: bool = False, hot_factor: float = HOT_FACTOR,
 ) -> DataFrame:
     """Rate of a coarser level on the same cut, and the difference to it.
 
-    Many rows share one reference, a third of them perhaps: a large state.  ``fits`` says
-    whether the reference may be broadcast; if not, its hot keys are still kept out of the
-    shuffle.
+    Many rows share one reference, a third of them perhaps: a large state.  Cuts that the
+    reference holds twice (two descriptions of one grade) count once, so rows never multiply.
     """
     on = [*places, *CUT]
     rate = f"taxa_alfabetizacao_{suffix}"
-    side = reference.select(*on, F.col("taxa_alfabetizacao").alias(rate))
-    return left_lookup(df, side, on, fits=fits).select(
+    side = one_per_key(reference.select(*on, F.col("taxa_alfabetizacao").alias(rate)), on)
+    return left_lookup(df, side, on, split_hot=split_hot, hot_factor=hot_factor).select(
         *df.columns,
         rate,
         (F.col("taxa_alfabetizacao") - F.col(rate)).alias(f"diferenca_pp_vs_{suffix}"),

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lettera.functions import labelled_bucket, murmur_bucket
-from lettera.operators.joins import HOT_SHARE, left_lookup
+from lettera.operators.clean import one_per_key
+from lettera.operators.joins import HOT_FACTOR, left_lookup
 
 CONTEXT_KEY = ("id_municipio", "ano_referencia", "rede", "serie")
 
@@ -27,11 +28,17 @@ def year_before_context(published: DataFrame) -> DataFrame:
 
 
 def attach_year_before(
-    pupils: DataFrame, published: DataFrame, *, fits: bool, hot_share: float = HOT_SHARE
+    pupils: DataFrame, published: DataFrame, *, split_hot: bool = False,
+    hot_factor: float = HOT_FACTOR,
 ) -> DataFrame:
-    """Add the context; the grade is part of the key, so no pupil is ever repeated."""
+    """Add the context to each pupil, once.
+
+    The key names place, year, network and grade.  Should a key have been published twice, the
+    same one of its rows is always taken, so pupils are never repeated.
+    """
+    context = one_per_key(year_before_context(published), CONTEXT_KEY)
     return left_lookup(
-        pupils, year_before_context(published), CONTEXT_KEY, fits=fits, hot_share=hot_share
+        pupils, context, CONTEXT_KEY, split_hot=split_hot, hot_factor=hot_factor
     )
 
 

@@ -1,12 +1,13 @@
 """Left joins that hold for small and large sides and for hot keys.
 
-A side is broadcast only when its number of rows is known to be small.  Beyond that the
-join shuffles, and the keys that hold a large share of the fact are taken out of the shuffle:
-there can only be ``1 / hot_share`` of them, so their few side rows are broadcast instead.
-Both ways return the same rows.
-
-The second way reads the fact three times (its keys to count them, then hot and other rows)
-and the side twice; give it stored tables rather than long computations.
+No side is forced to be broadcast: Spark compares its bytes with the session's thresholds, by
+statistics before the run and by what was shuffled during it, and adaptive execution splits the
+skewed partitions of the fact.  So the fact is read once, whatever the size of the side.
+
+Where hot keys are known to be beyond that, ``split_hot`` takes them out of the shuffle: the rows
+of a few keys far above the mean meet their few side rows by broadcast, the others shuffle.
+Both ways return the same rows.  The second reads the fact three times (its keys to count them,
+then hot and other rows) and the side twice; give it stored tables, not long computations.
 """
 
 from __future__ import annotations
@@ -18,53 +19,52 @@ from operator import and_, or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# About 100 MB for the narrow sides joined here.
-MAX_BROADCAST_ROWS = 1_000_000
-
-# A key above this share of the fact counts as hot; at most 100,000 keys can be.
+# A hot key holds more than this multiple of the mean rows per key ...
+HOT_FACTOR = 10.0
+# ... and more than this share of the fact, so at most 100,000 keys can be hot.
 HOT_SHARE = 1e-5
 
 
-def fits_broadcast(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether a stored table is small enough to broadcast.
-
-    Meant for tables read from files, whose row count Spark takes from the file footers.
-    """
-    return side.count() <= max_rows
-
-
 def left_lookup(
     fact: DataFrame,
     side: DataFrame,
     on: Sequence[str],
     *,
-    fits: bool,
+    split_hot: bool = False,
+    hot_factor: float = HOT_FACTOR,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Left join of a fact with a side that has one row per key."""
     on = list(on)
-    if fits:
-        extra = [c for c in side.columns if c not in on]
-        return fact.join(F.broadcast(side), on, "left").select(*fact.columns, *extra)
-    return _split_hot_keys(fact, side, on, hot_share)
+    if split_hot:
+        return _split_hot_keys(fact, side, on, hot_keys(fact, on, hot_factor, hot_share))
+    extra = [c for c in side.columns if c not in on]
+    return fact.join(side, on, "left").select(*fact.columns, *extra)
 
 
-def hot_keys(fact: DataFrame, on: Sequence[str], hot_share: float = HOT_SHARE) -> DataFrame:
-    """Keys above the given share of the rows that have a complete key.
+def hot_keys(
+    fact: DataFrame,
+    on: Sequence[str],
+    hot_factor: float = HOT_FACTOR,
+    hot_share: float = HOT_SHARE,
+) -> DataFrame:
+    """Keys far above the mean number of rows, among the rows that have a complete key.
 
-    At most ``1 / hot_share`` keys, whatever the size of the fact.
+    The mean follows the data; the share bounds the number of keys by ``1 / hot_share``,
+    whatever the size of the fact.
     """
     complete = reduce(and_, [F.col(c).isNotNull() for c in on])
     per_key = fact.where(complete).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    threshold = per_key.agg(F.sum("_n") * F.lit(hot_share)).scalar()
+    threshold = per_key.agg(
+        F.greatest(F.avg("_n") * F.lit(hot_factor), F.sum("_n") * F.lit(hot_share))
+    ).scalar()
     return per_key.where(F.col("_n") > threshold).select(*on)
 
 
 def _split_hot_keys(
-    fact: DataFrame, side: DataFrame, on: list[str], hot_share: float
+    fact: DataFrame, side: DataFrame, on: list[str], keys: DataFrame
 ) -> DataFrame:
     extra = [c for c in side.columns if c not in on]
-    keys = hot_keys(fact, on, hot_share)
     hot_rows = side.join(F.broadcast(keys), on, "left_semi")
     hot_side = keys.join(hot_rows, on, "left").withColumn("_hot", F.lit(True))
 

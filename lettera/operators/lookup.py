@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lettera.functions import normalized_id
 from lettera.model import UNMAPPED
 from lettera.operators.clean import one_per_key
-from lettera.operators.joins import HOT_SHARE, left_lookup
+from lettera.operators.joins import HOT_FACTOR, left_lookup
 
 
 def dictionary_entries(dictionary: DataFrame, table: str, column: str) -> DataFrame:
@@ -31,7 +31,7 @@ def decode(
     table: str,
     columns: Mapping[str, str],
     *,
-    dictionary_fits: bool,
+    split_hot: bool = False,
     default: str = UNMAPPED,
 ) -> DataFrame:
     """Add the description of each coded column (``{column: description column}``)."""
@@ -43,7 +43,7 @@ def decode(
             df.withColumn("_code", normalized_id(F.col(column))),
             entries,
             ["_code"],
-            fits=dictionary_fits,
+            split_hot=split_hot,
         ).drop("_code")
         df = df.withColumn(description, F.coalesce(F.col(description), F.lit(default)))
     return df
@@ -55,11 +55,11 @@ def enrich(
     key: str,
     attributes: Sequence[str],
     *,
-    dimension_fits: bool,
-    hot_share: float = HOT_SHARE,
+    split_hot: bool = False,
+    hot_factor: float = HOT_FACTOR,
 ) -> DataFrame:
     """Add attributes of a dimension without ever multiplying or losing fact rows."""
     side = one_per_key(
         dimension.select(normalized_id(F.col(key)).alias(key), *attributes), [key]
     )
-    return left_lookup(fact, side, [key], fits=dimension_fits, hot_share=hot_share)
+    return left_lookup(fact, side, [key], split_hot=split_hot, hot_factor=hot_factor)

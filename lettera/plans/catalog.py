@@ -37,14 +37,20 @@ from lettera.operators.goals import (
     union_goals,
     unpivot_goals,
 )
-from lettera.operators.joins import fits_broadcast
 from lettera.operators.lookup import decode, enrich
 from lettera.operators.rollup import additive_parts, pupil_volume, roll_up
 from lettera.operators.timeline import with_changes
 from lettera.plans import gold, reports, silver
 from lettera.session import as_written_table, scratch_folder
 from lettera.sources.locality import LOCALITY_SCHEMA, flatten_localities
-from lettera.sources.readers import first_rows, scan, snapshot, table_sizes
+from lettera.sources.readers import (
+    describe_columns,
+    first_rows,
+    layer_inventory,
+    scan,
+    snapshot,
+    table_sizes,
+)
 from lettera.sources.testbed import CURRENT_YEAR, FINAL_YEAR, MODEL, Testbed
 from lettera.sources.writers import register_tables, write_partitioned
 from lettera.streaming import goal_events as stream
@@ -121,6 +127,13 @@ class Workspace(Testbed):
         }[level.scope]()
         return gold.goal_comparison(indicator, self.silver_goals, level)
 
+    def published(self, df: DataFrame, name: str) -> DataFrame:
+        """As the reports find a gold table: written by year, so that a year is read alone."""
+        return write_partitioned(df, scratch_folder(self.spark, name), ["ano"])
+
+    def published_comparison(self, level) -> DataFrame:
+        return self.published(self.comparison(level), f"metas_vs_resultado_{level.scope}")
+
     def evolution(self, level) -> DataFrame:
         indicator = {
             MUNICIPALITY.scope: lambda: self.municipality,
@@ -134,7 +147,7 @@ class Workspace(Testbed):
         published = as_written_table(self.silver_municipality, "municipio")
         return gold.pupil_features(
             as_written_table(self.silver_pupils, "alunos"), published, MODEL,
-            published_fits=fits_broadcast(published), bucket=bucket,
+            bucket=bucket,
         )
 
 
@@ -221,6 +234,21 @@ def _(w):
     return table_sizes({t: w.table(t) for t in TABLES})
 
 
+@query("list_objects")
+def _(w):
+    """Datasets of the given folder and their files, from the listing alone."""
+    found = layer_inventory(w.spark, w.folder)
+    names = F.regexp_replace("conjunto", r"\.parquet$", "")
+    return found.where(names.isin(*TABLES)).select(
+        names.alias("conjunto"), (F.col("bytes") > 0).alias("tem_dados")
+    )
+
+
+@query("describe_columns")
+def _(w):
+    return describe_columns(w.table("lineitem")).select("posicao", "coluna")
+
+
 # ---- sinks --------------------------------------------------------------------------
 
 
@@ -283,7 +311,6 @@ def _(w):
         codes, w.dictionary(), "alunos",
         {"rede": "rede_descricao", "serie": "serie_descricao",
          "presenca": "presenca_descricao"},
-        dictionary_fits=True,
     )
 
 
@@ -387,19 +414,16 @@ def _(w):
 def _(w):
     localities = w.localities()
     pupils = normalize_ids(w.pupils().select("id_aluno", "id_municipio"), ["id_municipio"])
-    return enrich(
-        pupils, localities, "id_municipio", ["nome_municipio", "sigla_uf"],
-        dimension_fits=fits_broadcast(localities),
-    )
+    return enrich(pupils, localities, "id_municipio", ["nome_municipio", "sigla_uf"])
 
 
 @query("dim_enrich_large")
 def _(w):
-    """The way taken when the dimension is too large to broadcast."""
+    """With hot keys apart: places above the mean take one way, the others the other."""
     pupils = normalize_ids(w.pupils().select("id_aluno", "id_municipio"), ["id_municipio"])
     return enrich(
-        pupils, w.localities(), "id_municipio", ["nome_municipio", "sigla_uf"],
-        dimension_fits=False, hot_share=0.0105,
+        as_written_table(pupils, "alunos"), as_written_table(w.localities(), "municipio_ibge"),
+        "id_municipio", ["nome_municipio", "sigla_uf"], split_hot=True, hot_factor=1.0,
     )
 
 
@@ -415,36 +439,37 @@ def _(w):
         "id_municipio", "sigla_uf", *YEAR_GRADE, "rede", "taxa_alfabetizacao"
     )
     states = as_written_table(w.silver_state, "uf")
-    return attach_reference_rate(
-        rates, states, ["sigla_uf"], "uf", fits=fits_broadcast(states)
-    )
+    return attach_reference_rate(rates, states, ["sigla_uf"], "uf")
 
 
 @query("compare_to_parent_large")
 def _(w):
-    """The way taken when the parent level is too large to broadcast."""
+    """With hot keys apart: cuts of a state above the mean take one way, the others the other."""
     rates = w.silver_municipality.select(
         "id_municipio", "sigla_uf", *YEAR_GRADE, "rede", "taxa_alfabetizacao"
     )
-    return attach_reference_rate(rates, w.silver_state, ["sigla_uf"], "uf", fits=False)
+    return attach_reference_rate(
+        as_written_table(rates, "municipio"), as_written_table(w.silver_state, "uf"),
+        ["sigla_uf"], "uf", split_hot=True, hot_factor=1.0,
+    )
 
 
 @query("compare_to_total")
 def _(w):
-    return attach_reference_rate(
-        _rates(w.silver_state, STATE), w.country, [], "brasil", fits=True
-    )
+    return attach_reference_rate(_rates(w.silver_state, STATE), w.country, [], "brasil")
 
 
 @query("prior_year_context")
 def _(w):
-    """Takes the way for published tables too large to broadcast."""
+    """With hot keys apart: cuts of a place above the mean take one way, the others the other."""
     pupils = typed(normalize_ids(w.pupils(), ["id_aluno", "id_municipio"]), ["rede", "serie"])
     keyed = pupils.select(
         "id_aluno", "id_municipio", F.col("ano").alias("ano_referencia"), "rede", "serie"
     )
     published = as_written_table(w.silver_municipality, "municipio")
-    return attach_year_before(keyed, published, fits=False)
+    return attach_year_before(
+        as_written_table(keyed, "alunos"), published, split_hot=True, hot_factor=1.0
+    )
 
 
 # ---- aggregations -------------------------------------------------------------------
@@ -635,10 +660,12 @@ def _(w):
 
 @query("latest_goal")
 def _(w):
-    """The latest event of each year and network, by the order of event ids."""
+    """The latest event of each year and network, event ids in the place of lines."""
     received = stream.accepted(stream.goal_items(w.goal_events()))
-    latest = one_per_key(received, ["ano", "rede"], prefer=["event_id"], latest=True)
-    return latest.select("ano", "rede", "event_id")
+    placed = received.withColumns({
+        "lote": F.lit(0), "chegada": F.lit(None).cast("timestamp"), "linha": F.col("event_id"),
+    })
+    return stream.latest_goals(placed).select("ano", "rede", "event_id")
 
 
 @query("stream_ingest")
@@ -655,6 +682,23 @@ def _(w):
     )
 
 
+@query("stream_acknowledgement")
+def _(w):
+    """Events a finished run took in, and the goals it stored."""
+    root = scratch_folder(w.spark, "events")
+    w.goal_events().select("value").write.text(f"{root}/incoming")
+    run = stream.start_goal_stream(
+        stream.read_goal_events(w.spark, f"{root}/incoming"),
+        f"{root}/received", f"{root}/quarantine", f"{root}/checkpoint",
+    )
+    run.awaitTermination()
+    stored = stream.read_received(w.spark, f"{root}/received")
+    return stored.agg(
+        F.lit(stream.acknowledgement(run)["eventos"]).cast("bigint").alias("eventos"),
+        F.count(F.lit(1)).alias("metas"),
+    )
+
+
 # ---- tables -------------------------------------------------------------------------
 
 
@@ -743,32 +787,34 @@ def _(w):
 
 @query("q1_result_vs_goal")
 def _(w):
-    return reports.result_against_goal(w.comparison(MUNICIPALITY), CURRENT_YEAR)
+    return reports.result_against_goal(w.published_comparison(MUNICIPALITY), CURRENT_YEAR)
 
 
 @query("q2_goal_reached")
 def _(w):
-    return reports.goal_reached(w.comparison(MUNICIPALITY), CURRENT_YEAR)
+    return reports.goal_reached(w.published_comparison(MUNICIPALITY), CURRENT_YEAR)
 
 
 @query("q3_distance_by_goal_year")
 def _(w):
-    return reports.distance_by_goal_year(w.comparison(MUNICIPALITY), CURRENT_YEAR)
+    return reports.distance_by_goal_year(w.published_comparison(MUNICIPALITY), CURRENT_YEAR)
 
 
 @query("q4_state_ranking")
 def _(w):
-    return reports.state_ranking(w.comparison(STATE), CURRENT_YEAR, FINAL_YEAR)
+    return reports.state_ranking(w.published_comparison(STATE), CURRENT_YEAR, FINAL_YEAR)
 
 
 @query("q5_states_below")
 def _(w):
-    return reports.states_below_goal(w.comparison(MUNICIPALITY), CURRENT_YEAR)
+    return reports.states_below_goal(w.published_comparison(MUNICIPALITY), CURRENT_YEAR)
 
 
 @query("q6_state_spread")
 def _(w):
-    return reports.spread_between_and_within_states(w.municipality, CURRENT_YEAR)
+    return reports.spread_between_and_within_states(
+        w.published(w.municipality, "indicador_municipio"), CURRENT_YEAR
+    )
 
 
 @query("q7_national_goal_vs_result")

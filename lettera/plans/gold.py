@@ -26,7 +26,6 @@ from lettera.operators.goals import (
     attach_goal_of_year,
     goals_against_results,
 )
-from lettera.operators.joins import fits_broadcast
 from lettera.operators.rollup import pupil_volume, roll_up
 from lettera.operators.timeline import with_changes
 
@@ -97,18 +96,14 @@ def indicator_municipality(
     country: DataFrame,
     model: IndicatorModel,
 ) -> DataFrame:
-    """``states`` and ``country`` are best given as written tables: ``states`` is counted
-    to see whether it can be broadcast."""
+    """``states`` and ``country`` are best given as written tables, of which Spark knows the size."""
     df = _published(silver, parts, goals, MUNICIPALITY, model)
-    df = attach_reference_rate(
-        df, states, ["sigla_uf"], "uf", fits=fits_broadcast(states)
-    )
+    df = attach_reference_rate(df, states, ["sigla_uf"], "uf")
     return finished(_against_country(df, country), MUNICIPALITY)
 
 
 def _against_country(df: DataFrame, country: DataFrame) -> DataFrame:
-    """The country has one row per year, grade and network: always few enough."""
-    return attach_reference_rate(df, country, [], "brasil", fits=True)
+    return attach_reference_rate(df, country, [], "brasil")
 
 
 def goal_comparison(indicator: DataFrame, goals: DataFrame, level: Level) -> DataFrame:
@@ -129,12 +124,11 @@ def pupil_features(
     published: DataFrame,
     model: IndicatorModel,
     *,
-    published_fits: bool,
     bucket=murmur_bucket,
 ) -> DataFrame:
     """Pupils with a known target, last year's context and their part of the split."""
     known = pupils.where(F.col("alfabetizado").isNotNull())
-    df = attach_year_before(known, published, fits=published_fits)
+    df = attach_year_before(known, published)
     label = split_label(F.col("id_aluno"), model.splits, bucket)
     return (
         df.withColumn("dataset_split", label)

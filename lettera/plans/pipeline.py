@@ -22,7 +22,6 @@ from lettera.model import (
     Level,
 )
 from lettera.operators import quality
-from lettera.operators.joins import fits_broadcast
 from lettera.operators.quality import require_columns
 from lettera.operators.rollup import additive_parts
 from lettera.plans import gold, silver
@@ -125,9 +124,7 @@ def build_goal_dependent(spark: SparkSession, layers: Layers, model: IndicatorMo
 def build_features(spark: SparkSession, layers: Layers, model: IndicatorModel) -> None:
     pupils = scan(spark, f"{layers.silver}/alunos")
     places = scan(spark, f"{layers.silver}/municipio")
-    features = gold.pupil_features(
-        pupils, places, model, published_fits=fits_broadcast(places)
-    )
+    features = gold.pupil_features(pupils, places, model)
     write_partitioned(features, f"{layers.gold}/ml_aluno", ["ano"])
 
 

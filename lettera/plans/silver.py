@@ -9,7 +9,6 @@ from lettera.functions import normalized_state
 from lettera.model import COUNTRY, MUNICIPALITY, STATE, IndicatorModel
 from lettera.operators.clean import drop_duplicate_rows, normalize_ids, typed
 from lettera.operators.goals import union_goals
-from lettera.operators.joins import fits_broadcast
 from lettera.operators.lookup import decode, enrich
 
 # Coded column -> its description.
@@ -22,7 +21,7 @@ PUPIL_CODES = SUMMARY_CODES | {
 
 
 def _stamped(df: DataFrame) -> DataFrame:
-    """The year stays inside the files too, so that a single file explains itself."""
+    """Add the reference year, which partitioning by ``ano`` leaves in the rows, and the time."""
     return df.withColumns({
         "ano_referencia": F.col("ano"),
         "processed_at": F.current_timestamp(),
@@ -35,7 +34,6 @@ def _with_place(df: DataFrame, localities: DataFrame) -> DataFrame:
         localities,
         "id_municipio",
         ["nome_municipio", "sigla_uf"],
-        dimension_fits=fits_broadcast(localities),
     )
     return placed.withColumn("sigla_uf", normalized_state(F.col("sigla_uf")))
 
@@ -43,10 +41,7 @@ def _with_place(df: DataFrame, localities: DataFrame) -> DataFrame:
 def silver_state(source: DataFrame, dictionary: DataFrame) -> DataFrame:
     df = normalize_ids(drop_duplicate_rows(source), states=["sigla_uf"])
     df = typed(df, ["ano", "serie", "rede"], ["taxa_alfabetizacao", "media_portugues"])
-    df = decode(
-        df, dictionary, "uf", SUMMARY_CODES, dictionary_fits=fits_broadcast(dictionary)
-    )
-    return _stamped(df)
+    return _stamped(decode(df, dictionary, "uf", SUMMARY_CODES))
 
 
 def silver_municipality(
@@ -55,11 +50,7 @@ def silver_municipality(
     df = normalize_ids(drop_duplicate_rows(source), ids=["id_municipio"])
     df = typed(df, ["ano", "serie", "rede"], ["taxa_alfabetizacao", "media_portugues"])
     df = _with_place(df, localities)
-    df = decode(
-        df, dictionary, "municipio", SUMMARY_CODES,
-        dictionary_fits=fits_broadcast(dictionary),
-    )
-    return _stamped(df)
+    return _stamped(decode(df, dictionary, "municipio", SUMMARY_CODES))
 
 
 def silver_pupils(
@@ -74,10 +65,7 @@ def silver_pupils(
         ["proficiencia", "peso_aluno"],
     )
     df = _with_place(df, localities)
-    df = decode(
-        df, dictionary, "alunos", PUPIL_CODES, dictionary_fits=fits_broadcast(dictionary)
-    )
-    return _stamped(df)
+    return _stamped(decode(df, dictionary, "alunos", PUPIL_CODES))
 
 
 def silver_goals(

@@ -52,8 +52,8 @@ def list_objects(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path", "length", "modificationTime")
     )
-    marker = "/" + root.rstrip("/").rsplit("/", 1)[-1] + "/"
-    below = F.element_at(F.split(F.col("path"), _quoted(marker)), -1)
+    # The first occurrence of the whole root: folders below may repeat its last step.
+    below = F.element_at(F.split(F.col("path"), _quoted(_plain_path(root) + "/"), 2), -1)
     return files.select(
         F.element_at(F.split(below, "/"), 1).alias("conjunto"),
         "path",
@@ -100,5 +100,10 @@ def snapshot(
     return paths
 
 
+def _plain_path(root: str) -> str:
+    """A folder without its scheme and without a slash at the end."""
+    return root.split(":", 1)[-1].rstrip("/").replace("//", "/")
+
+
 def _quoted(text: str) -> str:
     return "\\Q" + text + "\\E"

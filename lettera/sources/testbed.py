@@ -109,9 +109,9 @@ class Testbed:
         )
         keys = ["l_suppkey", "ano", "serie", "rede"]
         parts = lines.groupBy(*keys).agg(
-            F.expr("SUM(alfabetizado * peso_aluno) AS soma_ponderada"),
-            F.expr("SUM(IF(alfabetizado IS NOT NULL, peso_aluno, NULL)) AS soma_pesos"),
-            F.expr("SUM(CAST(alfabetizado AS DOUBLE)) AS soma_alfabetizados"),
+            F.expr("SUM(alfabetizado * peso_aluno) AS peso_alfabetizado"),
+            F.expr("SUM(IF(alfabetizado IS NOT NULL, peso_aluno, NULL)) AS peso_conhecido"),
+            F.expr("SUM(CAST(alfabetizado AS DOUBLE)) AS alfabetizados"),
             F.expr("COUNT(alfabetizado) AS qtd_alunos"),
             F.expr("COUNT(*) AS linhas"),
             F.expr("SUM(centavos) AS centavos"),

@@ -25,7 +25,7 @@ REJECT_FORMAT = "formato nao suportado"
 REJECT_YEAR = "sem ano"
 
 BRONZE_SCHEMA = (
-    "chegada timestamp, ordem int, ano int, rede string, item string, lote bigint"
+    "chegada timestamp, linha bigint, ordem int, ano int, rede string, item string, lote bigint"
 )
 
 
@@ -115,9 +115,12 @@ def quarantined(items: DataFrame) -> DataFrame:
 
 
 def latest_goals(received: DataFrame) -> DataFrame:
-    """Of the goals received for one year and network, the last to arrive."""
+    """Of the goals received for one year and network, the last to arrive.
+
+    Batches come first, then the arrival of files, the lines of a file, the places in a line.
+    """
     return one_per_key(
-        received, ["ano", "rede"], prefer=["lote", "chegada", "ordem"], latest=True
+        received, ["ano", "rede"], prefer=["lote", "chegada", "linha", "ordem"], latest=True
     )
 
 
@@ -189,7 +192,9 @@ def start_goal_stream(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        items = goal_items(batch).persist()
+        # Numbers rise along the lines of a file, so that the later of two lines counts.
+        lines = batch.withColumn("linha", F.monotonically_increasing_id())
+        items = goal_items(lines).persist()
         try:
             stored = Observation()
             accepted(items).observe(stored, F.count(F.lit(1)).alias("goals")) \

@@ -246,9 +246,9 @@ def _evolution(source: str, level: str, key: str | None) -> str:
             AND g.rede = e.rede AND g.ano_publicacao = e.ano_referencia {place}"""
 
 
-PARTS = """sum(alfabetizado * peso_aluno) AS soma_ponderada,
-    sum(CASE WHEN alfabetizado IS NOT NULL THEN peso_aluno END) AS soma_pesos,
-    CAST(sum(alfabetizado) AS DOUBLE) AS soma_alfabetizados,
+PARTS = """sum(alfabetizado * peso_aluno) AS peso_alfabetizado,
+    sum(CASE WHEN alfabetizado IS NOT NULL THEN peso_aluno END) AS peso_conhecido,
+    CAST(sum(alfabetizado) AS DOUBLE) AS alfabetizados,
     count(alfabetizado) AS qtd_alunos"""
 
 
@@ -311,6 +311,11 @@ STATEMENTS = {
     "layer_inventory": " UNION ALL ".join(
         f"SELECT '{t}' AS conjunto, count(*) AS registros FROM {t}" for t in TABLES
     ),
+    "list_objects": " UNION ALL ".join(
+        f"SELECT '{t}' AS conjunto, count(*) > 0 AS tem_dados FROM {t}" for t in TABLES
+    ),
+    "describe_columns": """SELECT ordinal_position - 1 AS posicao, column_name AS coluna
+        FROM information_schema.columns WHERE table_name = 'lineitem'""",
     "write_partitioned": """SELECT id_municipio, id_aluno, serie, rede, peso_aluno, ano,
         ano AS ano_referencia FROM raw_pupil""",
     "write_single_file": """SELECT ano, CAST(1 AS BIGINT) AS arquivos,
@@ -471,6 +476,8 @@ STATEMENTS = {
             value + y - 1995 AS meta_alfabetizacao
         FROM goal_event JOIN range(1996, 2003) AS r(y) ON y > ano
         WHERE forma <= 5""",
+    "stream_acknowledgement": """SELECT count(*) AS eventos,
+            count(*) FILTER (WHERE forma <= 5) AS metas FROM goal_event""",
     # tables
     "silver_state": "SELECT * FROM silver_s",
     "silver_municipality": "SELECT * FROM silver_m",

@@ -8,8 +8,8 @@ from lettera.plans.gold import FEATURE_COLUMNS
 from tests.conftest import as_set
 
 
-@pytest.mark.parametrize("fits", [True, False])
-def test_context_is_last_years_and_of_the_same_grade(rows, fits):
+@pytest.mark.parametrize("split", [True, False])
+def test_context_is_last_years_and_of_the_same_grade(rows, split):
     pupils = rows(
         [("p", "1", 2024, 3, 2), ("q", "1", 2025, 3, 2), ("r", "1", 2025, 3, 5),
          ("s", "1", 2025, None, 2), ("t", "9", 2025, 3, 2)],
@@ -21,13 +21,26 @@ def test_context_is_last_years_and_of_the_same_grade(rows, fits):
         "id_municipio string, ano_referencia int, rede int, serie int, "
         "taxa_alfabetizacao double, media_portugues double",
     )
-    out = attach_year_before(pupils, published, fits=fits)
+    out = attach_year_before(pupils, published, split_hot=split)
     assert out.count() == 5
     assert as_set(out, "id_aluno", "taxa_alfabetizacao_municipio_ano_anterior") == {
         ("p", None), ("q", 50.0), ("r", 60.0), ("s", None), ("t", None),
     }
 
 
+def test_doubled_published_rows_repeat_no_pupil(rows):
+    pupils = rows(
+        [("q", "1", 2025, 3, 2)],
+        "id_aluno string, id_municipio string, ano_referencia int, rede int, serie int",
+    )
+    published = rows(
+        [("1", 2024, 3, 2, 50.0, 700.0), ("1", 2024, 3, 2, 60.0, 700.0)],
+        "id_municipio string, ano_referencia int, rede int, serie int, "
+        "taxa_alfabetizacao double, media_portugues double",
+    )
+    assert attach_year_before(pupils, published).count() == 1
+
+
 def test_feature_table(workspace):
     features = workspace.features(portable_bucket)
     known = workspace.silver_pupils.where("alfabetizado IS NOT NULL")

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lettera.operators.joins import fits_broadcast, hot_keys, left_lookup
+from lettera.operators.joins import hot_keys, left_lookup
 from lettera.operators.lookup import decode, dictionary_entries, enrich
 from tests.conftest import as_set
 
@@ -24,11 +24,11 @@ def test_entries_of_one_column(dictionary):
     assert found == {("3", "Municipal"), ("2", "Estadual")}
 
 
-@pytest.mark.parametrize("fits", [True, False])
-def test_decode_keeps_every_row(rows, dictionary, fits):
+@pytest.mark.parametrize("split", [True, False])
+def test_decode_keeps_every_row(rows, dictionary, split):
     df = rows([(1, 3, 2), (2, 2, 9), (3, 4, None), (4, None, 2)], "id int, rede int, serie int")
     out = decode(
-        df, dictionary, "uf", {"rede": "r", "serie": "s"}, dictionary_fits=fits
+        df, dictionary, "uf", {"rede": "r", "serie": "s"}, split_hot=split
     )
     no = "Nao informado"
     assert out.columns == ["id", "rede", "serie", "r", "s"]
@@ -37,14 +37,14 @@ def test_decode_keeps_every_row(rows, dictionary, fits):
     }
 
 
-@pytest.mark.parametrize("fits", [True, False])
-def test_enrich_neither_multiplies_nor_drops(rows, fits):
+@pytest.mark.parametrize("split", [True, False])
+def test_enrich_neither_multiplies_nor_drops(rows, split):
     places = rows(
         [(" 1", "B", "rs"), ("1 ", "A", "rs"), ("2", "C", "sp")],
         "id string, nome string, uf string",
     )
     df = rows([("1", 10), ("1", 11), ("2", 12), ("3", 13), (None, 14)], "id string, v int")
-    out = enrich(df, places, "id", ["nome", "uf"], dimension_fits=fits)
+    out = enrich(df, places, "id", ["nome", "uf"], split_hot=split)
     assert as_set(out, "v", "nome") == {
         (10, "A"), (11, "A"), (12, "C"), (13, None), (14, None),
     }
@@ -65,7 +65,7 @@ def test_hot_keys_give_the_same_rows(spark, hot_share):
         spark.sql("SELECT 'hot' AS k, 7L AS a")
     )
     expected = fact.join(side, ["k"], "left").select("k", "v", "a")
-    out = left_lookup(fact, side, ["k"], fits=False, hot_share=hot_share)
+    out = left_lookup(fact, side, ["k"], split_hot=True, hot_factor=0.0, hot_share=hot_share)
     assert out.columns == ["k", "v", "a"]
     assert out.count() == fact.count()
     assert out.exceptAll(expected).count() == 0
@@ -74,25 +74,25 @@ def test_hot_keys_give_the_same_rows(spark, hot_share):
 def test_hot_key_without_partner_stays(spark):
     fact = skewed(spark, 300)
     side = spark.sql("SELECT 'absent' AS k, 1 AS a")
-    out = left_lookup(fact, side, ["k"], fits=False, hot_share=0.2)
+    out = left_lookup(fact, side, ["k"], split_hot=True, hot_factor=0.0, hot_share=0.2)
     assert out.count() == 300 and out.where("a IS NOT NULL").count() == 0
 
 
 def test_two_keys(spark):
     fact = skewed(spark, 3000).withColumn("y", F.col("v") % 2)
     side = spark.sql("SELECT 'hot' AS k, 1L AS y, 9 AS a")
-    out = left_lookup(fact, side, ["k", "y"], fits=False, hot_share=0.1)
+    out = left_lookup(fact, side, ["k", "y"], split_hot=True, hot_factor=0.0, hot_share=0.1)
     assert out.where("a = 9").count() == fact.where("k = 'hot' AND y = 1").count()
     assert out.count() == 3000
 
 
 def test_only_hot_keys_are_taken_out_of_the_shuffle(spark):
     fact = skewed(spark)
-    assert as_set(hot_keys(fact, ["k"], 0.2)) == {("hot",)}
-    assert hot_keys(fact, ["k"], 1e-9).count() == fact.select("k").distinct().count() - 1
+    assert as_set(hot_keys(fact, ["k"], 0.0, 0.2)) == {("hot",)}
+    assert hot_keys(fact, ["k"], 0.0, 1e-9).count() == fact.select("k").distinct().count() - 1
 
     side = spark.range(4000).selectExpr("CONCAT('k', id) AS k", "id AS a")
-    out = left_lookup(fact, side, ["k"], fits=False, hot_share=0.2)
+    out = left_lookup(fact, side, ["k"], split_hot=True, hot_factor=0.0, hot_share=0.2)
     shuffled, settled = (
         out._jdf.queryExecution().optimizedPlan().toString().split("\n+- ", 1)
     )
@@ -100,6 +100,25 @@ def test_only_hot_keys_are_taken_out_of_the_shuffle(spark):
     assert "isnotnull(_hot" in settled and "rightHint=(strategy=broadcast)" in settled
 
 
-def test_size_check(spark):
-    assert fits_broadcast(spark.range(10), max_rows=10)
-    assert not fits_broadcast(spark.range(11), max_rows=10)
+def test_both_ways_hold_rows(spark):
+    fact = skewed(spark)
+    side = spark.range(4000).selectExpr("CONCAT('k', id) AS k", "id AS a")
+    assert as_set(hot_keys(fact, ["k"]), "k") == {("hot",)}
+    out = left_lookup(fact, side, ["k"], split_hot=True)
+    hot = fact.where("k = 'hot'").count()
+    cold = fact.where("k <> 'hot'").count()
+    assert hot > 0 and cold > 0
+    assert out.where("k = 'hot'").count() == hot and out.where("k <> 'hot'").count() == cold
+
+
+def test_even_keys_are_not_hot(spark):
+    fact = spark.range(1000).selectExpr("CAST(id % 100 AS STRING) AS k")
+    assert hot_keys(fact, ["k"]).count() == 0
+
+
+def test_fact_is_read_once_without_hints(spark, tmp_path):
+    skewed(spark, 300).write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    side = spark.range(10).selectExpr("CONCAT('k', id) AS k", "id AS a")
+    plan = left_lookup(fact, side, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1 and "Hint" not in plan

@@ -28,8 +28,8 @@ def test_lookup(spark, fact_rows, known, hot_share):
     fact = spark.createDataFrame(fact_rows, "k string, v int")
     side = spark.createDataFrame([(k, k * 2) for k in known], "k string, a string")
     expected = sorted(((k, v, k * 2 if k in known else None) for k, v in fact_rows), key=str)
-    for fits in (True, False):
-        out = left_lookup(fact, side, ["k"], fits=fits, hot_share=hot_share)
+    for split in (True, False):
+        out = left_lookup(fact, side, ["k"], split_hot=split, hot_factor=0.0, hot_share=hot_share)
         assert sorted((tuple(r) for r in out.collect()), key=str) == expected
 
 

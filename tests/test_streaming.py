@@ -134,6 +134,15 @@ class Run:
         return stream.read_received(self.spark, str(self.root / "received"))
 
 
+def test_the_later_line_of_one_file_counts(spark, tmp_path):
+    run = Run(spark, tmp_path)
+    run.drop("a.json", {"metas": goal(2024, "Municipal", g2030="90")},
+             {"metas": goal(2024, "Municipal", g2030="10")})
+    run()
+    goals = stream.goal_years_of(stream.latest_goals(run.received()))
+    assert as_set(goals, "ano_meta", "meta_alfabetizacao") == {(2030, 10.0)}
+
+
 def test_stream_continues_and_the_latest_goal_counts(spark, tmp_path):
     calls = []
     run = Run(spark, tmp_path, lambda session, batch, goals: calls.append((batch, goals)))
