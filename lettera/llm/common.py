@@ -72,6 +72,8 @@ def map_batches(
                 full = []
         if full:
             yield pa.RecordBatch.from_pylist(full, schema=fields)
+        # A worker outlives its task: what the pool keeps would weigh on the next stages.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -10,7 +10,7 @@ The pieces, numbered within their length, are then dealt to the bins by a join.
 from __future__ import annotations
 
 import zlib
-from itertools import chain
+from functools import cache
 
 import numpy as np
 from pyspark import TaskContext
@@ -22,7 +22,7 @@ from lettera.llm.common import map_batches, stored, text_of, texts
 TOKENIZER = "byte_bpe_50k"
 END = 0
 #: Chunks of text whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 class Encoder:
@@ -49,8 +49,8 @@ class Encoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
 
         class Chunks(dict):
-            def __missing__(self, text: str):
-                ids = chunk(" " + text)
+            def __missing__(self, text: str) -> bytes:
+                ids = np.array(chunk(" " + text), "<u4").tobytes()
                 if len(self) < REMEMBERED and len(text) < 100:
                     self[text] = ids
                 return ids
@@ -65,9 +65,14 @@ class Encoder:
             return np.array(self.first(text), "<u4")
         if not head or head[-1].isspace() or any(not r or r[0].isspace() or r[-1].isspace() for r in rest):
             return np.array(self.first(text), "<u4")
-        return np.fromiter(
-            chain(self.first(head), chain.from_iterable(map(self.chunks.__getitem__, rest))), "<u4"
-        )
+        first = np.array(self.first(head), "<u4").tobytes()
+        return np.frombuffer(first + b"".join(map(self.chunks.__getitem__, rest)), "<u4")
+
+
+@cache
+def encoder_of(name: str) -> Encoder:
+    """The worker's one encoder of a vocabulary, kept from task to task."""
+    return Encoder(name)
 
 
 def pieces(docs: DataFrame, capacity: int, tokenizer: str = TOKENIZER) -> DataFrame:
@@ -77,7 +82,7 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str = TOKENIZER) -> DataFr
     only its first piece may be shorter.  ``part`` and ``nth`` number the pieces of one length.
     """
     def work(batches):
-        encoder, task = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, task = encoder_of(tokenizer), TaskContext.get().partitionId()
         seen: dict[int, int] = {}
         for batch in batches:
             for doc, text in zip(batch.column(0), texts(batch, "text"), strict=True):
