@@ -6,10 +6,11 @@ p the shares of documents,
 
     disclosure(e; t) = PMI(e; t) / IC(e) = log(p(e, t) / (p(e) p(t))) / -log p(e),
 
-which is 1 when the entity follows from the term.  Where a term that stands near an entity
-discloses it beyond the threshold, it is replaced by its generalisation (its first letters) if
-that discloses little enough, else removed.  A pair needs evidence from different contexts, so
-copies of one text prove nothing.  All of it is native expressions, grouped counts and joins.
+which is 1 when the entity follows from the term.  A term that discloses an entity beyond the
+threshold is replaced by its generalisation (its first letters) if that discloses little enough,
+else removed: wherever it stands, also in documents without the entity.  A pair needs evidence
+from different contexts of the entity, so copies of one text prove nothing.  All of it is native
+expressions, grouped counts and joins.
 """
 
 from __future__ import annotations
@@ -33,9 +34,12 @@ GROUPED = {
     "card": r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?![0-9])",
     "phone": r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])",
 }
-#: Characters around a mention that count as its context, on either side.
+#: Characters around a mention, on either side, that tell its context from others.
 REACH = 80
-TERM = r"[\p{L}\p{N}]+"
+#: Stands for each character of personal data where words are cut, and is in no text then.
+FILL = "\uffff"
+TERM = rf"[\p{{L}}\p{{N}}{FILL}]+"
+BREAK = rf"[^\p{{L}}\p{{N}}{FILL}]+"
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 
@@ -131,29 +135,61 @@ def spans_of(text: Column) -> Column:
     return F.concat(*map(of_kind, KINDS))
 
 
-def context_terms(text: Column, start: Column, end: Column) -> Column:
-    """Whole words within ``REACH`` characters of a span: term (lower case), start, end."""
-    def side(at: Column, piece: Column, cut_left: Column, cut_right: Column) -> Column:
-        window = F.struct(
-            piece.alias("piece"), F.length(piece).alias("n"), at.alias("at"),
-            cut_left.alias("cut_left"), cut_right.alias("cut_right"),
-        )
-        return let(window, lambda w: F.transform(
-            F.filter(
-                places(w["piece"], TERM),
-                lambda s: ~(w["cut_left"] & (s["start"] == 0)) & ~(w["cut_right"] & (s["end"] == w["n"])),
-            ),
-            lambda s: F.struct(
-                F.lower(s["value"]).alias("term"),
-                (s["start"] + w["at"]).alias("start"), (s["end"] + w["at"]).alias("end"),
-            ),
-        ))
+def masked(text: Column, spans: Column) -> Column:
+    """``text`` with ``FILL`` for each character of the spans, so all places stay the same."""
+    plain = F.translate(text, FILL, " ")
+    filled = F.aggregate(
+        F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
+        lambda a, s: F.struct(
+            F.greatest(a["at"], s["end"]).alias("at"),
+            F.concat(a["out"], F.array(
+                F.substring(plain, a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0))),
+                F.repeat(F.lit(FILL), F.greatest(s["end"] - F.greatest(a["at"], s["start"]), F.lit(0))),
+            )).alias("out"),
+        ),
+        lambda a: F.concat(F.array_join(a["out"], ""), F.substring(plain, a["at"] + 1, F.length(plain))),
+    )
+    return F.when(F.size(spans) > 0, filled).otherwise(plain)
 
-    left, none = F.greatest(start - REACH, F.lit(0)), F.lit(False)
-    return F.concat(
-        side(left, F.substring(text, left + 1, start - left), left > 0, none),
-        side(end, F.substring(text, end + 1, F.lit(REACH)), none, F.length(text) > end + REACH),
+
+def terms_of(text: Column, spans: Column) -> Column:
+    """The different whole words (lower case) of a text that touch no personal data."""
+    own = F.filter(
+        F.array_distinct(F.split(masked(text, spans), BREAK, -1)),
+        lambda w: (w != "") & ~F.contains(w, F.lit(FILL)),
     )
+    return F.array_distinct(F.transform(own, F.lower))
+
+
+def term_places(text: Column, spans: Column, held: Column) -> Column:
+    """Start, end and action of every word of ``text`` whose term is in ``held`` (term, action)."""
+    names = F.transform(held, lambda h: h["term"])
+    start = F.struct(
+        F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,action:string>>").alias("out")
+    )
+
+    def walk(pieces: Column, hits: Column) -> Column:
+        words = F.transform(hits, lambda h, i: F.struct(
+            F.length(F.get(pieces, i)).alias("gap"), F.length(h).alias("n"),
+            F.array_position(names, F.lower(h)).cast("int").alias("which"),
+        ))
+        return F.aggregate(
+            words, start,
+            lambda a, x: F.struct(
+                (a["at"] + x["gap"] + x["n"]).alias("at"),
+                F.when(x["which"] == 0, a["out"]).otherwise(F.concat(a["out"], F.array(F.struct(
+                    (a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["n"]).alias("end"),
+                    F.get(held, x["which"] - 1)["action"].alias("action"),
+                )))).alias("out"),
+            ),
+            lambda a: a["out"],
+        )
+
+    return let(masked(text, spans), lambda m: let(
+        F.struct(F.split(m, TERM, -1).alias("pieces"), F.regexp_extract_all(m, F.lit(TERM), F.lit(0)).alias("hits")),
+        lambda s: walk(s["pieces"], s["hits"]),
+    ))
 
 
 def generalised(term: Column) -> Column:
@@ -161,14 +197,11 @@ def generalised(term: Column) -> Column:
     return F.concat(F.substring(term, 1, 3), F.lit("*"))
 
 
-def found(
-    docs: DataFrame, text: str = "text", keep: list[str] | None = None, bare: bool = True,
-) -> DataFrame:
-    """Stored rows: ``row``, ``id`` (one for each row), ``spans``, ``context`` of the mentions.
+def found(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Stored rows: ``row``, ``id`` (one for each row), ``spans``, ``context`` of the mentions, ``text``.
 
-    ``keep`` names the columns to carry in ``row``, all by default; ``text`` stays beside them
-    where there are mentions.  A null text counts as the empty one and has no spans.  Without
-    ``bare`` only rows with spans are there.
+    ``keep`` names the columns to carry in ``row``, all by default.  A null text counts as the
+    empty one and has no spans.
     """
     names = docs.columns if keep is None else keep
     whole = text_of(text)
@@ -176,25 +209,20 @@ def found(
     def context(spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct(
             s["entity"].alias("entity"),
-            F.filter(
-                context_terms(whole, s["start"], s["end"]),
-                lambda t: ~F.exists(spans, lambda o: (o["start"] < t["end"]) & (t["start"] < o["end"])),
-            ).alias("terms"),
             F.xxhash64(F.substring(whole, F.greatest(s["start"] - REACH, F.lit(0)) + 1,
                                    s["end"] - s["start"] + 2 * REACH)).alias("place"),
         ))
 
     marks = let(spans_of(whole), lambda spans: F.struct(
-        spans.alias("spans"),
-        F.when(F.size(spans) > 0, context(spans)).alias("context"),
-        F.when(F.size(spans) > 0, whole).alias("text"),
+        spans.alias("spans"), F.when(F.size(spans) > 0, context(spans)).alias("context"),
     ))
-    every = docs.select(
+    beside = [] if text in names else [whole.alias("text")]
+    rows = stored(docs.select(
         F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"),
-        F.monotonically_increasing_id().alias("id"), marks.alias("marks"),
-    )
-    rows = stored(every if bare else every.filter(F.size("marks.spans") > 0), "sanitise-found")
-    return rows.select("row", "id", "marks.spans", "marks.context", "marks.text")
+        F.monotonically_increasing_id().alias("id"), marks.alias("marks"), *beside,
+    ), "sanitise-found")
+    own = F.col("text") if beside else F.coalesce(F.col("row")[text].cast("string"), F.lit(""))
+    return rows.select("row", "id", "marks.spans", "marks.context", own.alias("text"))
 
 
 def disclosing(
@@ -203,73 +231,81 @@ def disclosing(
 ) -> DataFrame:
     """Pairs of entity and term whose disclosure reaches ``threshold``; what becomes of the term.
 
-    Counts are over all documents: those with the entity, with the term anywhere, and with both
-    within a context.  ``least_contexts`` is in how many different contexts a pair must have
-    been seen.  Columns: entity, term, disclosure, action ("generalise" or "remove").
+    Counts are over all documents: those with the entity, with the term, and with both anywhere.
+    ``least_contexts`` is in how many different contexts of the entity a pair must have been seen.
+    Entities and terms are left out before they are paired only where no pair of them could reach
+    the threshold: both occur together at most as often as either.  Columns: entity, term,
+    disclosure, action ("generalise" or "remove").
     """
-    n = docs.count()
-    mentions = marked.filter(F.size("spans") > 0).select("id", F.explode("context").alias("c"))
-    of_entity = mentions.select("id", "c.entity").distinct().groupBy("entity").agg(F.count("*").alias("ne"))
-    near = mentions.select("id", "c.entity", "c.place", F.explode("c.terms.term").alias("term"))
-    near = near.select("id", "entity", "place", F.explode(F.array("term", generalised(F.col("term")))).alias("term"))
+    n = marked.count()
+    total = F.lit(float(max(n, 1)))
+    mentions = (
+        marked.filter(F.size("spans") > 0).select("id", F.explode("context").alias("c"))
+        .groupBy("id", "c.entity").agg(F.min("c.place").alias("place"))
+    )
+    of_entity = (
+        mentions.groupBy("entity", "place").agg(F.count("*").alias("n"))
+        .groupBy("entity").agg(F.sum("n").alias("ne"), F.count("*").alias("contexts"))
+        .filter(F.col("contexts") >= least_contexts).select("entity", "ne")
+    )
+    known = stored(mentions.join(of_entity, "entity"), "sanitise-mentions")
+    own = terms_of(F.col("text"), F.col("spans"))
+    every = let(own, lambda w: F.array_distinct(F.concat(w, F.transform(w, generalised))))
+    of_term = marked.select(F.explode(every).alias("term")).groupBy("term").agg(F.count("*").alias("nw"))
+    ic = F.log(total / F.col("ne"))
+    most = known.groupBy("id").agg(F.max("ne").alias("most"))
+    here = marked.join(most, "id").select("id", "most", F.explode(every).alias("term"))
+    may = F.log(total / F.col("nw")) >= threshold * F.log(total / F.col("most")) - 1e-9
+    here = here.join(of_term, "term").filter(may).select("id", "term", "nw")
     both = (
-        near.groupBy("entity", "term", "id").agg(F.min("place").alias("place"))
-        .groupBy("entity", "term", "place").agg(F.count("*").alias("n"))
-        .groupBy("entity", "term").agg(F.sum("n").alias("nt"), F.count("*").alias("contexts"))
+        here.join(known, "id").filter(F.log(total / F.col("nw")) >= threshold * ic - 1e-9)
+        .groupBy("entity", "term", "place")
+        .agg(F.count("*").alias("n"), F.max("ne").alias("ne"), F.max("nw").alias("nw"))
+        .groupBy("entity", "term")
+        .agg(F.sum("n").alias("nt"), F.count("*").alias("contexts"), F.max("ne").alias("ne"), F.max("nw").alias("nw"))
         .filter(F.col("contexts") >= least_contexts)
     )
-    own = F.filter(F.split(F.lower(text_of(text)), r"[^\p{L}\p{N}]+", -1), lambda w: w != "")
-    all_terms = let(own, lambda w: F.array_distinct(F.concat(w, F.transform(w, generalised))))
-    of_term = docs.select(F.explode(all_terms).alias("term")).groupBy("term").agg(F.count("*").alias("nw"))
-    total = F.lit(float(max(n, 1)))
     pmi = F.log(F.col("nt") * total / (F.col("ne") * F.col("nw")))
-    ic = F.log(total / F.col("ne"))
     scored = stored(
-        both.join(of_entity, "entity").join(of_term, "term")
-        .select("entity", "term", F.coalesce(F.try_divide(pmi, ic), F.lit(0.0)).alias("disclosure")),
+        both.select("entity", "term", F.coalesce(F.try_divide(pmi, ic), F.lit(0.0)).alias("disclosure"))
+        .filter(F.col("disclosure") >= threshold),
         "sanitise-disclosure",
     )
-    whole = scored.filter(~F.col("term").endswith("*") & (F.col("disclosure") >= threshold))
+    whole = scored.filter(~F.col("term").endswith("*"))
+    # A generalisation is wherever its terms are: if it is not here, it discloses too little.
     general = scored.filter(F.col("term").endswith("*")).select(
-        "entity", F.col("term").alias("general"), F.col("disclosure").alias("left_over")
+        "entity", F.col("term").alias("general"), F.lit(True).alias("discloses")
     )
     return (
         whole.withColumn("general", generalised(F.col("term")))
         .join(general, ["entity", "general"], "left")
         .select(
             "entity", "term", "disclosure",
-            F.when((F.col("left_over") < threshold) & (F.length("term") > 3), "generalise")
+            F.when(F.col("discloses").isNull() & (F.length("term") > 3), "generalise")
             .otherwise("remove").alias("action"),
         )
     )
 
 
 def term_spans(marked: DataFrame, pairs: DataFrame) -> DataFrame:
-    """For each ``id`` with any, the spans of disclosing terms: ``terms`` (start, end, action)."""
-    near = (
-        marked.filter(F.size("spans") > 0)
-        .select("id", F.explode("context").alias("c"))
-        .select("id", "c.entity", F.explode("c.terms").alias("t"))
-        .select("id", "entity", "t.term", "t.start", "t.end")
-    )
-    return (
-        near.join(pairs.select("entity", "term", "action"), ["entity", "term"])
-        .groupBy("id", "start", "end").agg(F.max("action").alias("action"))
-        .groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "action"))).alias("terms"))
+    """``marked`` with ``terms`` (start, end, action): every occurrence of a disclosing term in
+    any text, whether or not the entity is there."""
+    passing = stored(pairs.groupBy("term").agg(F.max("action").alias("action")), "sanitise-terms")
+    held = (
+        marked.select("id", F.explode(terms_of(F.col("text"), F.col("spans"))).alias("term"))
+        .join(passing, "term")
+        .groupBy("id").agg(F.collect_list(F.struct("term", "action")).alias("held"))
     )
+    none = F.array().cast("array<struct<start:int,end:int,action:string>>")
+    return marked.join(held, "id", "left").withColumn("terms", F.when(
+        F.col("held").isNotNull(), term_places(F.col("text"), F.col("spans"), F.col("held"))
+    ).otherwise(none)).drop("held")
 
 
 def marked_spans(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``row``, ``spans`` of personal data, ``terms`` that disclose them (both may be empty), and
-    ``text`` where there are spans."""
+    """``row``, ``spans`` of personal data, ``terms`` that disclose some (both may be empty), ``text``."""
     rows = found(docs, text, keep)
-    terms = term_spans(rows, disclosing(docs, rows, text))
-    none = F.array().cast("array<struct<start:int,end:int,action:string>>")
-    some = rows.filter(F.size("spans") > 0).join(terms, "id", "left")
-    bare = rows.filter(F.size("spans") == 0)
-    return some.select("row", "spans", F.coalesce("terms", none).alias("terms"), "text").unionByName(
-        bare.select("row", "spans", none.alias("terms"), "text")
-    )
+    return term_spans(rows, disclosing(docs, rows, text)).select("row", "spans", "terms", "text")
 
 
 def cleaned(text: Column, spans: Column, terms: Column) -> Column:
@@ -304,24 +340,20 @@ def cleaned(text: Column, spans: Column, terms: Column) -> Column:
 def sanitised(docs: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
     """``docs`` with personal data and disclosing terms taken out of ``text``.
 
-    Rows without personal data stay as they are, nulls included.  ``length`` names a column to
-    set to the new number of code points.  Extra columns of any name are kept.
+    Rows without either stay as they are, nulls included.  ``length`` names a column to set to
+    the new number of code points.  Extra columns of any name are kept.
     """
-    rows = found(docs, text, bare=False)
-    terms = term_spans(rows, disclosing(docs, rows, text))
-    none = F.array().cast("array<struct<start:int,end:int,action:string>>")
-    some = rows.join(terms, "id", "left").select(
-        "row", cleaned(F.col("text"), F.col("spans"), F.coalesce("terms", none)).alias("new")
+    changed = (F.size("spans") > 0) | (F.size("terms") > 0)
+    rows = marked_spans(docs, text).select(
+        "row", F.when(changed, cleaned(F.col("text"), F.col("spans"), F.col("terms"))).alias("new")
     )
 
     def column(c: str) -> Column:
-        kind = docs.schema[c].dataType
-        out = {text: F.col("new"), length: F.length("new")}.get(c, F.col("row")[c])
-        return out.cast(kind).alias(c)
+        kind, old = docs.schema[c].dataType, F.col("row")[c]
+        out = {text: F.col("new"), length: F.length("new")}.get(c)
+        return (old if out is None else F.coalesce(out.cast(kind), old)).alias(c)
 
-    # Found again rather than stored: rows without personal data pass by as they are.
-    clean = docs.filter(F.size(spans_of(text_of(text))) == 0)
-    return clean.unionByName(some.select(*(column(c) for c in docs.columns)))
+    return rows.select(*(column(c) for c in docs.columns))
 
 
 def listed(spans: Column) -> Column:

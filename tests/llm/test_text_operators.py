@@ -139,6 +139,26 @@ def test_disclosing_terms_against_counts(spark):
     assert texts[10] == rows[4][1]
 
 
+def test_disclosing_terms_far_off_and_without_the_entity(spark):
+    rng = random.Random(31)
+    far = " ".join(f"filler{i % 5}" for i in range(60))
+    rows = [(i, f"note{i} mail x@y.org now. {far} Oddname and oddname é ODDNAME4 oddname") for i in range(4)]
+    rows += [(9, "here oddname stands alone, İx oddname"), (10, None)]
+    rows += [(20 + i, f"plain text {far} of day {rng.random()}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = {r.doc_id: r.text for r in sanitise.sanitised(df).collect()}
+    assert all("oddname " not in texts[i].lower() + " " and "x@y.org" not in texts[i] for i in (0, 1, 2, 3, 9))
+    assert texts[9].startswith("here ") and texts[10] is None and texts[20] == dict(rows)[20]
+    marked = {r.row.doc_id: (r.text, r.terms) for r in sanitise.marked_spans(df).collect()}
+    for i in (0, 9):
+        got = [t for t in marked[i][1] if marked[i][0][t.start : t.end].lower() == "oddname"]
+        assert len(got) == (3 if i == 0 else 2)
+    pair = {(r.entity, r.term): r.disclosure for r in sanitise.disclosing(df, sanitise.found(df)).collect()}
+    n, ne, nt, nw = len(rows), 4, 4, 5
+    assert abs(pair["email:x@y.org", "oddname"] - np.log(nt * n / (ne * nw)) / np.log(n / ne)) < 1e-9
+    assert not any(e.startswith("email") and t in ("x", "y", "org") for e, t in pair)
+
+
 def brute_links(rows):
     sets = []
     for _, t in rows:
