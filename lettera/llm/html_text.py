@@ -1,8 +1,9 @@
 """Main text of web pages by tag-path ratios.
 
 A page is read into blocks of text, each with its path of block elements from the root.  What by
-its element or its declared role is never article text (scripts, forms, navigation and so on) is
-set aside first.  For each path the length of its text and its punctuation are set in relation to
+its element or its declared role is never article text (scripts, navigation and so on) is set
+aside first; what only its class, id or a form around it speaks against is set aside unless it holds
+most of the page's prose.  For each path the length of its text and its punctuation are set in relation to
 the number of blocks that share it; both ratios are smoothed along the page, fused, and paths
 below the threshold are left out.  A path that stands among the blocks of a chosen container, a
 heading above its paragraphs, is carried by its neighbours through the smoothing.
@@ -14,6 +15,7 @@ import html as entities
 import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +26,8 @@ from lettera.llm.common import map_batches, texts
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes noscript".split())
 NEVER = RAW | set(
-    "head template svg math object canvas audio video map select option datalist button form "
-    "fieldset nav footer aside menu dialog".split()
+    "head template svg math object canvas audio video map select option datalist button "
+    "nav footer aside menu dialog".split()
 )
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby "
@@ -41,7 +43,7 @@ ENDS_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
             "tbody": {"tbody", "thead", "tr", "td", "th"}, "tfoot": {"tbody", "thead", "tr", "td", "th"}}
 BOUNDARY = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}}
 CONTAINERS = {"article", "main"}
-ROLES = set("navigation banner contentinfo complementary search form alert dialog menu menubar "
+ROLES = set("navigation banner contentinfo complementary search alert dialog menu menubar "
             "alertdialog status".split())
 #: Words that an element's class or id may consist of where it is not the article.
 ASIDE = set(
@@ -52,6 +54,22 @@ ASIDE = set(
     "kommentare commentaires disqus respond reply replies discussion related recommended recommendations "
     "share sharing social widget widgets tags toc search skip hidden copyright legal disclaimer".split()
 )
+#: Parts of a name that say how a page is laid out (has-sidebar, header-fixed), not what an element is.
+STATES_BEFORE = set("has have no not without with is".split())
+STATES_AFTER = set("enabled disabled fixed sticky open opened closed active inactive on off visible collapsed "
+                   "expanded free less".split())
+#: Words whose compounds name other people's text or notices as well (comment-list, cookie-bar).
+FOREIGN = set(
+    "ad ads adv advert advertisement advertising adbox adsense sponsor sponsored promo promotion cookie cookies "
+    "consent gdpr newsletter subscribe subscription signup login breadcrumb breadcrumbs pagination pager comment "
+    "comments comentarios kommentare commentaires disqus respond reply replies discussion related recommended "
+    "recommendations copyright legal disclaimer".split()
+)
+#: Words that speak for an element whatever else it is called.
+ARTICLE = set("article content post entry story main body text maintext".split())
+#: Ways to set an element aside: for good; if there is other prose; unless it holds nearly all of the
+#: other prose; unless it holds most of it.
+KEPT, ALWAYS, STRONG, PLAIN, WEAK = 0, 1, 2, 3, 4
 _TAG = re.compile(
     r"<!--(?:.*?(?:-->|--!>)|>|->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/<>]*)(?P<rest>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>"
@@ -62,42 +80,81 @@ _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？¿¡]")
 
 
-def _set_aside(name: str, rest: str, inside: bool) -> bool:
+def _named(value: str, inline: bool) -> int:
+    """What the words of a class or id speak for."""
+    names, found = value.split(), KEPT
+    for word in names:
+        parts = [p for p in re.split(r"[-_]+", word) if p]
+        if word in ASIDE:
+            way = STRONG if word in FOREIGN else PLAIN
+        elif inline or not any(p in ASIDE for p in parts):
+            continue
+        elif parts[0] in STATES_BEFORE or parts[-1] in STATES_AFTER:
+            continue
+        else:
+            way = STRONG if any(p in FOREIGN for p in parts) else PLAIN if all(p in ASIDE for p in parts) else WEAK
+        found = way if found == KEPT else min(found, way)
+    return WEAK if found in (STRONG, PLAIN) and ARTICLE.intersection(names) else found
+
+
+def _set_aside(name: str, rest: str, inside: bool) -> int:
     """Whether an element is never part of the article, by its name or what it declares."""
     if name in NEVER or (name == "header" and not inside):
-        return True
+        return ALWAYS
+    found = WEAK if name in ("form", "fieldset") else KEPT
     if not rest.strip() or name in ("html", "body", "article", "main"):
-        return False
+        return found
     for m in _ATTRIBUTE.finditer(rest):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key == "hidden" and (m.start() == 0 or rest[m.start() - 1].isspace()):
-            return True
+            return ALWAYS
         if key == "aria-hidden" and value == "true":
-            return True
+            return ALWAYS
         if key == "role" and value in ROLES:
-            return True
+            return ALWAYS
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if key in ("class", "id") and not (inside and name in INLINE):
-            for word in re.split(r"\s+", value):
-                if word in ASIDE or any(p in ASIDE for p in re.split(r"[-_]+", word)) and name not in INLINE:
-                    return True
-    return False
+            return ALWAYS
+        way = KEPT
+        if key == "role" and value == "form":
+            way = WEAK
+        elif key in ("class", "id") and not (inside and name in INLINE):
+            way = _named(value, name in INLINE)
+        found = way if found == KEPT else min(found, way or found)
+    return ALWAYS if found and name in INLINE else found
+
+
+@dataclass(frozen=True)
+class Block:
+    """A block's path of names, text, whether it stands in an article; the numbers of its block
+    elements from the root, those elements that may be set aside with the way, its linked characters."""
 
+    path: tuple[str, ...]
+    text: str
+    inside: bool
+    elements: tuple[int, ...]
+    doubts: tuple[tuple[int, int], ...]
+    linked: int
 
-def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, bool]]:
-    """Path, text and whether it stands in an article, of each block in page order."""
-    stack: list[tuple[str, bool, bool]] = []  # name, set aside, in the article
+
+def blocks(page: str) -> Iterator[Block]:
+    """The blocks in page order."""
+    # name, set aside for good, in the article, number, doubts, in a link
+    stack: list[tuple[str, bool, bool, int, tuple[tuple[int, int], ...], bool]] = []
     buffer: list[str] = []
-    at = 0
+    at = number = linked = 0
 
     def flush():
+        nonlocal linked
         if buffer:
             text = " ".join("".join(buffer).split())
+            links, linked = linked, 0
             buffer.clear()
             if text:
-                path = tuple(n for n, _, _ in stack if n not in INLINE)
-                return path, text, bool(stack and stack[-1][2])
+                own = [s for s in stack if s[0] not in INLINE]
+                return Block(
+                    tuple(s[0] for s in own), text, bool(stack and stack[-1][2]), tuple(s[3] for s in own),
+                    own[-1][4] if own else (), min(links, len(text)),
+                )
         return None
 
     def close(names: set[str], boundary: set[str]) -> bool:
@@ -115,6 +172,8 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, bool]]:
         aside = bool(stack and stack[-1][1])
         if end > at and not aside:
             buffer.append(entities.unescape(page[at:end]))
+            if stack and stack[-1][5]:
+                linked += len(" ".join(buffer[-1].split()))
         if not m:
             break
         at = m.end()
@@ -138,7 +197,7 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, bool]]:
                         break
                     if stack[i][0] not in INLINE:
                         break
-            elif any(n == name for n, _, _ in stack):
+            elif any(s[0] == name for s in stack):
                 close({name}, set())
             continue
         if name in CLOSES_P:
@@ -156,7 +215,14 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, bool]]:
         if name == "body":
             stack = [s for s in stack if s[0] == "html"]
             aside = False
-        stack.append((name, aside or _set_aside(name, rest, inside), inside))
+        way = KEPT if aside else _set_aside(name, rest, inside)
+        number += 1
+        doubts = stack[-1][4] if stack else ()
+        stack.append((
+            name, aside or way == ALWAYS, inside, number,
+            (*doubts, (number, way)) if way > ALWAYS else doubts,
+            name == "a" or bool(stack and stack[-1][5]),
+        ))
     if out := flush():
         yield out
 
@@ -171,6 +237,40 @@ def _smooth(values: list[float], reach: int = 2) -> list[float]:
     return out
 
 
+def undoubted(found: list[Block]) -> list[Block]:
+    """The blocks without those of elements that their names, or a form, set aside.
+
+    An element that holds most of the prose (paragraphs and sentences; of the declared articles if
+    there are any, and outside of what is surely something else) is no such element.  Where less than
+    a fifth is left, plain names such as "overlay" are judged by their share as well.
+    """
+    if not any(b.doubts for b in found):
+        return found
+    prose = {
+        id(b): len(b.text) if b.path[-1:] in (("p",), ("pre",), ("blockquote",)) or _PUNCTUATION.search(b.text) else 0
+        for b in found
+    }
+    if not any(prose.values()):
+        prose = {id(b): len(b.text) for b in found}
+
+    def judged(sure: list[Block]) -> list[Block]:
+        for base in ([b for b in sure if b.inside], sure):
+            total = sum(prose[id(b)] for b in base)
+            if total:
+                break
+        held: dict[int, int] = {}
+        for b in base:
+            for element, _ in b.doubts:
+                held[element] = held.get(element, 0) + prose[id(b)]
+        return [b for b in found if all(2 * held.get(element, 0) > total for element, _ in b.doubts)]
+
+    kept = judged([b for b in found if all(way == WEAK for _, way in b.doubts)])
+    own = [b for b in found if all(way != STRONG for _, way in b.doubts)]
+    if 5 * sum(prose[id(b)] for b in kept) < sum(prose[id(b)] for b in own):
+        kept = judged(own)
+    return kept if any(prose[id(b)] for b in kept) else judged(found)
+
+
 def main_blocks(page: str, threshold: float = 0.1, undeclared: float = 0.05) -> list[str]:
     """The article's blocks: those of paths whose fused ratio reaches ``threshold`` of the best.
 
@@ -178,28 +278,29 @@ def main_blocks(page: str, threshold: float = 0.1, undeclared: float = 0.05) ->
     paragraphs below it.  Where a page declares one, the ratios of all other paths are weighed
     with ``undeclared``: they have to be far denser to count as article.
     """
-    found = list(blocks(page))
-    declared = any(inside for _, _, inside in found)
+    found = undoubted(list(blocks(page)))
+    declared = any(b.inside for b in found)
     paths = [
-        path[: max(i for i, n in enumerate(path) if n in CONTAINERS) + 1] if inside else path
-        for path, _, inside in found
+        b.path[: max(i for i, n in enumerate(b.path) if n in CONTAINERS) + 1] if b.inside else b.path
+        for b in found
     ]
     sums: dict[tuple[str, ...], list[int]] = {}
-    for path, (_, text, _) in zip(paths, found, strict=True):
+    for path, b in zip(paths, found, strict=True):
         s = sums.setdefault(path, [0, 0, 0])
-        s[0] += len(text)
-        s[1] += len(_PUNCTUATION.findall(text))
+        s[0] += len(b.text)
+        s[1] += len(_PUNCTUATION.findall(b.text))
         s[2] += 1
     if not sums:
         return []
     length = _smooth([sums[p][0] / sums[p][2] for p in paths])
     points = _smooth([sums[p][1] / sums[p][2] for p in paths])
     score = dict.fromkeys(sums, 0.0)
-    for path, (_, _, inside), a, b in zip(paths, found, length, points, strict=True):
-        weight = 1.0 if inside or not declared else undeclared
+    for path, block, a, b in zip(paths, found, length, points, strict=True):
+        weight = 1.0 if block.inside or not declared else undeclared
         score[path] += weight * a * (1 + math.log1p(b)) / sums[path][2]
     least = threshold * max(score.values())
-    return [text for path, (_, text, _) in zip(paths, found, strict=True) if score[path] >= least]
+    chosen = [score[path] >= least for path in paths]
+    return [b.text for b, keep in zip(found, chosen, strict=True) if keep]
 
 
 def extracted(pages: DataFrame) -> DataFrame:

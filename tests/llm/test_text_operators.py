@@ -330,6 +330,21 @@ def test_html(spark):
     assert html_text.extracted(df).count() == 7 and html_text.extracted(df.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("around", [
+    "<div class='content has-sidebar'>%s</div>", "<div class='no-sidebar'>%s</div>", "<div id='overlay'>%s</div>",
+    "<div class='header-fixed'>%s</div>", "<article><div class='article-body toc-enabled'>%s</div></article>",
+    "<div class='page-header-left'><article>%s</article></div>", "<form id='aspnetForm'>%s</form>", "%s",
+])
+def test_html_names_do_not_lose_the_article(around):
+    body = [f"Sentence number {i}, with some words, and more of them. It goes on here." for i in range(6)]
+    page = (
+        "<body><div class='cookie-bar'><p>" + "We use cookies, really. " * 100 + "</p></div>"
+        + around % "".join(f"<p>{t}</p>" for t in body) + "<div class=sidebar><p>Old news, here.</p></div>"
+        + "<section class='comments'><p>" + "I like it, really. " * 100 + "</p></section></body>"
+    )
+    assert html_text.main_blocks(page) == body
+
+
 def brute_url(url):
     m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
     host, path = (re.sub("[A-Z]", lambda c: c.group().lower(), m[1]), m[2]) if m else ("", "")
