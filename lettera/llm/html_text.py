@@ -6,7 +6,9 @@ aside first; what only its class, id or a form around it speaks against is set a
 most of the page's prose.  For each path the length of its text and its punctuation are set in relation to
 the number of blocks that share it; both ratios are smoothed along the page, fused, and paths
 below the threshold are left out.  A path that stands among the blocks of a chosen container, a
-heading above its paragraphs, is carried by its neighbours through the smoothing.
+heading above its paragraphs, is carried by its neighbours through the smoothing; where the page
+declares no article, the container of the chosen blocks gives its other blocks as well (lists,
+tables, code).
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ ENDS_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
             "tbody": {"tbody", "thead", "tr", "td", "th"}, "tfoot": {"tbody", "thead", "tr", "td", "th"}}
 BOUNDARY = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}}
 CONTAINERS = {"article", "main"}
+GROUPS = {"ul", "ol", "dl", "table", "pre", "figure", "blockquote"}
 ROLES = set("navigation banner contentinfo complementary search alert dialog menu menubar "
             "alertdialog status".split())
 #: Words that an element's class or id may consist of where it is not the article.
@@ -271,6 +274,56 @@ def undoubted(found: list[Block]) -> list[Block]:
     return kept if any(prose[id(b)] for b in kept) else judged(found)
 
 
+def completed(found: list[Block], chosen: list[bool]) -> list[bool]:
+    """``chosen`` with the other blocks of the chosen ones' container.
+
+    The container is the innermost element with nearly all of the chosen text, widened as long as
+    what is added isn't mostly links.  Chosen blocks outside of it bring the rest of their own
+    element.  Where only the body or the page contains them, what stands between chosen blocks is
+    added, and lists, tables and code that aren't mostly links.
+    """
+    text: dict[int, list[int]] = {}  # of each element: chosen, other, linked other characters
+    above: dict[int, int] = {}
+    names: dict[int, str] = {}
+    for b, mine in zip(found, chosen, strict=True):
+        for parent, element, name in zip((0, *b.elements), b.elements, b.path, strict=False):
+            above[element], names[element] = parent, name
+        for element in (0, *b.elements):
+            t = text.setdefault(element, [0, 0, 0])
+            t[not mine] += len(b.text)
+            t[2] += 0 if mine else b.linked
+    inner = max(e for e, t in text.items() if 10 * t[0] >= 9 * text[0][0])
+    while inner and names[inner] not in ("html", "body"):
+        parent = above[inner]
+        more, links = (text[parent][k] - text[inner][k] for k in (1, 2))
+        if 2 * links > more:
+            break
+        inner = parent
+    over = {0}
+    at = inner
+    while at:
+        over.add(at)
+        at = above[at]
+    whole = inner != 0 and names[inner] not in ("html", "body")
+    first, last = chosen.index(True), len(chosen) - 1 - chosen[::-1].index(True)
+
+    def kept(i: int, b: Block) -> bool:
+        if whole and inner in b.elements:
+            return True
+        # The innermost element around the block that also holds chosen text, and what is below it.
+        depth = max((k for k, e in enumerate(b.elements) if text[e][0]), default=-1)
+        near = b.elements[depth] if depth >= 0 else 0
+        group = text[b.elements[depth + 1]] if depth + 1 < len(b.elements) else [0, len(b.text), b.linked]
+        plain = 2 * group[2] <= group[1]
+        if near not in over:
+            return plain
+        if whole:
+            return False
+        return first < i < last or plain and bool(GROUPS.intersection(b.path[depth + 1 :]))
+
+    return [mine or kept(i, b) for i, (b, mine) in enumerate(zip(found, chosen, strict=True))]
+
+
 def main_blocks(page: str, threshold: float = 0.1, undeclared: float = 0.05) -> list[str]:
     """The article's blocks: those of paths whose fused ratio reaches ``threshold`` of the best.
 
@@ -300,6 +353,8 @@ def main_blocks(page: str, threshold: float = 0.1, undeclared: float = 0.05) ->
         score[path] += weight * a * (1 + math.log1p(b)) / sums[path][2]
     least = threshold * max(score.values())
     chosen = [score[path] >= least for path in paths]
+    if not declared:
+        chosen = completed(found, chosen)
     return [b.text for b, keep in zip(found, chosen, strict=True) if keep]
 
 

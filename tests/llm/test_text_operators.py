@@ -345,6 +345,25 @@ def test_html_names_do_not_lose_the_article(around):
     assert html_text.main_blocks(page) == body
 
 
+@pytest.mark.parametrize("around", ["<div>%s</div>", "<div><section>%s</section></div>", "%s", "<table><tr><td>%s</table>"])
+@pytest.mark.parametrize("n", [5, 8, 15, 30, 60])
+def test_html_undeclared_pages_keep_lists_tables_and_code(around, n):
+    paragraph = "<p>" + "many words here, and so on. " * 3 + "x" * 300 + "</p>"
+    items = [f"item {k:02d} without any mark" for k in range(n)]
+    parts = {
+        "ul": "<ul>" + "".join(f"<li>{t}" for t in items) + "</ul>",
+        "table": "<table>" + "".join(f"<tr><td>{t}</td></tr>" for t in items) + "</table>",
+        "pre": "".join(f"<pre>{t}</pre>" for t in items),
+    }
+    links = "".join(f"<li><a href=x>Page number {k}</a></li>" for k in range(40))
+    for part in parts.values():
+        for body in (paragraph * 4 + part, paragraph * 2 + part + paragraph * 2, paragraph * 3 + part + part):
+            page = f"<body><div><ul>{links}</ul></div>{around % body}<div><ul>{links}</ul></div></body>"
+            got = html_text.main_blocks(page)
+            assert [t for t in got if t.startswith("item")] == items * body.count(part)
+            assert len(got) == body.count("<p>") + n * body.count(part)
+
+
 def brute_url(url):
     m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
     host, path = (re.sub("[A-Z]", lambda c: c.group().lower(), m[1]), m[2]) if m else ("", "")
