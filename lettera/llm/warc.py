@@ -17,6 +17,7 @@ import uuid
 from collections.abc import Iterator
 
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,15 +118,20 @@ def write_archives(pages: DataFrame, level: int = 3) -> tuple[DataFrame, DataFra
     """The stored bundles (bundle, bytes) and index (record_id, page_id, bundle, frame, start, length).
 
     Frames hold whole records of about ``FRAME_BYTES``, bundles frames of about ``BUNDLE_BYTES``
-    (a longer record has a frame of its own).  No pages: no bundles.
+    (a longer record has a frame of its own).  No pages: no bundles.  A bundle is named by this
+    call, its task and a count within the task, and a record by its bundle and its place there,
+    so repeated rows have names of their own; what is stored keeps its names.
     """
+    run = uuid.uuid4()
+
     def work(batches) -> Iterator[dict]:
         pack = zstandard.ZstdCompressor(level=level, write_content_size=True)
         frames: list[bytes] = []
         sizes: list[tuple[int, int]] = []
         entries: list[dict] = []
         raw = bytearray()
-        name = None
+        task, count = TaskContext.get().partitionId(), 0
+        name = uuid.uuid5(run, f"{task}\n{count}")
 
         def close_frame() -> None:
             if raw:
@@ -135,16 +141,15 @@ def write_archives(pages: DataFrame, level: int = 3) -> tuple[DataFrame, DataFra
 
         def bundle() -> dict:
             close_frame()
-            out = {"bundle": name, "bytes": b"".join([*frames, seek_table(sizes)]), "entries": list(entries)}
+            out = {"bundle": str(name), "bytes": b"".join([*frames, seek_table(sizes)]), "entries": list(entries)}
             frames.clear(), sizes.clear(), entries.clear()
             return out
 
         for batch in batches:
             for row in batch.to_pylist():
-                rid = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{row['page_id']}\n{row['url']}\n{row['digest']}"))
+                rid = str(uuid.uuid5(name, str(len(entries))))
                 data = record(row["page_id"], rid, row["url"] or "", row["payload"], row["digest"],
                               row["refers"], row["refers"] is not None)
-                name = name or rid
                 entries.append({"record_id": rid, "page_id": row["page_id"], "frame": len(frames),
                                 "start": len(raw), "length": len(data)})
                 raw += data
@@ -152,7 +157,8 @@ def write_archives(pages: DataFrame, level: int = 3) -> tuple[DataFrame, DataFra
                     close_frame()
                     if sum(s for s, _ in sizes) >= BUNDLE_BYTES:
                         yield bundle()
-                        name = None
+                        count += 1
+                        name = uuid.uuid5(run, f"{task}\n{count}")
         if entries:
             yield bundle()
 

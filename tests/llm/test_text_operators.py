@@ -435,6 +435,21 @@ def test_warc(spark, tmp_path):
     assert warc.archived(df.filter("false")).count() == 0
 
 
+def test_warc_names_of_repeated_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FRAME_BYTES", 3000)
+    monkeypatch.setattr(warc, "BUNDLE_BYTES", 100)
+    rows = [(1, "http://a/b", "é" * 600)] * 40 + [(2, "u", "x" * 2000), (3, "u", "é" * 600)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    bundles, index = warc.write_archives(df)
+    names = [r.bundle for r in bundles.collect()]
+    assert len(names) > 5 and len(set(names)) == len(names)
+    assert index.select("record_id").distinct().count() == len(rows)
+    warc.write_files(bundles, str(tmp_path))
+    assert len(list(tmp_path.iterdir())) == len(names)
+    read = {r.record_id: r.page_id for r in warc.read_records(bundles, index, index).collect()}
+    assert read == {r.record_id: r.page_id for r in index.collect()} and len(read) == len(rows)
+
+
 @pytest.mark.parametrize("name", ["op9_sharding", "op10_warc"])
 def test_queries_against_sql(spark, name):
     from lettera.llm.queries import ORACLE, QUERIES
