@@ -210,6 +210,18 @@ def test_blocks_of_one_group_lose_no_link(spark, monkeypatch):
     assert got == {i: degree[i] for i in range(60)}
 
 
+def test_empty_pieces_count_no_link_twice(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK_SHINGLES", 40)
+    rng = random.Random(12)
+    rows = []
+    for i in range(24):  # two texts a group, dealt to several pieces
+        base = words(rng, 100, 10**6).split()
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join([*base[:99], f"z{i}"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_links for r in near_duplicates.near_duplicates(df).collect()}
+    assert got == dict.fromkeys(range(48), 1)
+
+
 def test_one_of_each_keeps_columns(docs, none):
     kept = near_duplicates.one_of_each(docs)
     assert kept.columns == docs.columns
