@@ -255,6 +255,26 @@ def test_benchmark_items_are_found(spark, docs, none):
     assert decontaminate.decontaminated(none, bench).count() == 0
 
 
+def test_parts_of_long_items_are_found(spark):
+    rng = random.Random(13)
+    items = [(i, words(rng, n, 3000)) for i, n in enumerate([300, 300, 800, 40])]
+    cuts = [(0, 0, 200), (0, 100, 300), (1, 55, 255), (2, 0, 150), (2, 333, 453), (2, 680, 800), (3, 0, 40)]
+    rows, planted = [], set()
+    for i in range(60):
+        text = words(rng, 300, 3000).split()
+        if i < len(cuts):
+            item, first, last = cuts[i]
+            part = items[item][1].split()[first:last]
+            # Cut in the middle of the item at the end of the text, or in the text.
+            text = text + part if i % 2 else text[:100] + part + text[100:]
+            planted.add((i, item))
+        rows.append((i, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = [(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench).collect()]
+    assert set(found) == planted and len(found) == len(planted)
+
+
 def test_longest_common_subsequence():
     rng = random.Random(8)
     for _ in range(200):
