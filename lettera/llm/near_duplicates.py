@@ -2,9 +2,9 @@
 
 Each text that occurs is one node, however many rows hold it.  Its MinHash signature makes a
 path of ``DEPTH`` labels in each of ``TREES`` prefix tries; a trie is the table of paths, and a
-node of it at depth k is a run of equal prefixes.  Matching begins with whole paths and shortens
-the prefixes step by step until the recall, estimated from the links found so far, reaches the
-target.  Texts connected by common trie nodes form candidate groups; within a group every pair
+node of it at depth k is a run of equal prefixes.  The prefixes are shortened until the recall of a
+pair at the threshold itself, where it is least, reaches the target; the mix of links in the data
+decides nothing.  Texts connected by common trie nodes form candidate groups; within a group every pair
 whose sizes allow the similarity is verified exactly on the shingle sets, a block against a block
 at a time, and only counts and roots leave a block.  So a group of any size is many small tasks,
 and no pair is ever a row.
@@ -69,6 +69,11 @@ def recall(similarity: np.ndarray | float, depth: int):
     return 1 - (1 - np.asarray(similarity, float) ** depth) ** TREES
 
 
+def search_depth(least: float, target: float) -> int:
+    """The greatest depth at which a pair of similarity ``least`` is found with probability ``target``."""
+    return next((d for d in range(DEPTH, 1, -1) if float(recall(least, d)) >= target), 1)
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
     """Stored ``id`` (doc_id), ``text_key`` (MD5 of the text), ``n`` shingles, ``paths``."""
     rows = docs.select(
@@ -182,7 +187,7 @@ def similar(a: list[np.ndarray], b: list[np.ndarray], least: float) -> np.ndarra
     return ratio
 
 
-def _verifier(size: int, least: float, depth: int):
+def _verifier(size: int, least: float):
     def verify(cell: pd.DataFrame) -> pd.DataFrame:
         cell = cell.sort_values(["side", "node"], kind="stable")
         sets = [shingles(np.asarray(w).view(np.uint64), size) for w in cell["words"]]
@@ -192,22 +197,19 @@ def _verifier(size: int, least: float, depth: int):
         first = len(sets) if same else int((side == 0).sum())
         b = sets if same else sets[first:]
         if not first or not b:
-            return pd.DataFrame({"node": [], "root": [], "linked": [], "links": [], "expected": []})
+            return pd.DataFrame({"node": [], "root": [], "linked": []})
         ratio = similar(sets[:first], b, least)
         if same:
             np.fill_diagonal(ratio, 0)
             link = ratio > 0
-            weight = np.where(link, 1 / np.maximum(recall(ratio, depth), 1e-9), 0)
             copies = cell["copies"].to_numpy()
-            linked, links, expected = link @ copies, link.sum(1), weight.sum(1)
+            linked, links = link @ copies, link.sum(1)
             full = link
         else:
             link = ratio > 0
-            weight = np.where(link, 1 / np.maximum(recall(ratio, depth), 1e-9), 0)
             copies = cell["copies"].to_numpy()
             linked = np.concatenate([link @ copies[first:], link.T @ copies[:first]])
             links = np.concatenate([link.sum(1), link.sum(0)])
-            expected = np.concatenate([weight.sum(1), weight.sum(0)])
             full = np.zeros((len(sets), len(sets)), bool)
             full[:first, first:] = link
             full |= full.T
@@ -220,10 +222,7 @@ def _verifier(size: int, least: float, depth: int):
             label = new
         nodes = cell["node"].to_numpy()
         keep = links > 0
-        return pd.DataFrame({
-            "node": nodes[keep], "root": nodes[label][keep], "linked": linked[keep],
-            "links": links[keep], "expected": expected[keep],
-        })
+        return pd.DataFrame({"node": nodes[keep], "root": nodes[label][keep], "linked": linked[keep]})
 
     return verify
 
@@ -250,31 +249,23 @@ def near_duplicates(
         "near-nodes",
     )
     texts_of = docs.select(text_of().alias("text")).withColumn("node", F.xxhash64(F.md5("text")))
-    for depth in range(DEPTH, 0, -1):
-        groups = components(trie_links(nodes, depth))
-        band = F.floor(F.log(F.col("n").cast("double")) / -math.log(least) + 1e-9).cast("int")
-        members = stored(
-            nodes.join(groups, "node").select("node", "root", "n", "copies", band.alias("band")),
-            "near-members",
-        )
-        once = (
-            texts_of.join(members.select("node"), "node", "left_semi")
-            .groupBy("node").agg(F.first("text").alias("text"))
-            .select("node", word_hashes(F.col("text")).alias("words"))
-        )
-        verified = stored(
-            _cells(members).join(once, "node")
-            .groupBy("root", "band", "one", "other")
-            .applyInPandas(
-                _verifier(size, least, depth),
-                "node long, root long, linked long, links long, expected double",
-            ),
-            "near-links",
-        )
-        total = verified.agg(F.sum("links").alias("l"), F.sum("expected").alias("e")).first()
-        estimate = (total["l"] or 0) / total["e"] if total["e"] else 0.0
-        if estimate >= target or float(recall(least, depth)) >= target:
-            break
+    groups = components(trie_links(nodes, search_depth(least, target)))
+    band = F.floor(F.log(F.col("n").cast("double")) / -math.log(least) + 1e-9).cast("int")
+    members = stored(
+        nodes.join(groups, "node").select("node", "root", "n", "copies", band.alias("band")),
+        "near-members",
+    )
+    once = (
+        texts_of.join(members.select("node"), "node", "left_semi")
+        .groupBy("node").agg(F.first("text").alias("text"))
+        .select("node", word_hashes(F.col("text")).alias("words"))
+    )
+    verified = stored(
+        _cells(members).join(once, "node")
+        .groupBy("root", "band", "one", "other")
+        .applyInPandas(_verifier(size, least), "node long, root long, linked long"),
+        "near-links",
+    )
     classes = components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
     counts = verified.groupBy("node").agg(F.sum("linked").alias("linked"))
     joined = (

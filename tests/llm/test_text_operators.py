@@ -222,6 +222,19 @@ def test_empty_pieces_count_no_link_twice(spark, monkeypatch):
     assert got == dict.fromkeys(range(48), 1)
 
 
+def test_depth_holds_the_recall_of_pairs_at_the_threshold(spark, monkeypatch):
+    searched, links = [], near_duplicates.trie_links
+    monkeypatch.setattr(
+        near_duplicates, "trie_links", lambda nodes, depth: searched.append(depth) or links(nodes, depth)
+    )
+    base = words(random.Random(14), 200, 10**6)
+    # One large group of nearly equal texts.
+    df = spark.createDataFrame([(i, f"{base} z{i}") for i in range(40)], "doc_id long, text string")
+    got = near_duplicates.near_duplicates(df).collect()
+    assert {r.n_links for r in got} == {39}
+    assert float(near_duplicates.recall(0.8, searched[-1])) >= 0.999
+
+
 def test_one_of_each_keeps_columns(docs, none):
     kept = near_duplicates.one_of_each(docs)
     assert kept.columns == docs.columns
