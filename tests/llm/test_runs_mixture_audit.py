@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import defaultdict
 from fractions import Fraction
+from functools import cache
 from itertools import permutations
 
 import numpy as np
@@ -119,14 +120,16 @@ def test_runs_of_odd_rows(spark):
 # ---- mixture-controlled packing -----------------------------------------------------
 
 
-def token_ids(text):
+@cache
+def library():
     import public_tokenizers as places
     from tokenizers import Tokenizer
 
-    library = token_ids.__dict__.setdefault(
-        "library", Tokenizer.from_file(places.path("word_bpe_49k.json"))
-    )
-    return np.array([*library.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+    return Tokenizer.from_file(places.path("word_bpe_49k.json"))
+
+
+def token_ids(text):
+    return np.array([*library().encode(text or "", add_special_tokens=False).ids, 2], "<u4")
 
 
 def test_word_ids_as_the_library_gives_them():
@@ -214,7 +217,8 @@ def test_mixture_is_deficit_round_robin(spark, targets, monkeypatch):
     rounds = sent_by_rounds(queues, quanta)
     order = [p for sent in rounds for p, _ in sent]
     mine = sorted(pieces, key=lambda r: (r.sequence_id, r.offset))
-    begun = [(r.doc_id, r.start) for r in mine if (r.doc_id, r.start) in set(order)]
+    packets = set(order)
+    begun = [(r.doc_id, r.start) for r in mine if (r.doc_id, r.start) in packets]
     assert begun == order
     window = {p: n for n, sent in enumerate(rounds) for p, _ in sent}
     assert all(window.get((r.doc_id, r.start), r.window) == r.window for r in mine)
