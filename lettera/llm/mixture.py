@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator, Mapping
 from functools import cache
 
@@ -31,12 +32,15 @@ from lettera.llm.common import map_batches, stored, text_of
 TOKENIZER = "word_bpe_49k"
 END = 2
 #: Chunks between spaces, and words, whose ids a worker remembers; others are encoded again.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 #: Windows whose packets are put in order together, and such blocks whose sums are.
 BLOCK_WINDOWS = 256
 BLOCK_BLOCKS = 4096
-#: What the vocabulary's splitter matches in lower-case, printable ASCII without spaces.
-ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Printable ASCII and Western European letters: no white space, no combining marks, and each
+#: capital has one small letter, whatever stands beside it.
+WESTERN = re.compile(r"[!-~\u00c0-\u00ff]+")
+#: What the vocabulary's splitter matches in such a text in lower case.
+WESTERN_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
 class Remembered(dict):
@@ -57,9 +61,9 @@ class WordEncoder:
     """Ids of a vocabulary of words, as the ``tokenizers`` library gives them, in two bytes each.
 
     White space is dropped before the merges and no rule looks across it, so a text is cut at
-    spaces and line ends, and the ids of a chunk are remembered.  New chunks of printable ASCII are
-    split into words here and only words are merged by the library; all others, and those that
-    may hold a special token, are left to the library whole.
+    spaces and line ends, and the ids of a chunk are remembered.  New chunks of Western letters
+    and ASCII signs are split into words here and only words are merged by the library; all
+    others, and those that may hold a special token, are left to the library whole.
     """
 
     def __init__(self, name: str) -> None:
@@ -69,15 +73,24 @@ class WordEncoder:
         self.library = Tokenizer.from_file(places.path(f"{name}.json"))
         if self.library.get_vocab_size() > 1 << 16:
             raise ValueError("the ids of this vocabulary don't fit into two bytes")
-        model = self.library.model
-        self.words = Remembered(
-            lambda word: np.array([t.id for t in model.tokenize(word)], "<u2").tobytes()
-        )
+        self.merge = self.library.model.tokenize
+        # Byte-level vocabularies write a byte as its own sign, or as one from 256 on.
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        signs = iter(range(256, 512))
+        self.signs = {b: b if b in shown else next(signs) for b in range(256)}
+        self.words = Remembered(self.word)
         self.chunks = Remembered(self.chunk)
 
+    def word(self, text: str) -> bytes:
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(self.signs)
+        return array("H", [t.id for t in self.merge(text)]).tobytes()
+
     def chunk(self, text: str) -> bytes:
-        if text.isascii() and text.isprintable() and "<|" not in text:
-            return b"".join(map(self.words.__getitem__, ASCII_WORD.findall(text.lower())))
+        if not text:
+            return b""
+        if WESTERN.fullmatch(text) and "<|" not in text:
+            return b"".join(map(self.words.__getitem__, WESTERN_WORD.findall(text.lower())))
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def ids(self, text: str) -> bytes:
