@@ -1,8 +1,9 @@
 """URL filter: rules, and for the rest naive Bayes over the words of segmented hosts and paths.
 
-Words are counted over the whole corpus.  Every part of a host label is looked up in those counts
-by a join (no dictionary travels to the tasks), and a Viterbi pass finds the most probable split
-of the label.  Urls that a rule decides train the classifier, which judges the others.
+Words are counted over the whole corpus.  Every part of a host label that is as long as some word
+is looked up in those counts by a join (no dictionary travels to the tasks), and a Viterbi pass
+finds the most probable split of the label.  Words and labels of any length take part.  Urls that
+a rule decides train the classifier, which judges the others.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ RULES = [
     ("allow", "www.example.com/en/"), ("block", "example.com/en/"),
     ("block", "net/es/"), ("block", "net/fr/"), ("allow", "com/"),
 ]
-LONGEST_WORD = 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -47,7 +47,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 def unigrams(docs: DataFrame) -> DataFrame:
     """Counts of all words of two letters or more in the corpus, in lower case: word, count."""
-    ws = F.filter(F.split(F.lower(text_of()), r"[^\p{L}]+", -1), lambda w: F.length(w).between(2, LONGEST_WORD))
+    ws = F.filter(F.split(F.lower(text_of()), r"[^\p{L}]+", -1), lambda w: F.length(w) >= 2)
     return docs.select(F.explode(ws).alias("word")).groupBy("word").agg(F.count("*").alias("count"))
 
 
@@ -55,14 +55,17 @@ def segmented(labels: DataFrame, counts: DataFrame) -> DataFrame:
     """``label`` and the ``words`` of its most probable split, for distinct labels.
 
     A part's cost is the negative log of its share of all words; a part that the corpus doesn't
-    have costs that of a word seen once and a factor of ten for each letter.
+    have costs that of a word seen once and a factor of ten for each letter.  Of the counts only
+    their sum and the lengths that words have reach the driver, a number per length.
     """
-    total = float(counts.agg(F.sum("count")).first()[0] or 1)
+    per_length = counts.groupBy(F.length("word").alias("k")).agg(F.sum("count").alias("count")).collect()
+    total = float(sum(r["count"] for r in per_length) or 1)
+    lengths = F.lit(sorted(r["k"] for r in per_length) or [0])
     n = F.length("label")
     spans = F.explode(F.flatten(F.transform(
         F.sequence(F.lit(0), n - 1),
         lambda i: F.transform(
-            F.sequence(F.lit(1), F.least(n - i, F.lit(LONGEST_WORD))),
+            F.filter(lengths, lambda k: k.between(1, n - i)),
             lambda k: F.struct(i.alias("i"), k.alias("k")),
         ),
     )))
@@ -87,14 +90,13 @@ def _viterbi(text: str, parts, total: float) -> list[str]:
     for p in parts:
         ending.setdefault(p["i"] + p["k"], []).append((p["i"], math.log(total / p["count"])))
     best, back = [0.0] + [math.inf] * len(text), [0] * (len(text) + 1)
+    # The cheapest place for an unknown part to begin, whatever its length.
+    letter, unknown = math.log(10), (0.0, 0)
     for end in range(1, len(text) + 1):
-        options = list(ending.get(end, ()))
-        options += [
-            (i, math.log(total) + (end - i) * math.log(10)) for i in range(max(0, end - LONGEST_WORD), end)
-        ]
-        for i, cost in options:
+        for i, cost in (*ending.get(end, ()), (unknown[1], math.log(total) + (end - unknown[1]) * letter)):
             if best[i] + cost < best[end] - 1e-12:
                 best[end], back[end] = best[i] + cost, i
+        unknown = min(unknown, (best[end] - end * letter, end))
     out, end = [], len(text)
     while end:
         out.append(text[back[end] : end])
@@ -108,7 +110,8 @@ def judged(pages: DataFrame, docs: DataFrame, rules=RULES) -> DataFrame:
     Rules decide first.  Other urls get "block" where naive Bayes, trained on all urls that rules
     decided, finds block at least as likely, else "allow"; without urls of both kinds to learn
     from, "allow" unless all are blocked.  A null url has an empty host and path.  ``docs`` (text)
-    gives the word counts.  Urls are judged by their words: a run of digits counts as one word.
+    gives the word counts.  Urls are judged by their words; in host and path a run of digits is one
+    word, the same for all.
     """
     url = F.col("url").cast("string")
     rows = stored(
@@ -126,10 +129,11 @@ def judged(pages: DataFrame, docs: DataFrame, rules=RULES) -> DataFrame:
         shaped.groupBy("host", "shape", F.col("found.verdict").alias("known")).agg(F.count("*").alias("c")),
         "urls-kinds",
     )
-    hosts = kinds.select("host").distinct().withColumn("label", F.explode(F.split("host", r"[^\p{L}]+", -1)))
-    split = stored(
-        segmented(hosts.select("label").filter(F.length("label") > 0).distinct(), counts), "urls-split"
-    )
+    numbered = F.regexp_replace("host", "[0-9]+", ".0.")
+    hosts = kinds.select("host").distinct().withColumn(
+        "label", F.explode(F.split(numbered, r"[^\p{L}0]+", -1))
+    ).filter(F.length("label") > 0)
+    split = stored(segmented(hosts.select("label").distinct(), counts), "urls-split")
     of_host = stored(
         hosts.join(split, "label").groupBy("host").agg(F.flatten(F.collect_list("words")).alias("words")),
         "urls-hosts",
