@@ -1,6 +1,7 @@
 """Operators on texts and pages against brute force, with nulls, repeats and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -434,6 +435,68 @@ def test_urls(spark, docs):
     assert urls.judged(df.filter("false"), docs).count() == 0
 
 
+def brute_words(text, counts):
+    """The cheapest of all splits; the fewest parts from the left among equals are not asked for."""
+    total = sum(counts.values())
+    best = {0: (0.0, [])}
+    for end in range(1, len(text) + 1):
+        best[end] = min(
+            (best[i][0] + (math.log(total / counts[w]) if (w := text[i:end]) in counts
+                           else math.log(total) + len(w) * math.log(10)), [*best[i][1], text[i:end]])
+            for i in range(end)
+        )
+    return best[len(text)][1]
+
+
+def test_bayes_against_brute_force(spark):
+    """Odds of every url that no rule decides, from words of any length and digits in hosts."""
+    long = "extraordinarilyoverlongwordofmanyletters"
+    docs = spark.createDataFrame(
+        [(f"good news spam offer 7 {long} {long} news good",), ("spam offer offer sale",), (None,)], "text string"
+    )
+    counts = Counter({"good": 2, "news": 2, "spam": 2, "offer": 3, "sale": 1, long: 2})
+    cases = ["http://goodnews.com/a/12", "http://good24news.com/", "http://spamoffer.net/es/sale/3", "http://spam7.net/fr/",
+             f"http://{long}sale.net/es/", "http://goodnews.org/a/77", "http://spam99offer.org/sale", f"http://{long}.org/",
+             "http://spam7.org", "http://xyz.org/q", "http://newsspam12good.org/sale/1/2", "http://goodnews.com/a/12"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(cases)], "page_id long, url string")
+    tokens, known = {}, {}
+    for u in cases:
+        host, path, best = brute_url(u)
+        labels = re.findall(r"[^\W\d_]+|[0-9]+", host)
+        tokens[u] = [w for x in labels for w in (["0"] if x.isdigit() else brute_words(x, counts))]
+        tokens[u] += ["/" + re.sub("[0-9]+", "0", x) for x in re.findall(r"[^\W_]+", path)]
+        known[u] = best[1] if best else None
+    seen = {k: Counter(w for u in cases if known[u] == k for w in tokens[u]) for k in ("block", "allow")}
+    size = {k: sum(c.values()) + len(set(seen["block"]) | set(seen["allow"])) + 1 for k, c in seen.items()}
+    rule = Counter(known[u] for u in cases)
+    for r in urls.judged(df, docs).collect():
+        u = cases[r.page_id]
+        if known[u]:
+            continue
+        odds = math.log((rule["block"] + 1) / (rule["allow"] + 1)) + sum(
+            math.log((seen["block"][w] + 1) / size["block"]) - math.log((seen["allow"][w] + 1) / size["allow"])
+            for w in tokens[u] if seen["block"][w] + seen["allow"][w]
+        )
+        assert r.blocked_odds == pytest.approx(odds) and r.verdict == ("block" if odds >= 0 else "allow")
+    assert urls.judged(df, docs.filter("false")).count() == len(cases)
+
+
+def test_segmentation_of_long_labels(spark):
+    counts = {"ab": 9, "abab": 2, "c" * 300: 1, "ba": 4}
+    table = spark.createDataFrame(list(counts.items()), "word string, count long")
+    rng = random.Random(6)
+    labels = ["c" * 300 + "ab", "x" * 500, "ab" * 200, "c" * 299, *("".join(rng.choices("abc", k=30)) for _ in range(40))]
+    df = spark.createDataFrame([(x,) for x in labels], "label string").distinct()
+    total = sum(counts.values())
+
+    def cost(parts):
+        return sum(math.log(total / counts[w]) if w in counts else math.log(total) + len(w) * math.log(10) for w in parts)
+
+    for r in urls.segmented(df, table).collect():
+        assert "".join(r.words) == r.label
+        assert cost(r.words) == pytest.approx(cost(brute_words(r.label, counts)))
+
+
 def test_segmentation(spark):
     counts = spark.createDataFrame([("good", 50), ("word", 40), ("go", 5), ("odword", 1)], "word string, count long")
     labels = spark.createDataFrame([("goodword",), ("goodxword",)], "label string")
