@@ -43,6 +43,59 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+#: Elements of an array that one fold takes, characters of a piece of a text.
+FOLDED, PIECE = 256, 4096
+
+
+def before(values: Column, combine: Callable[[Column, Column], Column], first: Column) -> Column:
+    """For each element of an array of whole numbers, ``combine`` over all elements before it.
+
+    A fold that collects copies what it has at every step, so elements are folded in blocks, and
+    the blocks' results once more: arrays of a hundred thousand elements take no longer per
+    element than short ones.
+    """
+    def fold(xs: Column) -> Column:
+        start = F.struct(first.cast("int").alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(xs, start, lambda a, x: F.struct(
+            combine(a["at"], x).cast("int").alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")
+        ))
+
+    def blocks(xs: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / FOLDED).cast("int")),
+            lambda b: fold(F.slice(xs, b * FOLDED + 1, F.lit(FOLDED))),
+        )
+
+    def joined(f: Column) -> Column:
+        return F.flatten(F.zip_with(
+            f, fold(F.transform(f, lambda x: x["at"]))["out"],
+            lambda x, base: F.transform(x["out"], lambda v: combine(base, v).cast("int")),
+        ))
+
+    none = F.array().cast("array<int>")
+    return let(values, lambda xs: F.when(F.size(xs) > 0, let(blocks(xs), joined)).otherwise(none))
+
+
+def pieces_of(text: Column) -> Column:
+    """A text in pieces of ``PIECE`` characters, for :func:`cut`; an empty text is one piece."""
+    return let(text, lambda t: F.transform(
+        F.sequence(F.lit(0), F.floor(F.greatest(F.length(t) - 1, F.lit(0)) / PIECE).cast("int")),
+        lambda i: F.substring(t, i * PIECE + 1, F.lit(PIECE)),
+    ))
+
+
+def cut(pieces: Column, start: Column, end: Column) -> Column:
+    """Characters ``start`` to ``end`` (exclusive) of a text in pieces, whose beginning isn't read."""
+    a, b = (F.floor(x / PIECE).cast("int") for x in (start, end))
+    within = F.substring(F.get(pieces, a), start % PIECE + 1, end - start)
+    across = F.concat(
+        F.substring(F.get(pieces, a), start % PIECE + 1, F.lit(PIECE)),
+        F.array_join(F.slice(pieces, a + 2, F.greatest(b - a - 1, F.lit(0))), ""),
+        F.substring(F.coalesce(F.get(pieces, b), F.lit("")), F.lit(1), end % PIECE),
+    )
+    return F.when(end <= start, "").when(a == b, within).otherwise(across)
+
+
 def text_of(column: str = "text") -> Column:
     """A text column with nulls as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -9,8 +9,10 @@ p the shares of documents,
 which is 1 when the entity follows from the term.  A term that discloses an entity beyond the
 threshold is replaced by its generalisation (its first letters) if that discloses little enough,
 else removed: wherever it stands, also in documents without the entity.  A pair needs evidence
-from different contexts of the entity, so copies of one text prove nothing.  All of it is native
-expressions, grouped counts and joins.
+from different contexts of the entity, so copies of one text prove nothing; and the entity must
+follow from the term with a probability whose lower confidence bound reaches a least share, so
+that a chance meeting of two rare things proves nothing either, however large the corpus.  All of
+it is native expressions, grouped counts and joins.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettera.llm.common import let, stored, text_of
+from lettera.llm.common import before, cut, let, pieces_of, stored, text_of
 
 KINDS = ["email", "ip", "card", "phone"]
 #: Runs are possessive and begin at their first character (or where the last match ended): the
@@ -34,6 +36,8 @@ GROUPED = {
     "card": r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?![0-9])",
     "phone": r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])",
 }
+#: How probable an entity must be given a term, at least, and the quantile of the bound's error.
+LEAST_SHARE, QUANTILE = 1 / 3, 1.96
 #: Characters around a mention, on either side, that tell its context from others.
 REACH = 80
 #: Stands for each character of personal data where words are cut, and is in no text then.
@@ -49,34 +53,36 @@ def places(text: Column, pattern: str) -> Column:
     What stands between the matches and the matches themselves alternate, so lengths add up to
     places.
     """
-    def walk(pieces: Column, hits: Column) -> Column:
-        start = F.struct(
-            F.lit(0).alias("at"),
-            F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"),
-        )
-        return F.aggregate(
-            F.transform(hits, lambda h, i: F.struct(h.alias("h"), F.length(F.get(pieces, i)).alias("gap"))),
-            start,
-            lambda a, x: F.struct(
-                (a["at"] + x["gap"] + F.length(x["h"])).alias("at"),
-                F.concat(a["out"], F.array(F.struct(
-                    (a["at"] + x["gap"]).alias("start"),
-                    (a["at"] + x["gap"] + F.length(x["h"])).alias("end"),
-                    x["h"].alias("value"),
-                ))).alias("out"),
-            ),
-            lambda a: a["out"],
-        )
+    def placed(hits: Column) -> Column:
+        return let(_starts(hits), lambda starts: F.transform(hits, lambda h, i: F.struct(
+            F.get(starts, i).alias("start"), (F.get(starts, i) + h["n"]).alias("end"), h["h"].alias("value"),
+        )))
+
+    return let(_hits(text, pattern), placed)
+
 
+def _hits(text: Column, pattern: str) -> Column:
+    """Every match ``h``, its length ``n`` and that of the text since the one before it, ``gap``."""
     return let(
-        F.struct(
-            F.split(text, pattern, -1).alias("pieces"),
-            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"),
+        F.split(text, pattern, -1),
+        lambda pieces: F.transform(
+            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+            lambda h, i: F.struct(h.alias("h"), F.length(h).alias("n"), F.length(F.get(pieces, i)).alias("gap")),
         ),
-        lambda s: walk(s["pieces"], s["hits"]),
     )
 
 
+def _starts(hits: Column) -> Column:
+    """Where each of the matches begins: what the ones before it and all gaps add up to."""
+    upto = before(F.transform(hits, lambda h: h["gap"] + h["n"]), lambda a, x: a + x, F.lit(0))
+    return F.zip_with(hits, upto, lambda h, at: h["gap"] + at)
+
+
+def _ends_before(spans: Column) -> Column:
+    """For each of the sorted spans, where the spans before it end at the latest."""
+    return before(F.transform(spans, lambda s: s["end"]), F.greatest, F.lit(0))
+
+
 def digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -123,13 +129,23 @@ def spans_of(text: Column) -> Column:
             _entity(kind, s["value"]).alias("entity"), F.lit(base).alias("base"),
         ))
 
+    def merged(every: Column) -> Column:
+        """Of the sorted spans of one kind the base ones, and others that overlap none of those."""
+        far = F.lit(2**31 - 1)
+        done = before(F.transform(every, lambda s: F.when(s["base"], s["end"]).otherwise(0)), F.greatest, F.lit(0))
+        next_ = F.reverse(before(
+            F.transform(F.reverse(every), lambda s: F.when(s["base"], s["start"]).otherwise(far)), F.least, far
+        ))
+        return let(done, lambda d: let(next_, lambda x: F.filter(
+            every, lambda s, i: s["base"] | ((F.get(d, i) <= s["start"]) & (F.get(x, i) >= s["end"]))
+        )))
+
     def of_kind(kind: str) -> Column:
         plain = hits(kind, PATTERNS[kind], True)
         if kind in GROUPED:
-            plain = let(plain, lambda b: F.array_sort(F.concat(b, F.filter(
-                hits(kind, GROUPED[kind], False),
-                lambda s: ~F.exists(b, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])),
-            ))))
+            # Of one kind, so they are sorted by their start.
+            every = F.array_sort(F.concat(plain, hits(kind, GROUPED[kind], False)))
+            plain = let(every, merged)
         return F.when(may.get(kind, text.rlike(r"[0-9][\x20.-]?[0-9]")), plain).otherwise(empty)
 
     return F.concat(*map(of_kind, KINDS))
@@ -138,19 +154,20 @@ def spans_of(text: Column) -> Column:
 def masked(text: Column, spans: Column) -> Column:
     """``text`` with ``FILL`` for each character of the spans, so all places stay the same."""
     plain = F.translate(text, FILL, " ")
-    filled = F.aggregate(
-        F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda a, s: F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"),
-            F.concat(a["out"], F.array(
-                F.substring(plain, a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0))),
-                F.repeat(F.lit(FILL), F.greatest(s["end"] - F.greatest(a["at"], s["start"]), F.lit(0))),
-            )).alias("out"),
-        ),
-        lambda a: F.concat(F.array_join(a["out"], ""), F.substring(plain, a["at"] + 1, F.length(plain))),
+
+    def filled(marks: Column) -> Column:
+        return let(pieces_of(plain), lambda pieces: let(_ends_before(marks), lambda upto: F.concat(
+            F.array_join(F.transform(marks, lambda s, i: F.concat(
+                cut(pieces, F.get(upto, i), s["start"]),
+                F.repeat(F.lit(FILL), F.greatest(s["end"] - F.greatest(F.get(upto, i), s["start"]), F.lit(0))),
+            )), ""),
+            cut(pieces, F.array_max(F.transform(marks, lambda s: s["end"])), F.length(plain)),
+        )))
+
+    sorted_marks = F.array_sort(
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
     )
-    return F.when(F.size(spans) > 0, filled).otherwise(plain)
+    return F.when(F.size(spans) > 0, let(sorted_marks, filled)).otherwise(plain)
 
 
 def terms_of(text: Column, spans: Column) -> Column:
@@ -165,31 +182,18 @@ def terms_of(text: Column, spans: Column) -> Column:
 def term_places(text: Column, spans: Column, held: Column) -> Column:
     """Start, end and action of every word of ``text`` whose term is in ``held`` (term, action)."""
     names = F.transform(held, lambda h: h["term"])
-    start = F.struct(
-        F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,action:string>>").alias("out")
-    )
 
-    def walk(pieces: Column, hits: Column) -> Column:
-        words = F.transform(hits, lambda h, i: F.struct(
-            F.length(F.get(pieces, i)).alias("gap"), F.length(h).alias("n"),
-            F.array_position(names, F.lower(h)).cast("int").alias("which"),
+    def placed(hits: Column) -> Column:
+        words = F.zip_with(hits, _starts(hits), lambda h, at: F.struct(
+            at.alias("start"), (at + h["n"]).alias("end"),
+            F.array_position(names, F.lower(h["h"])).cast("int").alias("which"),
+        ))
+        return F.transform(F.filter(words, lambda w: w["which"] > 0), lambda w: F.struct(
+            w["start"].alias("start"), w["end"].alias("end"),
+            F.get(held, w["which"] - 1)["action"].alias("action"),
         ))
-        return F.aggregate(
-            words, start,
-            lambda a, x: F.struct(
-                (a["at"] + x["gap"] + x["n"]).alias("at"),
-                F.when(x["which"] == 0, a["out"]).otherwise(F.concat(a["out"], F.array(F.struct(
-                    (a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["n"]).alias("end"),
-                    F.get(held, x["which"] - 1)["action"].alias("action"),
-                )))).alias("out"),
-            ),
-            lambda a: a["out"],
-        )
 
-    return let(masked(text, spans), lambda m: let(
-        F.struct(F.split(m, TERM, -1).alias("pieces"), F.regexp_extract_all(m, F.lit(TERM), F.lit(0)).alias("hits")),
-        lambda s: walk(s["pieces"], s["hits"]),
-    ))
+    return let(masked(text, spans), lambda m: let(_hits(m, TERM), placed))
 
 
 def generalised(term: Column) -> Column:
@@ -207,11 +211,11 @@ def found(docs: DataFrame, text: str = "text", keep: list[str] | None = None) ->
     whole = text_of(text)
 
     def context(spans: Column) -> Column:
-        return F.transform(spans, lambda s: F.struct(
-            s["entity"].alias("entity"),
-            F.xxhash64(F.substring(whole, F.greatest(s["start"] - REACH, F.lit(0)) + 1,
-                                   s["end"] - s["start"] + 2 * REACH)).alias("place"),
-        ))
+        return let(F.length(whole), lambda size: let(pieces_of(whole), lambda pieces: F.transform(
+            spans, lambda s: F.struct(s["entity"].alias("entity"), F.xxhash64(cut(
+                pieces, F.greatest(s["start"] - REACH, F.lit(0)), F.least(s["end"] + REACH, size)
+            )).alias("place")),
+        )))
 
     marks = let(spans_of(whole), lambda spans: F.struct(
         spans.alias("spans"), F.when(F.size(spans) > 0, context(spans)).alias("context"),
@@ -233,6 +237,8 @@ def disclosing(
 
     Counts are over all documents: those with the entity, with the term, and with both anywhere.
     ``least_contexts`` is in how many different contexts of the entity a pair must have been seen.
+    The share of the term's documents that have the entity must lie above ``LEAST_SHARE`` by the
+    lower bound of Wilson's interval: two of two documents do, two of nineteen don't.
     Entities and terms are left out before they are paired only where no pair of them could reach
     the threshold: both occur together at most as often as either.  Columns: entity, term,
     disclosure, action ("generalise" or "remove").
@@ -265,6 +271,11 @@ def disclosing(
         .agg(F.sum("n").alias("nt"), F.count("*").alias("contexts"), F.max("ne").alias("ne"), F.max("nw").alias("nw"))
         .filter(F.col("contexts") >= least_contexts)
     )
+    share, nw, z = F.col("nt") / F.col("nw"), F.col("nw").cast("double"), F.lit(QUANTILE)
+    surely = (
+        share + z * z / (2 * nw) - z * F.sqrt(share * (1 - share) / nw + z * z / (4 * nw * nw))
+    ) / (1 + z * z / nw)
+    both = both.filter(surely >= LEAST_SHARE)
     pmi = F.log(F.col("nt") * total / (F.col("ne") * F.col("nw")))
     scored = stored(
         both.select("entity", "term", F.coalesce(F.try_divide(pmi, ic), F.lit(0.0)).alias("disclosure"))
@@ -313,28 +324,27 @@ def cleaned(text: Column, spans: Column, terms: Column) -> Column:
 
     Of overlapping spans the one that starts first stands for all; personal data before terms.
     """
-    marks = F.array_sort(F.concat(
-        F.transform(spans, lambda s: F.struct(
+    def joined(marks: Column, pieces: Column) -> Column:
+        return let(_ends_before(marks), lambda upto: F.concat(
+            F.array_join(F.transform(marks, lambda m, i: F.when(
+                m["start"] >= F.get(upto, i), F.concat(cut(pieces, F.get(upto, i), m["start"]), m["by"])
+            ).otherwise("")), ""),
+            cut(pieces, F.array_max(F.transform(marks, lambda m: m["end"])), F.length(text)),
+        ))
+
+    def marked(pieces: Column) -> Column:
+        own = F.transform(spans, lambda s: F.struct(
             s["start"].alias("start"), F.lit(0).alias("rank"), s["end"].alias("end"),
             F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("by"),
-        )),
-        F.transform(terms, lambda t: F.struct(
+        ))
+        told = F.transform(terms, lambda t: F.struct(
             t["start"].alias("start"), F.lit(1).alias("rank"), t["end"].alias("end"),
-            F.when(t["action"] == "generalise", generalised(F.substring(text, t["start"] + 1, F.lit(3))))
+            F.when(t["action"] == "generalise", generalised(cut(pieces, t["start"], t["start"] + 3)))
             .otherwise("").alias("by"),
-        )),
-    ))
-    return F.aggregate(
-        marks,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda a, m: F.struct(
-            F.greatest(a["at"], m["end"]).alias("at"),
-            F.when(m["start"] < a["at"], a["out"]).otherwise(F.concat(
-                a["out"], F.array(F.substring(text, a["at"] + 1, m["start"] - a["at"]), m["by"])
-            )).alias("out"),
-        ),
-        lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text))),
-    )
+        ))
+        return let(F.array_sort(F.concat(own, told)), lambda marks: joined(marks, pieces))
+
+    return F.when(F.size(spans) + F.size(terms) > 0, let(pieces_of(text), marked)).otherwise(text)
 
 
 def sanitised(docs: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
