@@ -5,6 +5,7 @@ skippable frame with the seek table (compressed and plain size of each frame, th
 Bundles are the rows of a table in shared storage, so they are committed with the job and survive
 lost executors; the index maps a record to its bundle, frame and place in the frame, and one
 record is read by unpacking one frame.  Equal payloads are stored once, the others as revisits.
+Responses are written first, so that a revisit can name the record that it refers to.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lettera.llm.common import map_batches, stored
+from lettera.operators.joins import left_lookup
 
 #: Fixed values of the seekable format: marks of a skippable frame and of the footer.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -29,22 +31,22 @@ FRAME_BYTES, BUNDLE_BYTES = 1 << 20, 16 << 20
 LEAST_BYTES = 1000
 
 
-def record(page: int | None, name: str, url: str, payload: bytes, digest: str, refers: int | None,
-           revisit: bool) -> bytes:
-    """One WARC/1.1 record; a revisit has headers only and tells the payload's length."""
+def record(page: int | None, name: str, url: str, payload: bytes | None, size: int, digest: str,
+           refers: str | None) -> bytes:
+    """One WARC/1.1 record; a revisit has headers only and names the record it refers to."""
     sha = base64.b32encode(bytes.fromhex(digest)).decode()
-    body = b"" if revisit else payload
+    revisit, body = refers is not None, payload or b""
     head = [
         "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
         f"WARC-Record-ID: <urn:uuid:{name}>", "WARC-Date: 1970-01-01T00:00:00Z",
         "WARC-Target-URI: " + "".join(f"%{ord(c):02X}" if c <= " " else c for c in url),
         f"WARC-Payload-Digest: sha1:{sha}", f"X-Page-ID: {'' if page is None else page}",
-        f"X-Payload-Length: {len(payload)}", "Content-Type: text/html;charset=utf-8",
+        f"X-Payload-Length: {size}", "Content-Type: text/html;charset=utf-8",
         f"Content-Length: {len(body)}",
     ]
     if revisit:
         head.insert(5, "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-        head.insert(6, f"WARC-Refers-To: {refers}")
+        head.insert(6, f"WARC-Refers-To: <urn:uuid:{refers}>")
     return "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
@@ -114,16 +116,11 @@ def marked(pages: DataFrame) -> DataFrame:
     )
 
 
-def write_archives(pages: DataFrame, level: int = 3) -> tuple[DataFrame, DataFrame]:
-    """The stored bundles (bundle, bytes) and index (record_id, page_id, bundle, frame, start, length).
+ENTRY = "struct<record_id:string,page_id:long,digest:string,frame:int,start:long,length:long>"
 
-    Frames hold whole records of about ``FRAME_BYTES``, bundles frames of about ``BUNDLE_BYTES``
-    (a longer record has a frame of its own).  No pages: no bundles.  A bundle is named by this
-    call, its task and a count within the task, and a record by its bundle and its place there,
-    so repeated rows have names of their own; what is stored keeps its names.
-    """
-    run = uuid.uuid4()
 
+def _bundles(rows: DataFrame, run: uuid.UUID, level: int) -> DataFrame:
+    """Stored bundles of ``rows`` (page_id, url, payload, size, digest, refers) and their entries."""
     def work(batches) -> Iterator[dict]:
         pack = zstandard.ZstdCompressor(level=level, write_content_size=True)
         frames: list[bytes] = []
@@ -148,10 +145,10 @@ def write_archives(pages: DataFrame, level: int = 3) -> tuple[DataFrame, DataFra
         for batch in batches:
             for row in batch.to_pylist():
                 rid = str(uuid.uuid5(name, str(len(entries))))
-                data = record(row["page_id"], rid, row["url"] or "", row["payload"], row["digest"],
-                              row["refers"], row["refers"] is not None)
-                entries.append({"record_id": rid, "page_id": row["page_id"], "frame": len(frames),
-                                "start": len(raw), "length": len(data)})
+                data = record(row["page_id"], rid, row["url"] or "", row["payload"], row["size"],
+                              row["digest"], row["refers"])
+                entries.append({"record_id": rid, "page_id": row["page_id"], "digest": row["digest"],
+                                "frame": len(frames), "start": len(raw), "length": len(data)})
                 raw += data
                 if len(raw) >= FRAME_BYTES:
                     close_frame()
@@ -162,19 +159,58 @@ def write_archives(pages: DataFrame, level: int = 3) -> tuple[DataFrame, DataFra
         if entries:
             yield bundle()
 
-    entry = "array<struct<record_id:string,page_id:long,frame:int,start:long,length:long>>"
-    rows = stored(
-        map_batches(marked(pages), work, f"bundle string, bytes binary, entries {entry}", rows=1),
+    return stored(
+        map_batches(rows, work, f"bundle string, bytes binary, entries array<{ENTRY}>", rows=1),
         "warc-bundles",
     )
-    index = rows.select("bundle", F.explode("entries").alias("e")).select(
+
+
+def write_archives(pages: DataFrame, level: int = 3) -> tuple[DataFrame, DataFrame]:
+    """The stored bundles (bundle, bytes) and index (record_id, page_id, bundle, frame, start, length).
+
+    Frames hold whole records of about ``FRAME_BYTES``, bundles frames of about ``BUNDLE_BYTES``
+    (a longer record has a frame of its own).  No pages: no bundles.  A bundle is named by this
+    call, its task and a count within the task, and a record by its bundle and its place there,
+    so repeated rows have names of their own; what is stored keeps its names.  Responses come
+    first; where rows repeat a response, its revisits refer to the one with the least name.
+    """
+    rows, run = marked(pages), uuid.uuid4()
+    size = F.length("payload").alias("size")
+    responses = _bundles(
+        rows.filter(F.col("refers").isNull()).select(
+            "page_id", "url", "payload", size, "digest", F.lit(None).cast("string").alias("refers")
+        ),
+        run, level,
+    )
+    again = stored(
+        rows.filter(F.col("refers").isNotNull()).select("page_id", "url", size, "digest", "refers"),
+        "warc-revisits",
+    )
+    names = responses.select(F.explode("entries").alias("e")).groupBy(
+        F.col("e.digest").alias("digest"), F.col("e.page_id").alias("refers")
+    ).agg(F.min("e.record_id").alias("name"))
+    revisits = _bundles(
+        left_lookup(again, names, ["digest", "refers"], split_hot=True).select(
+            "page_id", "url", F.lit(None).cast("binary").alias("payload"), "size", "digest",
+            F.col("name").alias("refers"),
+        ),
+        uuid.uuid5(run, "revisits"), level,
+    )
+    every = responses.unionByName(revisits)
+    index = every.select("bundle", F.explode("entries").alias("e")).select(
         "e.record_id", "e.page_id", "bundle", "e.frame", "e.start", "e.length"
     )
-    return rows.select("bundle", "bytes"), index
+    return every.select("bundle", "bytes"), index
+
+
+RECORD = (
+    "record_id string, page_id long, url string, record_type string, refers_to string, "
+    "payload_bytes long, payload_digest string, payload binary"
+)
 
 
 def read_archives(bundles: DataFrame) -> DataFrame:
-    """Every record of ``bundles``: record_id, page_id, url, record_type, refers_to,
+    """Every record of ``bundles``: record_id, page_id, url, record_type, refers_to (a record_id),
     payload_bytes, payload_digest (hex), payload (null for a revisit)."""
     def work(batches) -> Iterator[dict]:
         for batch in batches:
@@ -188,8 +224,7 @@ def read_archives(bundles: DataFrame) -> DataFrame:
 
     return map_batches(
         bundles.select("bytes"), work,
-        "record_id string, page_id long, url string, record_type string, refers_to long, "
-        "payload_bytes long, payload_digest string, payload binary", rows=64,
+        RECORD, rows=64,
     )
 
 
@@ -203,27 +238,32 @@ def _row(head: dict[str, str], body: bytes) -> dict:
         "record_id": head["WARC-Record-ID"][10:-1], "url": head["WARC-Target-URI"],
         "page_id": int(head["X-Page-ID"]) if head["X-Page-ID"] else None,
         "record_type": head["WARC-Type"],
-        "refers_to": int(head["WARC-Refers-To"]) if revisit else None,
+        "refers_to": head["WARC-Refers-To"][10:-1] if revisit else None,
         "payload_bytes": int(head["X-Payload-Length"]) if revisit else len(body),
         "payload_digest": digest, "payload": None if revisit else body,
     }
 
 
 def read_records(bundles: DataFrame, index: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The records whose ``record_id`` is in ``wanted``, by the index: only their frames are read."""
+    """The records whose ``record_id`` is in ``wanted``, by the index: only their frames are unpacked.
+
+    A bundle meets the places asked for in it as one row, and each of its frames is unpacked once.
+    """
     def work(batches) -> Iterator[dict]:
         for batch in batches:
-            for row in batch.to_pylist():
-                raw = unpack(row["bytes"], row["frame"])
-                head, body, _ = parse(raw, row["start"])
-                yield _row(head, body)
-
-    places = index.join(wanted.select("record_id").distinct(), "record_id", "left_semi")
-    return map_batches(
-        bundles.join(places, "bundle").select("bytes", "frame", "start"), work,
-        "record_id string, page_id long, url string, record_type string, refers_to long, "
-        "payload_bytes long, payload_digest string, payload binary", rows=64,
+            for item, places in zip(*batch.columns, strict=True):
+                data, opened = item.as_buffer().to_pybytes(), None
+                for place in sorted(places.as_py(), key=lambda p: (p["frame"], p["start"])):
+                    if opened != place["frame"]:
+                        opened, raw = place["frame"], unpack(data, place["frame"])
+                    head, body, _ = parse(raw, place["start"])
+                    yield _row(head, body)
+
+    places = (
+        index.join(wanted.select("record_id").distinct(), "record_id", "left_semi")
+        .groupBy("bundle").agg(F.collect_list(F.struct("frame", "start")).alias("places"))
     )
+    return map_batches(bundles.join(places, "bundle").select("bytes", "places"), work, RECORD, rows=64)
 
 
 def write_files(bundles: DataFrame, folder: str) -> None:
@@ -247,8 +287,21 @@ def write_files(bundles: DataFrame, folder: str) -> None:
 
 
 def archived(pages: DataFrame) -> DataFrame:
-    """``pages`` (page_id, url, html) written to archives and read back, without the payloads."""
-    bundles, _ = write_archives(pages)
-    return read_archives(bundles).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    """``pages`` (page_id, url, html) written to archives and read back, without the payloads.
+
+    What a revisit tells of its payload, and ``refers_to``, the page it repeats, are read from the
+    record that it names, which is found by the index.
+    """
+    bundles, index = write_archives(pages)
+    rows = stored(
+        read_archives(bundles).drop("payload", "url").withColumnRenamed("refers_to", "name"), "warc-rows"
+    )
+    named = rows.filter(F.col("name").isNotNull()).select(F.col("name").alias("record_id"))
+    originals = read_records(bundles, index, named).select(
+        F.col("record_id").alias("name"), F.col("page_id").alias("refers_to"),
+        F.col("payload_bytes").alias("bytes"), F.col("payload_digest").alias("digest"),
+    )
+    return left_lookup(rows, originals, ["name"], split_hot=True).select(
+        "page_id", F.coalesce("bytes", "payload_bytes").alias("payload_bytes"),
+        F.coalesce("digest", "payload_digest").alias("payload_digest"), "record_type", "refers_to",
     )
