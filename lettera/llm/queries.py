@@ -13,7 +13,8 @@ from lettera.llm import (
 )
 from lettera.llm.common import let, table, text_of
 
-SHARD_BYTES = 64 << 20
+#: A shard's bytes at most, and how many shards a smaller table gets at least, to be read at once.
+SHARD_BYTES, LEAST_SHARDS = 64 << 20, 16
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +70,9 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length(text_of()).alias("size"))
-    shards = sharding.assign_shards(docs, F.col("doc_id"), F.col("size"), SHARD_BYTES)
+    total = docs.agg(F.sum("size")).first()[0] or 0
+    limit = min(SHARD_BYTES, max(1, total // LEAST_SHARDS))
+    shards = sharding.assign_shards(docs, F.col("doc_id"), F.col("size"), limit)
     return shards.select("row.doc_id", "bytes", "shard", "depth", "shard_bytes", "oversized")
 
 
@@ -155,14 +158,16 @@ WITH d AS (
   SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS bytes,
          right(lpad(bin(('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT), 60, '0'), 60) AS h
   FROM documents
+), l AS (
+  SELECT least({SHARD_BYTES}, greatest(1, sum(bytes) // {LEAST_SHARDS})) AS most FROM d
 ), p AS (
   SELECT d.*, g.depth, left(h, g.depth) AS shard FROM d, (SELECT unnest(range(0, 61)) AS depth) g
 ), b AS (
   SELECT depth, shard, sum(bytes)::BIGINT AS shard_bytes, count(*) AS n FROM p GROUP BY depth, shard
 )
-SELECT doc_id, bytes, p.shard, p.depth::INT AS depth, shard_bytes, shard_bytes > {SHARD_BYTES} AS oversized
-FROM p JOIN b ON p.depth = b.depth AND p.shard = b.shard
-WHERE b.shard_bytes <= {SHARD_BYTES} OR b.n = 1
+SELECT doc_id, bytes, p.shard, p.depth::INT AS depth, shard_bytes, shard_bytes > most AS oversized
+FROM l, p JOIN b ON p.depth = b.depth AND p.shard = b.shard
+WHERE b.shard_bytes <= most OR b.n = 1
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY p.depth) = 1
 """,
     "op10_warc": """
