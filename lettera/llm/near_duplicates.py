@@ -110,9 +110,10 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 
 def trie_links(nodes: DataFrame, least_depth: int) -> DataFrame:
-    """Stored links ``a``, ``b`` of neighbours in a trie, and the ``depth`` of their lowest common node.
+    """Stored links of each text to the least text of its run at each depth from ``least_depth`` on.
 
-    Neighbours that share less than ``least_depth`` labels in every trie are left out.
+    ``a``, ``b`` and the greatest ``depth`` of a node that both stand below.  A run that lies in
+    several tasks has a least text in each of them, and links where their ranges meet.
     """
     paths_of = F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
@@ -151,9 +152,12 @@ def trie_links(nodes: DataFrame, least_depth: int) -> DataFrame:
             else:
                 tree, node = np.r_[before[0], tree], np.r_[before[2], node]
                 labels = np.vstack([before[1], labels])
-            depth = np.where(tree[1:] == tree[:-1], common(labels), 0)
-            near = depth >= least_depth
-            yield rows(node[1:][near], node[:-1][near], depth[near])
+            shared = np.where(tree[1:] == tree[:-1], common(labels), 0)
+            for depth in range(least_depth, DEPTH + 1):
+                begin = np.flatnonzero(np.r_[True, shared < depth])
+                least = np.repeat(np.minimum.reduceat(node, begin), np.diff(np.r_[begin, len(node)]))
+                other = np.flatnonzero(least != node)
+                yield rows(node[other], least[other], [depth] * len(other))
             before = tree[-1:], labels[-1:].copy(), node[-1:]
         if before is not None:
             last = (int(before[0][0]), before[1].tobytes(), int(before[2][0]))
@@ -363,16 +367,18 @@ def near_duplicates(
         merged = components(
             here.select(F.col("old_a").alias("a"), F.col("old_b").alias("b")).filter("a <> b")
         ).withColumnRenamed("node", "old")
-        grown = banded.join(group_of, "node").join(merged, "old")
-        parts = grown.groupBy("root", "old").agg(F.count("*").alias("texts"))
-        largest = parts.filter("texts > 1").groupBy("root").agg(
-            F.max(F.struct("texts", "old")).getField("old").alias("core")
-        )
-        found = verified_members(
-            grown.join(largest, "root", "left").withColumn(
-                "core", F.coalesce(F.col("core") == F.col("old"), F.lit(False))
+        if depth < DEPTH:
+            # The largest of the groups that were merged is the core: its pairs are done.
+            sizes = group_of.groupBy("old").agg(F.count("*").alias("texts"))
+            parts = stored(merged.join(sizes, "old"), "near-parts")
+            largest = parts.groupBy("root").agg(F.max(F.struct("texts", "old")).alias("most"))
+            merged = parts.join(largest, "root").select(
+                "root", "old",
+                ((F.col("most.old") == F.col("old")) & (F.col("texts") > 1)).alias("core"),
             )
-        )
+        else:
+            merged = merged.withColumn("core", F.lit(False))
+        found = verified_members(banded.join(group_of, "node").join(merged, "old"))
         verified = found if verified is None else verified.unionByName(found)
         if depth > stop:
             group_of = stored(
