@@ -272,12 +272,14 @@ def judged(docs: DataFrame, labels: DataFrame, whole_rows: bool = False) -> tupl
     """``docs`` (doc_id, text) with their statistics ``s``, ``base_failed`` and ``kept``; the rules.
 
     ``labels`` holds doc_id and quality (0 or 1).  An id with labels of both kinds counts as
-    unlabelled; null ids are never labelled.  Statistics are stored with ``doc_id``.  With
-    ``whole_rows`` the rows carry all columns in ``row`` and their statistics are computed again,
-    so that no text is written a second time.
+    unlabelled; null ids are never labelled.  Statistics are computed once and stored with
+    ``doc_id``, or, with ``whole_rows``, with all columns in ``row``.
     """
-    found = stored(docs.select(F.struct("doc_id").alias("row"), statistics(text_of()).alias("s")),
-                   "quality-statistics")
+    s = statistics(text_of()).alias("s")
+    found = stored(
+        rows_of(docs, s) if whole_rows else docs.select(F.struct("doc_id").alias("row"), s),
+        "quality-statistics",
+    )
     sure = (
         labels.filter(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").alias("id"))
         .agg(F.min("quality").alias("y"), F.max("quality").alias("z"))
@@ -288,8 +290,6 @@ def judged(docs: DataFrame, labels: DataFrame, whole_rows: bool = False) -> tupl
         F.col("row.doc_id").alias("id"), *(c.alias(n) for n, c in columns.items())
     )
     rules = learn(examples.join(sure, "id"), "y", FEATURES)
-    if whole_rows:
-        found = rows_of(docs, statistics(text_of()).alias("s"))
 
     def decided(s: Column) -> Column:
         failed = base_failed(s)
