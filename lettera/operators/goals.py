@@ -71,9 +71,9 @@ def _join_by_place(
 ) -> DataFrame:
     """Join goal columns by network, place and the year columns given (``{ours: theirs}``).
 
-    Goals of the country are broadcast: their natural key leaves at most one row per mapped
-    network, revision and goal year.  Goals of places are joined without a hint, on a key
-    that holds one cut of one place.
+    No hint in either case.  Goals of places meet on a key that holds one cut of one place.
+    Goals of the country have at most one row per mapped network, revision and goal year, by
+    their natural key; Spark sees so few bytes in their own folder and broadcasts them.
     """
     on = ["rede", *years]
     side = goals.withColumnsRenamed({theirs: ours for ours, theirs in years.items()})
@@ -82,7 +82,7 @@ def _join_by_place(
         side = side.withColumnRenamed("chave", level.key)
     else:
         mapped = F.col("rede").isNotNull() & (F.col("chave") == COUNTRY_KEY)
-        side = F.broadcast(side.where(mapped).drop("chave"))
+        side = side.where(mapped).drop("chave")
     return df.join(side, on, how).select(
         *df.columns, *[c for c in side.columns if c not in on]
     )

@@ -4,10 +4,10 @@ No side is forced to be broadcast: Spark compares its bytes with the session's t
 statistics before the run and by what was shuffled during it, and adaptive execution splits the
 skewed partitions of the fact.  So the fact is read once, whatever the size of the side.
 
-Where hot keys are known to be beyond that, ``split_hot`` takes them out of the shuffle: the rows
-of a few keys far above the mean meet their few side rows by broadcast, the others shuffle.
-Both ways return the same rows.  The second reads the fact three times (its keys to count them,
-then hot and other rows) and the side twice; give it stored tables, not long computations.
+Where hot keys are known to be beyond that, ``split_hot`` takes them apart: the rows of a few keys
+far above the mean meet their few side rows by broadcast and are then dealt evenly, the others
+are shuffled by key.  Both ways return the same rows.  The second reads the fact twice (its keys
+to count them, then its rows) and the side twice; give it stored tables, not long computations.
 """
 
 from __future__ import annotations
@@ -19,10 +19,14 @@ from operator import and_, or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lettera.session import as_written_table
+
 # A hot key holds more than this multiple of the mean rows per key ...
 HOT_FACTOR = 10.0
 # ... and more than this share of the fact, so at most 100,000 keys can be hot.
 HOT_SHARE = 1e-5
+# Rows that meet no side row in the shuffle are dealt to so many parts.
+DEALT = 1 << 20
 
 
 def left_lookup(
@@ -64,17 +68,32 @@ def hot_keys(
 def _split_hot_keys(
     fact: DataFrame, side: DataFrame, on: list[str], keys: DataFrame
 ) -> DataFrame:
+    """One join of the fact, in which hot rows have their columns already and are dealt evenly.
+
+    A row of a hot key, or without a key, takes part in the shuffle with an empty key and one
+    of many numbers, so that it meets no side row and no task gets more of them than another.
+    """
     extra = [c for c in side.columns if c not in on]
+    keys = as_written_table(keys, "hot-keys")
     hot_rows = side.join(F.broadcast(keys), on, "left_semi")
-    hot_side = keys.join(hot_rows, on, "left").withColumn("_hot", F.lit(True))
-
-    marked = fact.join(F.broadcast(hot_side), on, "left")
-    # A row with a missing key matches nothing, so it need not be shuffled either.
-    missing = reduce(or_, [F.col(c).isNull() for c in on])
-    settled = marked.where(F.col("_hot").isNotNull() | missing).drop("_hot")
-    rest = marked.where(F.col("_hot").isNull() & ~missing).drop("_hot", *extra)
-    return (
-        rest.join(side, on, "left")
-        .unionByName(settled)
-        .select(*fact.columns, *extra)
+    hot_side = keys.join(hot_rows, on, "left").select(
+        *on, F.struct(*extra).alias("_found"), F.lit(True).alias("_hot")
+    )
+    # A row with a missing key matches nothing, so it need not look for a partner either.
+    settled = F.col("_hot").isNotNull() | reduce(or_, [F.col(c).isNull() for c in on])
+    marked = fact.join(F.broadcast(hot_side), on, "left").select(
+        *fact.columns, "_found", "_hot",
+        *(F.when(~settled, F.col(c)).alias(f"_on_{c}") for c in on),
+        F.when(settled, F.monotonically_increasing_id() % DEALT).otherwise(0).alias("_deal"),
+    )
+    # Its number is 0 for every key, written so that it stays a column to shuffle by.
+    rest = side.select(
+        *(F.col(c).alias(f"_on_{c}") for c in on),
+        F.pmod(F.hash(*on), F.lit(1)).cast("bigint").alias("_deal"),
+        *(F.col(c).alias(f"_side_{c}") for c in extra),
     )
+    joined = marked.join(rest, [*(f"_on_{c}" for c in on), "_deal"], "left")
+    return joined.select(*fact.columns, *(
+        F.when(F.col("_hot"), F.col(f"_found.{c}")).otherwise(F.col(f"_side_{c}")).alias(c)
+        for c in extra
+    ))

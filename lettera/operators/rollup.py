@@ -25,13 +25,16 @@ FINEST_GRAIN = (
 def additive_parts(pupils: DataFrame, keys: Sequence[str] = FINEST_GRAIN) -> DataFrame:
     """``PARTS`` of each group: sum(w x), sum(w), sum(x) and n over pupils whose flag x is known.
 
-    What one pupil adds is a projection, so all four are plain sums, which tasks begin before
-    the shuffle; a group of any size leaves a task as one row.
+    ``registros`` counts all its records, for the quality tables.  What one pupil adds is a
+    projection, so the parts are plain sums, which tasks begin before the shuffle; a group of
+    any size leaves a task as one row.
     """
     x, w = F.col("alfabetizado").cast("double"), F.col("peso_aluno")
     adds = (x * w, F.when(x.isNotNull(), w), x, x.isNotNull().cast("int"))
     each = pupils.select(*keys, *(add.alias(name) for name, add in zip(PARTS, adds, strict=True)))
-    return each.groupBy(*keys).agg(*(F.sum(name).alias(name) for name in PARTS))
+    return each.groupBy(*keys).agg(
+        *(F.sum(name).alias(name) for name in PARTS), F.count(F.lit(1)).alias("registros")
+    )
 
 
 def into_network_groups(

@@ -2,11 +2,17 @@
 
 A query takes ``(spark, folder)`` and returns a DataFrame.  Columns that change from run to
 run (time stamps) are left out, so that results can be compared.
+
+Gold tables and reports read stored layers, as they do in production: the first of them in a
+session runs the pipeline over the folder once, the others find its tables.  The queries of
+sources, silver and single operators start from the given tables.
 """
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +28,10 @@ from lettera.functions import (
 from lettera.model import (
     COUNTRY,
     MUNICIPALITY,
+    REQUIRED_MUNICIPALITY,
+    REQUIRED_PUPILS,
+    REQUIRED_STATE,
+    SCOPE_STATE,
     SNAPSHOT_TABLES,
     STATE,
     UNMAPPED,
@@ -40,19 +50,20 @@ from lettera.operators.goals import (
 from lettera.operators.lookup import decode, enrich
 from lettera.operators.rollup import additive_parts, pupil_volume, roll_up
 from lettera.operators.timeline import with_changes
-from lettera.plans import gold, reports, silver
+from lettera.plans import gold, pipeline, reports, silver
 from lettera.session import as_written_table, scratch_folder
 from lettera.sources.locality import LOCALITY_SCHEMA, flatten_localities
 from lettera.sources.readers import (
     describe_columns,
     first_rows,
     layer_inventory,
+    list_objects,
     scan,
     snapshot,
     table_sizes,
 )
 from lettera.sources.testbed import CURRENT_YEAR, FINAL_YEAR, MODEL, Testbed
-from lettera.sources.writers import register_tables, write_partitioned
+from lettera.sources.writers import register_tables, replace_partitions, write_partitioned
 from lettera.streaming import goal_events as stream
 
 TABLES = (
@@ -62,6 +73,12 @@ TABLES = (
 
 YEAR_GRADE = ["ano_referencia", "serie"]
 
+# Lines of an event file: what a producer gathers before it hands a file over.
+EVENTS_PER_FILE = 20_000
+
+# The stored layers of each folder, by session.
+LAKES: dict[tuple[str, str], pipeline.Layers] = {}
+
 
 class Workspace(Testbed):
     """Silver and gold tables over one folder, built on demand."""
@@ -86,69 +103,113 @@ class Workspace(Testbed):
             self.goals_states(), self.goals_municipalities(), self.goals_country(), MODEL
         )
 
-    @cached_property
+    # -- stored layers -----------------------------------------------------------------
+
+    def sources(self) -> dict[str, DataFrame]:
+        return {
+            "alunos": self.pupils(), "municipio": self.published_municipalities(),
+            "uf": self.published_states(), "dicionario": self.dictionary(),
+            "meta_alfabetizacao_brasil": self.goals_country(),
+            "meta_alfabetizacao_municipio": self.goals_municipalities(),
+            "meta_alfabetizacao_uf": self.goals_states(),
+            "municipio_ibge": self.localities(),
+        }
+
+    def new_lake(self) -> pipeline.Layers:
+        """Empty layers in a folder of their own, with bronze filled."""
+        root = scratch_folder(self.spark, "lake")
+        layers = pipeline.Layers(f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+        pipeline.load_bronze(self.sources(), layers)
+        return layers
+
+    def full_lake(self) -> pipeline.Layers:
+        """All layers but the feature table, which no question reads."""
+        layers = self.new_lake()
+        pipeline.build_silver(self.spark, layers, MODEL)
+        pipeline.build_parts(self.spark, layers)
+        pipeline.build_goal_dependent(self.spark, layers, MODEL)
+        return layers
+
+    @property
+    def layers(self) -> pipeline.Layers:
+        """The one set of stored layers of this folder and session.
+
+        The given tables are taken to stay as they are while the session lasts.
+        """
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in LAKES:
+            LAKES[key] = self.full_lake()
+        return LAKES[key]
+
+    def silver_table(self, name: str) -> DataFrame:
+        return scan(self.spark, f"{self.layers.silver}/{name}")
+
+    def gold_table(self, kind: str, level) -> DataFrame:
+        return scan(self.spark, f"{self.layers.gold}/{kind}_{level.scope}")
+
+    @property
     def parts(self) -> DataFrame:
-        """Additive parts, kept as a table: all three levels read them."""
-        return as_written_table(additive_parts(self.silver_pupils), "parts")
+        return self.silver_table("partes_alunos")
 
-    # The country and the states are read again by the levels below them, and the
-    # comparison reads an indicator twice.  Like the pipeline, such tables are kept.
+    @property
+    def goals(self) -> DataFrame:
+        return self.silver_table("meta_alfabetizacao")
 
-    @cached_property
+    # -- gold, each table from the stored ones it is made of ----------------------------
+
+    @property
     def country(self) -> DataFrame:
-        return gold.indicator_country(self.parts, self.silver_goals, MODEL)
+        return gold.indicator_country(self.parts, self.goals, MODEL)
 
-    @cached_property
+    @property
     def state(self) -> DataFrame:
         return gold.indicator_state(
-            self.silver_state, self.parts, self.silver_goals, self.kept_country, MODEL
+            self.silver_table("uf"), self.parts, self.goals,
+            self.gold_table("indicador", COUNTRY), MODEL,
         )
 
-    @cached_property
+    @property
     def municipality(self) -> DataFrame:
         return gold.indicator_municipality(
-            self.silver_municipality, self.parts, self.silver_goals, self.kept_state,
-            self.kept_country, MODEL,
+            self.silver_table("municipio"), self.parts, self.goals,
+            self.gold_table("indicador", STATE), self.gold_table("indicador", COUNTRY), MODEL,
         )
 
-    @cached_property
-    def kept_country(self) -> DataFrame:
-        return as_written_table(self.country, "indicador_brasil")
-
-    @cached_property
-    def kept_state(self) -> DataFrame:
-        return as_written_table(self.state, "indicador_uf")
-
     def comparison(self, level) -> DataFrame:
-        indicator = {
-            MUNICIPALITY.scope: lambda: as_written_table(self.municipality, "indicador"),
-            STATE.scope: lambda: self.kept_state,
-            COUNTRY.scope: lambda: self.country,
-        }[level.scope]()
-        return gold.goal_comparison(indicator, self.silver_goals, level)
-
-    def published(self, df: DataFrame, name: str) -> DataFrame:
-        """As the reports find a gold table: written by year, so that a year is read alone."""
-        return write_partitioned(df, scratch_folder(self.spark, name), ["ano"])
-
-    def published_comparison(self, level) -> DataFrame:
-        return self.published(self.comparison(level), f"metas_vs_resultado_{level.scope}")
+        return gold.goal_comparison(self.gold_table("indicador", level), self.goals, level)
 
     def evolution(self, level) -> DataFrame:
-        indicator = {
-            MUNICIPALITY.scope: lambda: self.municipality,
-            STATE.scope: lambda: self.state,
-            COUNTRY.scope: lambda: self.country,
-        }[level.scope]()
-        return gold.evolution(indicator, self.silver_goals, level, MODEL)
+        return gold.evolution(self.gold_table("indicador", level), self.goals, level, MODEL)
 
     def features(self, bucket) -> DataFrame:
-        """From written silver tables, as in the pipeline: the join reads both repeatedly."""
-        published = as_written_table(self.silver_municipality, "municipio")
         return gold.pupil_features(
-            as_written_table(self.silver_pupils, "alunos"), published, MODEL,
-            bucket=bucket,
+            self.silver_table("alunos"), self.silver_table("municipio"), MODEL, bucket=bucket
+        )
+
+    # -- events --------------------------------------------------------------------------
+
+    def drop_events(self, folder: str) -> None:
+        """Files of events, one after the other, with the events in the order of their ids."""
+        events = self.goal_events()
+        first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+        for lower in range(first, last + 1, EVENTS_PER_FILE):
+            (
+                events.where(F.col("event_id").between(lower, lower + EVENTS_PER_FILE - 1))
+                .coalesce(1).sortWithinPartitions("event_id").select("value")
+                .write.mode("append").text(folder)
+            )
+
+    def run_events(self, root: str | None = None, refresh=None):
+        """The finished run over all events, and the goals it stored below ``root``."""
+        root = root or scratch_folder(self.spark, "events")
+        received = f"{root}/received"
+        self.drop_events(f"{root}/incoming")
+        run = stream.start_goal_stream(
+            stream.read_goal_events(self.spark, f"{root}/incoming", files_per_batch=1),
+            received, f"{root}/quarantine", f"{root}/checkpoint", refresh,
         )
+        run.awaitTermination()
+        return run, stream.read_received(self.spark, received)
 
 
 BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {}
@@ -206,20 +267,19 @@ def _(w):
 
 @query("head_sample")
 def _(w):
-    return first_rows(w.pupils(), 5000)
+    """How many rows the sample has, and how many of them the table does not know."""
+    sample = first_rows(w.pupils().select("id_aluno", "id_municipio", "ano"), 5000)
+    known = w.pupils().select("id_aluno").distinct().withColumn("conhecido", F.lit(True))
+    return sample.join(known, "id_aluno", "left").agg(
+        F.count(F.lit(1)).alias("registros"),
+        F.count_if(F.col("conhecido").isNull()).alias("fora_da_tabela"),
+    )
 
 
 @query("snapshot_tables")
 def _(w):
-    sources = {
-        "alunos": w.pupils, "municipio": w.published_municipalities,
-        "uf": w.published_states, "dicionario": w.dictionary,
-        "meta_alfabetizacao_brasil": w.goals_country,
-        "meta_alfabetizacao_municipio": w.goals_municipalities,
-        "meta_alfabetizacao_uf": w.goals_states,
-    }
     bronze = scratch_folder(w.spark, "bronze")
-    snapshot(lambda table: sources[table](), SNAPSHOT_TABLES, bronze)
+    snapshot(w.sources().__getitem__, SNAPSHOT_TABLES, bronze)
     return table_sizes({t: scan(w.spark, f"{bronze}/{t}") for t in SNAPSHOT_TABLES})
 
 
@@ -246,7 +306,7 @@ def _(w):
 
 @query("describe_columns")
 def _(w):
-    return describe_columns(w.table("lineitem")).select("posicao", "coluna")
+    return describe_columns(w.table("lineitem")).select("posicao", "coluna", "tipo")
 
 
 # ---- sinks --------------------------------------------------------------------------
@@ -267,6 +327,26 @@ def _(w):
     )
 
 
+@query("write_scope")
+def _(w):
+    """Goals of one scope written anew, a half point up; ``mantido``: from a file that stayed."""
+    path = scratch_folder(w.spark, "goals-by-scope")
+    goals = write_partitioned(w.silver_goals, path, ["escopo"])
+
+    def file(path):
+        """Folder and name: one task gives the files of several folders the same name."""
+        return F.substring_index(path, "/", -2).alias("arquivo")
+
+    before = as_written_table(list_objects(w.spark, path).select(file("path")), "files")
+    raised = w.silver_goals.withColumn("meta_alfabetizacao", F.col("meta_alfabetizacao") + 0.5)
+    replace_partitions(raised, path, "escopo", [SCOPE_STATE])
+    return (
+        scan(w.spark, path).select(*goals.columns, file("_metadata.file_path"))
+        .join(before.withColumn("mantido", F.lit(True)), "arquivo", "left")
+        .select(*goals.columns, F.coalesce("mantido", F.lit(False)).alias("mantido"))
+    )
+
+
 @query("register_tables")
 def _(w):
     root = scratch_folder(w.spark, "gold")
@@ -321,6 +401,19 @@ def _(w):
         .agg(F.count(F.lit(1)).alias("registros"))
 
 
+@query("processing_stamp")
+def _(w):
+    """Of a written table: its rows, their different time stamps, and whether those are of now."""
+    begin = datetime.datetime.now(datetime.timezone.utc)
+    written = as_written_table(w.silver_state, "uf")
+    return written.agg(
+        F.count(F.lit(1)).alias("registros"),
+        F.count_distinct("processed_at").alias("carimbos"),
+        (F.min("processed_at") >= F.lit(begin)).alias("depois_do_inicio"),
+        (F.max("processed_at") <= F.current_timestamp()).alias("antes_do_fim"),
+    )
+
+
 @query("filter_not_null")
 def _(w):
     pupils = typed(w.pupils(), ["alfabetizado"])
@@ -509,7 +602,9 @@ def _(w):
 
 @query("count_distinct")
 def _(w):
-    return quality.count_distinct(w.silver_pupils, ["id_aluno", "id_municipio", "id_escola"])
+    return quality.count_distinct(
+        w.silver_table("alunos"), ["id_aluno", "id_municipio", "id_escola"]
+    )
 
 
 @query("percentiles")
@@ -620,6 +715,22 @@ def _(w):
     return quality.unmapped_codes(w.silver_pupils, silver.PUPIL_CODES, UNMAPPED)
 
 
+@query("write_checks")
+def _(w):
+    """The checks of single rows, as they were taken while the silver tables were written."""
+    return w.silver_table("verificacoes")
+
+
+@query("column_contract")
+def _(w):
+    """What raw tables lack of the columns that the gold step asks for."""
+    return quality.contract_gaps({
+        "alunos": (w.pupils(), REQUIRED_PUPILS),
+        "municipio": (w.published_municipalities(), REQUIRED_MUNICIPALITY),
+        "uf": (w.silver_state, REQUIRED_STATE),
+    })
+
+
 @query("unmapped_texts")
 def _(w):
     return quality.unmapped_texts(w.silver_goals)
@@ -660,45 +771,53 @@ def _(w):
 
 @query("latest_goal")
 def _(w):
-    """The latest event of each year and network, event ids in the place of lines."""
-    received = stream.accepted(stream.goal_items(w.goal_events()))
-    placed = received.withColumns({
-        "lote": F.lit(0), "chegada": F.lit(None).cast("timestamp"), "linha": F.col("event_id"),
-    })
-    return stream.latest_goals(placed).select("ano", "rede", "event_id")
+    """Of the stored goals of each year and network, the last that the stream took in."""
+    _, received = w.run_events()
+    item = F.from_json("item", "map<string,string>")
+    return stream.latest_goals(received).select(
+        "ano", "rede",
+        to_double(F.element_at(item, F.lit("taxa_alfabetizacao"))).alias("taxa_alfabetizacao"),
+    )
 
 
 @query("stream_ingest")
 def _(w):
-    root = scratch_folder(w.spark, "events")
-    w.goal_events().select("value").write.text(f"{root}/incoming")
-    run = stream.start_goal_stream(
-        stream.read_goal_events(w.spark, f"{root}/incoming"),
-        f"{root}/received", f"{root}/quarantine", f"{root}/checkpoint",
-    )
-    run.awaitTermination()
-    return stream.goal_years_of(stream.read_received(w.spark, f"{root}/received")).select(
-        "ano", "rede", "ano_meta", "meta_alfabetizacao"
-    )
+    _, received = w.run_events()
+    return stream.goal_years_of(received).select("ano", "rede", "ano_meta", "meta_alfabetizacao")
 
 
 @query("stream_acknowledgement")
 def _(w):
     """Events a finished run took in, and the goals it stored."""
-    root = scratch_folder(w.spark, "events")
-    w.goal_events().select("value").write.text(f"{root}/incoming")
-    run = stream.start_goal_stream(
-        stream.read_goal_events(w.spark, f"{root}/incoming"),
-        f"{root}/received", f"{root}/quarantine", f"{root}/checkpoint",
-    )
-    run.awaitTermination()
-    stored = stream.read_received(w.spark, f"{root}/received")
-    return stored.agg(
+    run, received = w.run_events()
+    return received.agg(
         F.lit(stream.acknowledgement(run)["eventos"]).cast("bigint").alias("eventos"),
         F.count(F.lit(1)).alias("metas"),
     )
 
 
+@query("stream_refresh")
+def _(w):
+    """The national comparison after events arrived and refreshed the stored layers by batch."""
+    root = scratch_folder(w.spark, "events")
+    layers = replace(w.full_lake(), received_goals=f"{root}/received")
+    w.run_events(
+        root,
+        lambda session, batch, _: pipeline.refresh_after_batch(session, layers, MODEL, batch),
+    )
+    return scan(w.spark, f"{layers.gold}/metas_vs_resultado_{COUNTRY.scope}")
+
+
+@query("run_pipeline")
+def _(w):
+    """Rows of every table after a whole run, from the copied sources to the feature table."""
+    layers = w.new_lake()
+    pipeline.run_pipeline(w.spark, layers, MODEL)
+    stored = {t: f"{layers.silver}/{t}" for t in ("alunos", "municipio", "uf", "meta_alfabetizacao")}
+    stored |= {t: f"{layers.gold}/{t}" for t in (*pipeline.CATALOG_TABLES, "ml_aluno")}
+    return table_sizes({t: scan(w.spark, path) for t, path in stored.items()})
+
+
 # ---- tables -------------------------------------------------------------------------
 
 
@@ -784,49 +903,51 @@ def _(w):
 
 # ---- reports ------------------------------------------------------------------------
 
+COMPARED = "metas_vs_resultado"
+
 
 @query("q1_result_vs_goal")
 def _(w):
-    return reports.result_against_goal(w.published_comparison(MUNICIPALITY), CURRENT_YEAR)
+    return reports.result_against_goal(w.gold_table(COMPARED, MUNICIPALITY), CURRENT_YEAR)
 
 
 @query("q2_goal_reached")
 def _(w):
-    return reports.goal_reached(w.published_comparison(MUNICIPALITY), CURRENT_YEAR)
+    return reports.goal_reached(w.gold_table(COMPARED, MUNICIPALITY), CURRENT_YEAR)
 
 
 @query("q3_distance_by_goal_year")
 def _(w):
-    return reports.distance_by_goal_year(w.published_comparison(MUNICIPALITY), CURRENT_YEAR)
+    return reports.distance_by_goal_year(w.gold_table(COMPARED, MUNICIPALITY), CURRENT_YEAR)
 
 
 @query("q4_state_ranking")
 def _(w):
-    return reports.state_ranking(w.published_comparison(STATE), CURRENT_YEAR, FINAL_YEAR)
+    return reports.state_ranking(w.gold_table(COMPARED, STATE), CURRENT_YEAR, FINAL_YEAR)
 
 
 @query("q5_states_below")
 def _(w):
-    return reports.states_below_goal(w.published_comparison(MUNICIPALITY), CURRENT_YEAR)
+    return reports.states_below_goal(w.gold_table(COMPARED, MUNICIPALITY), CURRENT_YEAR)
 
 
 @query("q6_state_spread")
 def _(w):
     return reports.spread_between_and_within_states(
-        w.published(w.municipality, "indicador_municipio"), CURRENT_YEAR
+        w.gold_table("indicador", MUNICIPALITY), CURRENT_YEAR
     )
 
 
 @query("q7_national_goal_vs_result")
 def _(w):
-    return reports.whole_table(w.comparison(COUNTRY))
+    return w.gold_table(COMPARED, COUNTRY)
 
 
 @query("q8_national_indicator")
 def _(w):
-    return reports.whole_table(w.country)
+    return w.gold_table("indicador", COUNTRY)
 
 
 @query("q9_national_evolution")
 def _(w):
-    return reports.whole_table(w.evolution(COUNTRY))
+    return w.gold_table("evolucao_temporal", COUNTRY)

@@ -1,7 +1,8 @@
 """Analytical questions over the gold tables.
 
 Every report filters on the partition year first, so only that year's files are read.
-Windows here run over one row per state, a number fixed by the list of states.
+Windows here run over one row per state, a number fixed by the list of states.  Questions 7 to 9
+ask for a whole national table (comparison, indicator, evolution) and need no report.
 """
 
 from __future__ import annotations
@@ -196,8 +197,3 @@ def spread_between_and_within_states(indicator: DataFrame, year: int) -> DataFra
             _tenth("_within").alias("amplitude_interna_media_pp"),
         )
     )
-
-
-def whole_table(df: DataFrame) -> DataFrame:
-    """Questions 7 to 9: all rows of a national table (comparison, indicator, evolution)."""
-    return df

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_partitioned(
@@ -14,6 +15,7 @@ def write_partitioned(
     *,
     one_file: bool = False,
     replace: str = "static",
+    measure: tuple[Observation, Sequence[Column]] | None = None,
 ) -> DataFrame:
     """Overwrite a Snappy Parquet table, one folder per partition value, and read it back.
 
@@ -22,8 +24,14 @@ def write_partitioned(
     that is too large for one task into several files and merges small ones.
 
     ``replace="dynamic"`` leaves partition values alone that the new data does not contain.
+
+    ``measure`` takes aggregates of the rows while they are written.  They are taken after the
+    rows were arranged, in the writing tasks: what a task counts is counted once there, even if
+    executors are lost, whereas a task before a shuffle may run and count again.
     """
     arranged = df.repartition(*partitions) if one_file else df.hint("rebalance", *partitions)
+    if measure:
+        arranged = arranged.observe(measure[0], *measure[1])
     (
         arranged.write.mode("overwrite")
         .option("partitionOverwriteMode", replace)
@@ -34,6 +42,32 @@ def write_partitioned(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def replace_partitions(
+    df: DataFrame, path: str, column: str, values: Sequence[str | int], *, one_file: bool = False
+) -> None:
+    """Give a table new rows for some values of its partition column; other values keep their files.
+
+    Rows of ``df`` with another value are left out.  A value without rows is emptied: what the
+    table held for it goes, which a dynamic overwrite alone would leave.
+    """
+    unfit = [v for v in values if not str(v).replace("_", "").replace("-", "").isalnum()]
+    if unfit:
+        raise ValueError(f"not a plain partition value: {unfit}")
+    if not values:
+        return
+    counted = Observation()
+    rows = df.where(F.col(column).isin(*values))
+    write_partitioned(
+        rows, path, [column], one_file=one_file, replace="dynamic",
+        measure=(counted, [F.count_if(F.col(column) == v).alias(str(v)) for v in values]),
+    )
+    for value in values:
+        if not counted.get.get(str(value)):
+            rows.where("false").drop(column).write.mode("overwrite").option(
+                "compression", "snappy"
+            ).parquet(f"{path}/{column}={value}")
+
+
 def register_tables(
     spark: SparkSession, database: str, tables: Mapping[str, str], root: str
 ) -> list[str]:

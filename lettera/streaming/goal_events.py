@@ -9,6 +9,7 @@ stops the stream.  Which goal counts is decided when the table is read: the late
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -168,7 +169,7 @@ def with_streamed_goals(goals: DataFrame, streamed: DataFrame) -> DataFrame:
 
 
 def read_received(spark: SparkSession, bronze: str) -> DataFrame:
-    """Goals received so far; none before the first event."""
+    """Goals received so far, with their batch (``lote``); none before the first event."""
     try:
         return spark.read.schema(BRONZE_SCHEMA).parquet(bronze)
     except AnalysisException as error:
@@ -177,48 +178,67 @@ def read_received(spark: SparkSession, bronze: str) -> DataFrame:
         return spark.createDataFrame([], BRONZE_SCHEMA)
 
 
+@dataclass(frozen=True)
+class GoalRun:
+    """A started run, and what its micro-batches took in so far: (events, goals) by batch."""
+
+    query: StreamingQuery
+    batches: dict[int, tuple[int, int]] = field(default_factory=dict)
+
+    def awaitTermination(self, *seconds: float) -> bool | None:
+        return self.query.awaitTermination(*seconds)
+
+
 def start_goal_stream(
     events: DataFrame,
     bronze: str,
     quarantine: str,
     checkpoint: str,
     refresh: Callable[[SparkSession, int, int], None] | None = None,
-) -> StreamingQuery:
+) -> GoalRun:
     """Process all events there are, then stop; run again to continue where it stopped.
 
     ``refresh(session, batch, goals)`` is called after a micro-batch has stored its goals, to
     bring the tables that depend on goals up to date.  A batch without usable goals calls
     nothing.
+
+    Batches take the files in the order of their arrival.  Between files of one batch that
+    arrived in the same moment the order is that of the partitions that read them.
     """
+    batches: dict[int, tuple[int, int]] = {}
+    # The first row of each event is its only one without an item, or its item 0.
+    firsts = F.count_if(F.coalesce("ordem", F.lit(0)) == 0).alias("events")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         # Numbers rise along the lines of a file, so that the later of two lines counts.
         lines = batch.withColumn("linha", F.monotonically_increasing_id())
         items = goal_items(lines).persist()
         try:
-            stored = Observation()
-            accepted(items).observe(stored, F.count(F.lit(1)).alias("goals")) \
+            stored, refused = Observation(), Observation()
+            accepted(items).observe(stored, F.count(F.lit(1)).alias("goals"), firsts) \
                 .write.mode("overwrite").parquet(f"{bronze}/lote={batch_id}")
-            quarantined(items).write.mode("overwrite") \
+            quarantined(items).observe(refused, firsts).write.mode("overwrite") \
                 .parquet(f"{quarantine}/lote={batch_id}")
         finally:
             items.unpersist()
         goals = stored.get["goals"]
+        batches[batch_id] = (stored.get["events"] + refused.get["events"], goals)
         if refresh is not None and goals:
             refresh(batch.sparkSession, batch_id, goals)
 
-    return (
+    query = (
         events.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    return GoalRun(query, batches)
 
 
-def acknowledgement(query: StreamingQuery) -> dict[str, int]:
-    """Number of events and micro-batches that a finished run took in."""
-    progress = query.recentProgress
+def acknowledgement(run: GoalRun) -> dict[str, int]:
+    """Number of events, micro-batches and goals that a finished run took in."""
     return {
-        "eventos": sum(p.numInputRows for p in progress),
-        "lotes": sum(1 for p in progress if p.numInputRows),
+        "eventos": sum(events for events, _ in run.batches.values()),
+        "lotes": sum(1 for events, _ in run.batches.values() if events),
+        "metas": sum(goals for _, goals in run.batches.values()),
     }

@@ -149,6 +149,16 @@ FRAGMENTS = {
             CASE event_type WHEN 'view' THEN 'Municipal' WHEN 'error' THEN 'Outra'
                 ELSE 'Pública' END AS rede
         FROM events""",
+    "goal_streamed": """SELECT 'brasil' AS escopo, 'BR' AS chave,
+            CASE e.rede WHEN 'Municipal' THEN 3 WHEN 'Pública' THEN 5 END AS rede,
+            e.rede AS rede_descricao, e.ano AS ano_publicacao, CAST(y AS INTEGER) AS ano_meta,
+            e.value + y - 1995 AS meta_alfabetizacao
+        FROM goal_event e JOIN range(1996, 2003) AS r(y) ON y > e.ano
+        WHERE e.event_id IN (SELECT max(event_id) FROM goal_event WHERE forma <= 5
+            GROUP BY ano, rede)""",
+    "goal_now": """SELECT * FROM goal_streamed
+        UNION ALL SELECT g.* FROM goal g ANTI JOIN goal_streamed
+            USING (escopo, chave, rede_descricao, ano_publicacao, ano_meta)""",
 }
 
 # Pieces that occur in several fragments.
@@ -249,7 +259,7 @@ def _evolution(source: str, level: str, key: str | None) -> str:
 PARTS = """sum(alfabetizado * peso_aluno) AS peso_alfabetizado,
     sum(CASE WHEN alfabetizado IS NOT NULL THEN peso_aluno END) AS peso_conhecido,
     CAST(sum(alfabetizado) AS DOUBLE) AS alfabetizados,
-    count(alfabetizado) AS qtd_alunos"""
+    count(alfabetizado) AS qtd_alunos, count(*) AS registros"""
 
 
 def _rolled_up(keys: str) -> str:
@@ -260,9 +270,39 @@ def _rolled_up(keys: str) -> str:
         JOIN grp_label USING (rede)"""
 
 
+# Spark's hash of an ASCII text: Murmur3 with seed 42, whole words of four bytes and then single
+# bytes, all in whole numbers modulo 2^32.
+W32 = "& 4294967295"
+
+
+def _turned(x: str, bits: int) -> str:
+    return f"(((({x}) << {bits}) | (({x}) >> {32 - bits})) {W32})"
+
+
+def _murmur(text: str) -> str:
+    mixed = f"(x.v * 3432918353 {W32})"
+    mixed = f"({_turned(mixed, 15)} * 461845907 {W32})"
+    step = f"(({_turned(f'xor(x.h, {mixed})', 13)} * 5 + 3864292196) {W32})"
+    byte = f"ascii(substr({text}, CAST({{}} AS INTEGER), 1))::BIGINT"
+    word = " + ".join(
+        f"{byte.format(f'4 * i + {n + 1}')} * {256 ** n}" for n in range(4)
+    )
+    parts = f"""list_concat([42::BIGINT], list_concat(
+        list_transform(range(0, length({text}) // 4), lambda i: {word}),
+        list_transform(range(length({text}) // 4 * 4, length({text})), lambda i: {byte.format('i + 1')})))"""
+    step = step.replace("x.h", "h").replace("x.v", "v")
+    hashed = f"list_reduce({parts}, lambda h, v: {step})"
+    for bits, factor in ((16, 2246822507), (13, 3266489909), (16, 1)):
+        first = f"xor({hashed}, length({text}))" if bits == 16 and factor != 1 else hashed
+        hashed = f"list_transform([{first}], lambda z: ((xor(z, z >> {bits})::HUGEINT * {factor}) {W32})::BIGINT)[1]"
+    signed = f"list_transform([{hashed}], lambda z: CASE WHEN z > 2147483647 THEN z - 4294967296 ELSE z END)[1]"
+    return f"CAST((({signed}) % 100 + 100) % 100 AS INTEGER)"
+
+
 BUCKET = "CAST(concat('0x', substr(md5(id_aluno), 1, 8)) AS BIGINT) % 100"
 SPLIT = f"""CASE WHEN {BUCKET} < 70 THEN 'treino' WHEN {BUCKET} < 85 THEN 'validacao'
     ELSE 'teste' END"""
+MURMUR_SPLIT = "CASE WHEN faixa < 70 THEN 'treino' WHEN faixa < 85 THEN 'validacao' ELSE 'teste' END"
 
 PUPIL_TEXTS = """CASE presenca WHEN 1 THEN 'Presente' ELSE 'Ausente' END AS presenca_descricao,
     CASE preenchimento_caderno WHEN 1 THEN 'Preenchido' ELSE 'Nao informado' END
@@ -314,8 +354,17 @@ STATEMENTS = {
     "list_objects": " UNION ALL ".join(
         f"SELECT '{t}' AS conjunto, count(*) > 0 AS tem_dados FROM {t}" for t in TABLES
     ),
-    "describe_columns": """SELECT ordinal_position - 1 AS posicao, column_name AS coluna
+    "describe_columns": """SELECT ordinal_position - 1 AS posicao, column_name AS coluna,
+            CASE data_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+                WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS tipo
         FROM information_schema.columns WHERE table_name = 'lineitem'""",
+    "head_sample": """SELECT least(count(*), 5000) AS registros,
+        CAST(0 AS BIGINT) AS fora_da_tabela FROM lineitem""",
+    "write_scope": """SELECT * REPLACE (meta_alfabetizacao
+            + CASE escopo WHEN 'uf' THEN 0.5 ELSE 0 END::DOUBLE AS meta_alfabetizacao),
+            escopo <> 'uf' AS mantido FROM goal""",
+    "processing_stamp": """SELECT count(*) AS registros, CAST(1 AS BIGINT) AS carimbos,
+        true AS depois_do_inicio, true AS antes_do_fim FROM silver_s""",
     "write_partitioned": """SELECT id_municipio, id_aluno, serie, rede, peso_aluno, ano,
         ano AS ano_referencia FROM raw_pupil""",
     "write_single_file": """SELECT ano, CAST(1 AS BIGINT) AS arquivos,
@@ -350,6 +399,8 @@ STATEMENTS = {
         FROM silver_s WHERE sigla_uf = 'NATION_7'""",
     "split_portable": f"""SELECT id_aluno, CAST({BUCKET} AS INTEGER) AS faixa,
         {SPLIT} AS dataset_split FROM raw_pupil""",
+    "split_murmur": f"""SELECT id_aluno, faixa, {MURMUR_SPLIT} AS dataset_split
+        FROM (SELECT id_aluno, {_murmur('id_aluno')} AS faixa FROM raw_pupil)""",
     # goals
     "goal_unpivot": "SELECT * FROM goal WHERE escopo = 'municipio'",
     "goal_long_union": "SELECT * FROM goal",
@@ -451,6 +502,31 @@ STATEMENTS = {
             count(*) FILTER (WHERE preenchimento_caderno = 0) FROM pupil
         UNION ALL SELECT 'alfabetizado',
             count(*) FILTER (WHERE alfabetizado IS NULL) FROM pupil""",
+    "write_checks": """SELECT 'alunos' AS tabela, verificacao, valor FROM (UNPIVOT (
+            SELECT count(*) AS registros,
+                count(*) FILTER (WHERE nome_municipio IS NULL) AS sem_correspondencia,
+                count(*) FILTER (WHERE rede = 4) AS sem_de_para_rede,
+                CAST(0 AS BIGINT) AS sem_de_para_serie, CAST(0 AS BIGINT) AS sem_de_para_presenca,
+                count(*) FILTER (WHERE preenchimento_caderno = 0)
+                    AS sem_de_para_preenchimento_caderno,
+                count(*) FILTER (WHERE alfabetizado IS NULL) AS sem_de_para_alfabetizado
+            FROM pupil) ON COLUMNS(*) INTO NAME verificacao VALUE valor)
+        UNION ALL SELECT 'municipio', verificacao, valor FROM (UNPIVOT (
+            SELECT count(*) AS registros,
+                count(*) FILTER (WHERE nome_municipio IS NULL) AS sem_correspondencia,
+                count(*) FILTER (WHERE rede = 4) AS sem_de_para_rede,
+                CAST(0 AS BIGINT) AS sem_de_para_serie
+            FROM silver_m) ON COLUMNS(*) INTO NAME verificacao VALUE valor)
+        UNION ALL SELECT 'uf', verificacao, valor FROM (UNPIVOT (
+            SELECT count(*) AS registros, count(*) FILTER (WHERE rede = 4) AS sem_de_para_rede,
+                CAST(0 AS BIGINT) AS sem_de_para_serie
+            FROM silver_s) ON COLUMNS(*) INTO NAME verificacao VALUE valor)""",
+    "column_contract": """SELECT 'alunos' AS tabela, coluna, registros
+        FROM (SELECT count(*) AS registros FROM raw_pupil), (VALUES ('nome_municipio'),
+            ('sigla_uf'), ('ano_referencia'), ('serie_descricao'), ('rede_descricao')) AS v(coluna)
+        UNION ALL SELECT 'municipio', coluna, registros
+        FROM (SELECT count(*) AS registros FROM silver_m), (VALUES ('nome_municipio'),
+            ('sigla_uf'), ('ano_referencia'), ('serie_descricao'), ('rede_descricao')) AS v(coluna)""",
     "unmapped_texts": """SELECT rede_descricao, count(*) AS registros FROM goal
         WHERE rede IS NULL GROUP BY rede_descricao""",
     "key_quality": """SELECT count(*) + 1 AS registros,
@@ -470,14 +546,29 @@ STATEMENTS = {
             value + y - 1995 AS meta_alfabetizacao
         FROM goal_event JOIN range(1996, 2003) AS r(y) ON y > ano
         WHERE forma <= 5""",
-    "latest_goal": """SELECT ano, rede, max(event_id) AS event_id FROM goal_event
-        WHERE forma <= 5 GROUP BY ano, rede""",
+    "latest_goal": """SELECT ano, rede, arg_max(value, event_id) AS taxa_alfabetizacao
+        FROM goal_event WHERE forma <= 5 GROUP BY ano, rede""",
     "stream_ingest": """SELECT ano, rede, CAST(y AS INTEGER) AS ano_meta,
             value + y - 1995 AS meta_alfabetizacao
         FROM goal_event JOIN range(1996, 2003) AS r(y) ON y > ano
         WHERE forma <= 5""",
     "stream_acknowledgement": """SELECT count(*) AS eventos,
             count(*) FILTER (WHERE forma <= 5) AS metas FROM goal_event""",
+    "stream_refresh": COMPARISON_C.replace("JOIN goal g", "JOIN goal_now g"),
+    "run_pipeline": " UNION ALL ".join(
+        f"SELECT '{table}' AS conjunto, count(*) AS registros FROM ({source})"
+        for table, source in {
+            "alunos": "SELECT * FROM pupil", "municipio": "SELECT * FROM silver_m",
+            "uf": "SELECT * FROM silver_s", "meta_alfabetizacao": "SELECT * FROM goal",
+            "indicador_municipio": "SELECT * FROM municipality",
+            "indicador_uf": "SELECT * FROM state", "indicador_brasil": "SELECT * FROM country",
+            "metas_vs_resultado_municipio": COMPARISON_M, "metas_vs_resultado_uf": COMPARISON_S,
+            "metas_vs_resultado_brasil": COMPARISON_C,
+            "evolucao_temporal_municipio": "SELECT * FROM municipality",
+            "evolucao_temporal_uf": "SELECT * FROM state",
+            "evolucao_temporal_brasil": "SELECT * FROM country", "ml_aluno": FEATURES,
+        }.items()
+    ),
     # tables
     "silver_state": "SELECT * FROM silver_s",
     "silver_municipality": "SELECT * FROM silver_m",
@@ -495,6 +586,9 @@ STATEMENTS = {
     "gold_evolution_state": _evolution("state", "uf", "sigla_uf"),
     "gold_evolution_total": _evolution("country", "brasil", None),
     "gold_ml_features": FEATURES,
+    "gold_ml_features_murmur": f"""SELECT * EXCLUDE (dataset_split, faixa),
+            {MURMUR_SPLIT} AS dataset_split
+        FROM (SELECT *, {_murmur('id_aluno')} AS faixa FROM ({FEATURES}))""",
     # reports
     "q1_result_vs_goal": Q1,
     "q2_goal_reached": f"{Q1} AND atingiu_meta",

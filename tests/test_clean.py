@@ -1,3 +1,5 @@
+from pyspark.sql import Row
+
 from lettera.operators.clean import (
     drop_duplicate_rows,
     normalize_ids,
@@ -53,3 +55,29 @@ def test_a_group_of_copies_is_reduced_before_the_shuffle(spark):
     assert "partial_min" in plan and "Window" not in plan
     assert "HashAggregate" in plan and "SortAggregate" not in plan
     assert out.count() == 20_001 and out.where("k = 0").first()["v"] == 0
+
+
+def test_survivors_are_hashed(spark, rows, tmp_path):
+    """Neither by a known preference nor by whole rows is a table sorted to find survivors."""
+    df = rows([("a", 1, "x"), ("a", 2, "y"), (None, 3, "z")], "k string, n int, t string")
+    for options in ({"prefer": ["n"], "latest": True}, {"prefer": ["n"]}, {"prefer": ["t"]}, {}):
+        plan = one_per_key(df, ["k"], **options)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_survivors_with_gaps_and_ties(rows):
+    """The same survivor by either way, with missing keys, missing and equal preferences."""
+    data = [
+        ("a", 2.0, "x", 1), ("a", 2.0, "y", None), ("a", None, "z", 9), ("a", 1.0, "w", 5),
+        (None, None, "q", 1), (None, None, "p", 2), ("n", float("nan"), "b", 1), ("n", 3.0, "a", 1),
+        ("d", 1.0, "s", 1), ("d", 1.0, "s", 1),
+    ]
+    df = rows(data, "k string, n double, t string, v int")
+    latest = one_per_key(df, ["k"], prefer=["n"], latest=True)
+    assert sorted(map(str, latest.collect())) == sorted(map(str, [
+        Row(k="a", n=2.0, t="y", v=None), Row(k=None, n=None, t="q", v=1),
+        Row(k="n", n=float("nan"), t="b", v=1), Row(k="d", n=1.0, t="s", v=1),
+    ]))
+    first = one_per_key(df, ["k"], prefer=["n"])
+    assert as_set(first, "k", "t") == {("a", "w"), (None, "p"), ("n", "a"), ("d", "s")}
+    assert one_per_key(df.where("false"), ["k"], prefer=["n"]).count() == 0

@@ -1,20 +1,23 @@
 """The whole run over folders, from bronze to catalogued gold."""
 
 import json
+from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from lettera.model import SNAPSHOT_TABLES
 from lettera.plans.pipeline import (
     CATALOG_TABLES,
     Layers,
+    load_bronze,
     quality_tables,
+    refresh_after_batch,
     refresh_after_goals,
     run_pipeline,
 )
 from lettera.plans.reports import spread_between_and_within_states, state_ranking
-from lettera.sources.readers import snapshot
+from lettera.sources.writers import replace_partitions, write_partitioned
 from lettera.sources.testbed import CURRENT_YEAR, FINAL_YEAR, MODEL
 from lettera.streaming import goal_events as stream
 from tests.conftest import as_set
@@ -25,15 +28,7 @@ def layers(spark, workspace, tmp_path_factory):
     root = tmp_path_factory.mktemp("lake")
     layers = Layers(str(root / "bronze"), str(root / "silver"), str(root / "gold"),
                     str(root / "received"))
-    sources = {
-        "alunos": workspace.pupils, "municipio": workspace.published_municipalities,
-        "uf": workspace.published_states, "dicionario": workspace.dictionary,
-        "meta_alfabetizacao_brasil": workspace.goals_country,
-        "meta_alfabetizacao_municipio": workspace.goals_municipalities,
-        "meta_alfabetizacao_uf": workspace.goals_states,
-        "municipio_ibge": workspace.localities,
-    }
-    snapshot(lambda t: sources[t](), [*SNAPSHOT_TABLES, "municipio_ibge"], layers.bronze)
+    load_bronze(workspace.sources(), layers)
     run_pipeline(spark, layers, MODEL, database="lake")
     return layers
 
@@ -106,6 +101,32 @@ def test_quality_tables(spark, workspace, layers):
         assert total == gold(spark, layers, name).count()
 
 
+def test_quality_tables_read_the_pupils_once(spark, workspace, layers):
+    tables = quality_tables(spark, layers)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in tables.values()]
+    scans = [line for plan in plans for line in plan.split("\n") if f"{layers.silver}/alunos]" in line]
+    assert len(scans) == 1 and "ReadSchema: struct<id_aluno:string>" in scans[0]
+    pupils = spark.read.parquet(f"{layers.silver}/alunos")
+    assert tables["alunos_distintos"].columns == [
+        "distintos_sigla_uf", "distintos_id_municipio", "distintos_id_aluno"
+    ]
+    assert as_set(tables["alunos_distintos"]) == as_set(
+        pupils.agg(*(F.count_distinct(c) for c in ("sigla_uf", "id_municipio", "id_aluno")))
+    )
+    assert as_set(tables["alunos_por_uf_e_ano"]) == as_set(
+        pupils.groupBy("sigla_uf", F.col("ano").cast("int")).count()
+    )
+    from lettera.operators import quality
+    from lettera.plans import silver
+
+    assert as_set(tables["alunos_sem_municipio"]) == as_set(
+        quality.unmatched_rows(pupils, "nome_municipio")
+    )
+    assert as_set(tables["alunos_sem_de_para"]) == as_set(
+        quality.unmapped_codes(pupils, silver.PUPIL_CODES)
+    )
+
+
 def test_reports_also_run_as_sql(spark, layers):
     comparison = gold(spark, layers, "metas_vs_resultado_uf")
     mine = state_ranking(comparison, CURRENT_YEAR, FINAL_YEAR).groupBy("sigla_uf").agg(
@@ -165,3 +186,79 @@ def test_streamed_goals_reach_gold(spark, layers, tmp_path):
     kept = gold(spark, layers, "metas_vs_resultado_brasil").where("ano = 2000 AND rede = 5")
     assert {r["ano_meta"] for r in kept.select("ano_meta").collect()} == {2000, 2001, 2002}
     assert spark.read.parquet(f"{layers.gold}/ml_aluno").inputFiles() == features
+
+
+def stored(spark, layers):
+    """All nine tables without time stamps, and the files of each folder below."""
+    rows = {}
+    for t in CATALOG_TABLES:
+        df = gold(spark, layers, t).drop("processed_at")
+        rows[t] = sorted(map(repr, df.select(*sorted(df.columns)).collect()))
+    return rows
+
+
+def files(root):
+    return {str(p.parent) + "/" + p.name for p in Path(root).rglob("part-*.parquet")}
+
+
+def test_a_batch_rewrites_only_what_it_changes(spark, workspace, tmp_path):
+    """The refresh after a batch leaves the same tables as building all of them anew."""
+    layers = replace(workspace.full_lake(), received_goals=str(tmp_path / "received"))
+    (tmp_path / "in").mkdir()
+
+    def arrive(name, *goals):
+        (tmp_path / "in" / name).write_text(json.dumps({"metas": list(goals)}))
+        years = []
+        stream.start_goal_stream(
+            stream.read_goal_events(spark, str(tmp_path / "in")), layers.received_goals,
+            str(tmp_path / "quarantine"), str(tmp_path / "checkpoint"),
+            refresh=lambda session, batch, _: years.extend(
+                refresh_after_batch(session, layers, MODEL, batch)
+            ),
+        ).awaitTermination()
+        return years
+
+    def same_as_built_anew():
+        mine = stored(spark, layers)
+        refresh_after_goals(spark, layers, MODEL)
+        return mine == stored(spark, layers)
+
+    before = files(layers.gold) | files(layers.silver)
+    plain = {"ano": "2000", "rede": "Municipal", "meta_alfabetizacao_2002": "50"}
+    assert arrive("a.json", plain, {"ano": "2050", "rede": "Pública"}) == [2000]
+    after = files(layers.gold) | files(layers.silver)
+    for gone in before - after:
+        assert "/ano=2000/" in gone or "/escopo=brasil/" in gone
+        assert "indicador_uf" not in gone and "indicador_municipio" not in gone
+    assert same_as_built_anew()
+
+    def of_city():
+        national = gold(spark, layers, "metas_vs_resultado_brasil")
+        return national.where("ano = 2000 AND rede = 3").count()
+
+    assert of_city() > 0
+
+    # A newer event without goals takes back what the older one said.
+    assert arrive("b.json", {"ano": "2000", "rede": "Municipal"}) == [2000]
+    assert same_as_built_anew()
+    assert of_city() == 0
+    # No results are known of such a year: the goal is kept, gold stays.
+    assert arrive("c.json", {"ano": "2050", "rede": "Pública", "meta_alfabetizacao_2002": "1"}) == []
+    kept = spark.read.parquet(f"{layers.silver}/meta_alfabetizacao").where("ano_publicacao = 2050")
+    assert kept.count() == 1
+    assert same_as_built_anew()
+
+
+def test_replaced_partitions(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    table = write_partitioned(rows([(1, "a"), (2, "b"), (3, "c")], "v int, k string"), path, ["k"])
+    before = files(path)
+    new = rows([(9, "b"), (8, "zz")], "v int, k string")
+    replace_partitions(new, path, "k", ["b", "c", "d"])
+    assert as_set(spark.read.schema(table.schema).parquet(path)) == {(1, "a"), (9, "b")}
+    assert {f for f in before if "k=a/" in f} <= files(path)
+    replace_partitions(new.where("false"), path, "k", ["a", "b"])
+    assert spark.read.schema(table.schema).parquet(path).count() == 0
+    replace_partitions(new, path, "k", [])
+    with pytest.raises(ValueError, match="plain partition value"):
+        replace_partitions(new, path, "k", ["x/y"])

@@ -23,7 +23,8 @@ def pupils(rows):
 
 def test_parts_ignore_pupils_without_flag(pupils):
     parts = additive_parts(pupils, KEYS).where("uf = 'RS' AND rede = 2")
-    assert as_set(parts.drop(*KEYS)) == {(2.0, 8.0, 1.0, 2)}
+    # All three records count, two of them with a flag.
+    assert as_set(parts.drop(*KEYS)) == {(2.0, 8.0, 1.0, 2, 3)}
 
 
 def test_networks_overlap(pupils):

@@ -113,8 +113,9 @@ def test_any_goal_year_is_found(events):
 class Run:
     """A stream over a folder, run once per call."""
 
-    def __init__(self, spark, root, refresh=None):
+    def __init__(self, spark, root, refresh=None, files_per_batch=1000):
         self.spark, self.root, self.refresh = spark, root, refresh
+        self.files_per_batch = files_per_batch
         (root / "in").mkdir()
 
     def drop(self, name, *events):
@@ -123,7 +124,9 @@ class Run:
 
     def __call__(self):
         query = stream.start_goal_stream(
-            stream.read_goal_events(self.spark, str(self.root / "in")),
+            stream.read_goal_events(
+                self.spark, str(self.root / "in"), files_per_batch=self.files_per_batch
+            ),
             str(self.root / "received"), str(self.root / "quarantine"),
             str(self.root / "checkpoint"), self.refresh,
         )
@@ -147,7 +150,7 @@ def test_stream_continues_and_the_latest_goal_counts(spark, tmp_path):
     calls = []
     run = Run(spark, tmp_path, lambda session, batch, goals: calls.append((batch, goals)))
     run.drop("a.json", {"metas": FOUR}, "kaputt", {"metas": goal(2024, "Municipal", g2030="1")})
-    assert stream.acknowledgement(run()) == {"eventos": 3, "lotes": 1}
+    assert stream.acknowledgement(run()) == {"eventos": 3, "lotes": 1, "metas": 5}
     assert run.received().count() == 5
     run()
     assert run.received().count() == 5 and calls == [(0, 5)]
@@ -164,6 +167,19 @@ def test_stream_continues_and_the_latest_goal_counts(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "quarantine")).count() == 1
 
 
+def test_every_batch_of_a_long_run_is_acknowledged(spark, tmp_path):
+    """However many batches a run has, and however few of them Spark remembers."""
+    run = Run(spark, tmp_path, files_per_batch=1)
+    for n in range(4):
+        run.drop(f"{n}.json", {"metas": FOUR[:n]}, "kaputt")
+    remembered = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(remembered, 1)
+    try:
+        assert stream.acknowledgement(run()) == {"eventos": 8, "lotes": 4, "metas": 6}
+    finally:
+        spark.conf.unset(remembered)
+
+
 def test_a_repeated_batch_replaces_its_own_output(spark, tmp_path):
     calls = []
 
