@@ -23,12 +23,72 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Labels and their templates: usual notices and sentences of public licenses.
+#: The whole wording of short public licenses, with what may be left out or replaced.
+#: A clause that is added, changed or cut off is no match.
+MIT = """
+Permission is hereby granted, free of charge, to any person obtaining a copy of this {{3}} and associated
+documentation files (the {{3}}), to deal in the {{3}} without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the {{3}}, and to
+permit persons to whom the {{3}} is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice [[(including the next paragraph)]] shall be included in
+all copies or substantial portions of the {{3}}.
+THE {{3}} IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+[[THE]] {{8}} BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE {{3}} OR THE USE OR OTHER DEALINGS IN THE {{1}}
+"""
+ISC = """
+Permission to use, copy, modify, and[[/or]] distribute this software for any purpose with or without fee is
+hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND {{8}} DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL {{8}} BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER
+IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE
+"""
+BSD_TERMS = """
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+[[1]] [[a]] Redistributions of source code must retain the above copyright notice, this list of conditions and
+the following disclaimer.
+[[2]] [[b]] Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+BSD_NAMES = """
+[[3]] [[c]] Neither the name of {{12}} nor the names of [[its]] [[other]] contributors may be used to endorse or
+promote products derived from this software without specific prior written permission.
+"""
+BSD_DISCLAIMER = """
+THIS SOFTWARE IS PROVIDED BY {{12}} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,
+THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+{{12}} BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING,
+BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+POSSIBILITY OF SUCH DAMAGE
+"""
+UNLICENSE = """
+This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code
+form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all
+copyright interest in the software to the public domain. We make this dedication for the benefit of the public at
+large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of
+relinquishment in perpetuity of all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE
+[[For more information, please refer to <http{{5}}>]]
+"""
+#: Labels and their templates: whole licenses, their opening clauses, usual notices.
 TEMPLATES = [
+    ("mit-text", MIT), ("isc-text", ISC), ("bsd-2-clause", BSD_TERMS + BSD_DISCLAIMER),
+    ("bsd-3-clause", BSD_TERMS + BSD_NAMES + BSD_DISCLAIMER), ("unlicense-text", UNLICENSE),
     ("mit-notice", "released [[or distributed]] under the [[terms of the]] mit license"),
     ("mit-notice", "licensed under the [[terms of the]] mit license"),
-    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this "
-                 "{{3}} and associated documentation files"),
+    ("mit-opening", "permission is hereby granted free of charge to any person obtaining a copy of this "
+                    "{{3}} and associated documentation files"),
     ("apache-2.0", "licensed under the [[terms of the]] apache license [[version]] 2 [[0]]"),
     ("apache-2.0", "apache license version 2 0 [[january 2004]]"),
     ("gpl-3.0", "licensed under the [[terms of the]] gnu general public license [[as published by the "
@@ -43,12 +103,12 @@ TEMPLATES = [
     ("cc-by-version", "licensed under [[a]] [[creative commons]] cc by 4 0"),
     ("cc-text", "creative commons attribution [[noncommercial]] [[sharealike]] [[noderivatives]] {{2}} "
                 "[[international]] license"),
-    ("bsd-text", "redistribution and use in source and binary forms with or without modification are "
-                 "permitted provided that the following conditions are met"),
-    ("isc-text", "permission to use copy modify and or distribute this software for any purpose with or "
-                 "without fee is hereby granted"),
+    ("bsd-opening", "redistribution and use in source and binary forms with or without modification are "
+                    "permitted provided that the following conditions are met"),
+    ("isc-opening", "permission to use copy modify and [[or]] distribute this software for any purpose with or "
+                    "without fee is hereby granted"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("unlicense-opening", "this is free and unencumbered software released into the public domain"),
     ("all-rights-reserved", "all rights reserved"),
     ("copyright-notice", "copyright [[c]] {{1}} [[by]] {{4}} all rights reserved"),
 ]
