@@ -351,6 +351,26 @@ def test_parts_of_long_items_are_found(spark):
     assert set(found) == planted and len(found) == len(planted)
 
 
+def test_long_items_are_dealt_to_blocks(spark, monkeypatch):
+    """Items of any length fill blocks by their passages, and are found in whichever they are."""
+    monkeypatch.setattr(decontaminate, "BLOCK_VECTORS", 200)
+    rng = random.Random(21)
+    items = [(i, words(rng, n, 10**6)) for i, n in enumerate([700, 700, 30, 30, 200])]
+    docs = [(10 * i, "before it " + t + " after it") for i, t in items] + [(99, words(rng, 500, 10**6)), (98, None)]
+    sent = []
+    broadcast = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(
+        type(spark.sparkContext), "broadcast", lambda self, v: sent.append(v) or broadcast(self, v)
+    )
+    found = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(10 * i, i) for i, _ in items}
+    blocks = [v[1] for v in sent if len(v) == 4]
+    assert len(blocks) > 1 and sum(map(len, blocks)) == len(items)
+
+
 def test_longest_common_subsequence():
     rng = random.Random(8)
     for _ in range(200):
@@ -421,6 +441,60 @@ def test_licenses(spark, docs, none):
     assert licenses.scanned(none).count() == 0
 
 
+def written(template, optional, words="the example project"):
+    """A template as a text, with or without its optional regions."""
+    text = re.sub(r"\[\[((?:(?!\]\]).)*)\]\]", r" \1 " if optional else " ", template, flags=re.S)
+    return re.sub(r"\{\{(\d+)\}\}", lambda m: " ".join(words.split()[: int(m[1])]), text)
+
+
+def as_pattern(template):
+    """A template as a regular expression over words, each with a blank behind."""
+    out = ""
+    for mark in licenses._MARK.finditer(template):
+        token = mark.group()
+        out += {"[[": "(?:", "]]": ")?"}.get(token) or (
+            r"(?:\S+ ){1,%s}" % mark[1] if mark[1] else "".join(re.escape(w) + " " for w in licenses.words_of(token))
+        )
+    return re.compile(r"(?:^| )" + out)
+
+
+def test_whole_licenses():
+    automaton = licenses.compiled()
+    whole = {"mit-text", "isc-text", "bsd-2-clause", "bsd-3-clause", "unlicense-text"}
+    for label, template in licenses.TEMPLATES:
+        if label not in whole:
+            continue
+        for optional in (False, True):
+            text = "Copyright 2020 A B\n" + written(template, optional) + "\nint main"
+            assert whole & set(licenses.scan(text, automaton)["labels"].split(",")) == {label}
+            assert licenses.scan(text.replace("\n", " # "), automaton)["labels"].count(label) == 1
+            words = text.split()
+            for change in (
+                words[: len(words) * 3 // 4], [*words[:40], "for", "non-commercial", "use", "only", *words[40:]],
+                [*words[:30], *words[31:]], [*words[:60], "never", *words[61:]],
+            ):
+                assert not whole & set(licenses.scan(" ".join(change), automaton)["labels"].split(","))
+
+
+def test_templates_as_regular_expressions(spark):
+    """All labels of all given documents, and of licenses with words left out, by another matcher."""
+    automaton, rng = licenses.compiled(), random.Random(11)
+    patterns = [(label, as_pattern(template)) for label, template in licenses.TEMPLATES]
+    texts = [r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    for _, template in licenses.TEMPLATES:
+        for optional in (False, True):
+            words = written(template, optional).split()
+            texts += [" ".join(["so", *words, "then"]), " ".join(w for w in words if rng.random() > 0.02)]
+    seen = set()
+    for text in texts:
+        plain = " " + "".join(w + " " for w in licenses.words_of(text))
+        want = {label for label, pattern in patterns if pattern.search(plain)}
+        got = licenses.scan(text, automaton)
+        assert set(filter(None, got["labels"].split(","))) == want | set(filter(None, got["base_labels"].split(",")))
+        seen |= want
+    assert seen == {label for label, _ in licenses.TEMPLATES}
+
+
 def test_html(spark):
     page = (
         "<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><nav><a href=x>Home</a></nav>"
