@@ -2,17 +2,16 @@
 
 Each text that occurs is one node, however many rows hold it.  Its MinHash signature makes a
 path of ``DEPTH`` labels in each of ``TREES`` prefix tries.  A trie is its paths in sorted order:
-neighbours share a node at every depth up to the length of their common prefix, and the texts
-below a node of depth k are a run of neighbours with at least k labels in common.  All tries are
-sorted at once, by ranges, so that a run of any length lies in many tasks.
-
-The search begins with whole paths and shortens the matched prefix label by label.  At each depth
-the texts connected by common trie nodes form candidate groups, and what the depth adds to them is
-verified: every pair of a grown group that was not together before and whose sizes allow the
-similarity, exactly on the shingle sets, a block against a block at a time.  Only counts and roots
-leave a block, so a group of any size is many small tasks, and no pair is ever a row.  Shortening
-stops where a pair at the threshold itself, whose recall is least, is found often enough; the mix
-of links in the data decides nothing.
+the texts below a node of depth k are a run of neighbours with at least k labels in common.  All
+tries are sorted at once, by ranges, so that a run of any length lies in many tasks.
+
+The scan of the sorted paths begins with whole paths and shortens the matched prefix label by
+label; each run of a depth links its texts to the least of them.  Shortening stops where a pair at
+the threshold itself, whose recall is least, is found often enough; the mix of links in the data
+decides nothing.  Texts connected by common nodes form candidate groups; within a group every pair
+whose sizes allow the similarity is then verified exactly on the shingle sets, a block against a
+block at a time, and only counts and roots leave a block.  So a group of any size is many small
+tasks, and no pair is ever a row.
 """
 
 from __future__ import annotations
@@ -31,11 +30,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from lettera.llm.common import map_batches, stored, text_of
 from lettera.llm.components import components
-from lettera.operators.joins import left_lookup
 
 TREES, DEPTH = 32, 8
 #: Shingles of a block at most on average: a task holds two blocks.
 BLOCK_SHINGLES, BLOCK_TEXTS = 1_000_000, 1024
+#: Parts in which the texts of one band meet the sizes of its blocks.
+SALTS = 16
 WORD_BREAK = r"[^\p{L}\p{N}_]+"
 
 _SEEDS = np.random.default_rng(20240607)
@@ -192,57 +192,43 @@ def _cells(members: DataFrame) -> DataFrame:
     """Members of candidate groups, dealt to pairs of blocks: ``cell``, ``side``.
 
     Texts of one group are banded by size, so that only a band and the next can be similar
-    enough, and a band is cut by hash into blocks of bounded size.  Blocks of the ``core``, whose
-    texts were together before, are numbered after the others and meet only those.
+    enough, and a band is cut by hash into blocks of bounded size.
     """
-    core = F.col("core")
-
-    def blocks(chosen: Column) -> Column:
-        texts, found = F.count_if(chosen), F.sum(F.when(chosen, F.col("n")).otherwise(0))
-        return F.when(texts == 0, 0).otherwise(
-            F.greatest(F.ceil(found / BLOCK_SHINGLES), F.ceil(texts / BLOCK_TEXTS), F.lit(1))
-        ).cast("int")
-
-    bands = members.groupBy("root", "band").agg(
-        blocks(~core).alias("rest"), blocks(core).alias("cores")
-    ).select("root", "band", "rest", "cores", (F.col("rest") + F.col("cores")).alias("all"))
-
-    def beside(step: int, name: str) -> DataFrame:
-        return bands.select(
-            "root", (F.col("band") - step).alias("band"),
-            F.col("rest").alias(f"{name}_rest"), F.col("all").alias(f"{name}_all"),
-        )
-
-    sizes = bands.join(beside(1, "next"), ["root", "band"], "left").join(
-        beside(-1, "previous"), ["root", "band"], "left"
-    )
-    hashed = F.xxhash64("node")
-    piece = F.when(core, F.col("rest") + F.pmod(hashed, F.col("cores"))).otherwise(
-        F.pmod(hashed, F.col("rest"))
+    parts = F.greatest(
+        F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.ceil(F.col("texts") / BLOCK_TEXTS), F.lit(1)
     ).cast("int")
-    cells = "array<struct<band:int,one:int,other:int,side:int>>"
-
-    def met(name: str, make) -> Column:
-        """The cells of a text with each block it has to meet in its own or another band."""
-        count = F.when(core, F.col(f"{name}rest")).otherwise(F.col(f"{name}all"))
-        return F.when(
-            count > 0, F.transform(F.sequence(F.lit(1), count), lambda q: F.struct(
-                *(c.alias(k) for c, k in zip(make(q - 1), ("band", "one", "other", "side"), strict=True))
-            )).cast(cells),
-        ).otherwise(F.array().cast(cells))
-
-    band, mine = F.col("band"), F.col("piece")
-    own = met("", lambda q: (
-        2 * band, F.least(mine, q), F.greatest(mine, q), F.when(mine <= q, 0).otherwise(1)
+    bands = members.groupBy("root", "band").agg(
+        F.sum("n").alias("shingles"), F.count("*").alias("texts")
+    ).select("root", "band", parts.alias("parts"))
+    above = bands.select("root", (F.col("band") - 1).alias("band"), F.col("parts").alias("next"))
+    below = bands.select("root", (F.col("band") + 1).alias("band"), F.col("parts").alias("previous"))
+    sizes = bands.join(above, ["root", "band"], "left").join(below, ["root", "band"], "left")
+    piece = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    # A band of a large group is a hot key: its sizes are there several times, for parts of its texts.
+    sizes = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = members.withColumn("salt", F.pmod(F.hash("node"), F.lit(SALTS)))
+
+    def cell(band, one, other, side):
+        return F.struct(band.alias("band"), one.alias("one"), other.alias("other"), side.alias("side"))
+
+    def each(count: Column, make) -> Column:
+        return F.transform(F.sequence(F.lit(1), count), lambda q: make(q - 1))
+
+    own = each(F.col("parts"), lambda q: cell(
+        2 * F.col("band"), F.least(F.col("piece"), q), F.greatest(F.col("piece"), q),
+        F.when(F.col("piece") <= q, 0).otherwise(1),
     ))
-    up = met("next_", lambda q: (2 * band + 1, mine, q, F.lit(0)))
-    down = met("previous_", lambda q: (2 * band - 1, q, mine, F.lit(1)))
-    # A band of a large group is a hot key: its few sizes are sent to all, its texts dealt evenly.
+    up = each(F.col("next"), lambda q: cell(2 * F.col("band") + 1, F.col("piece"), q, F.lit(0)))
+    down = each(F.col("previous"), lambda q: cell(2 * F.col("band") - 1, q, F.col("piece"), F.lit(1)))
+    none = F.array().cast("array<struct<band:int,one:int,other:int,side:int>>")
     return (
-        left_lookup(members, sizes, ["root", "band"], split_hot=True)
-        .withColumn("piece", piece)
-        .select("root", "node", "old", "copies", F.explode(F.concat(own, up, down)).alias("c"))
-        .select("root", "node", "old", "copies", "c.band", "c.one", "c.other", "c.side")
+        salted.join(sizes, ["root", "band", "salt"]).withColumn("piece", piece)
+        .select("root", "node", "copies", F.explode(F.concat(
+            own.cast(none_type := "array<struct<band:int,one:int,other:int,side:int>>"),
+            F.when(F.col("next").isNotNull(), up.cast(none_type)).otherwise(none),
+            F.when(F.col("previous").isNotNull(), down.cast(none_type)).otherwise(none),
+        )).alias("c"))
+        .select("root", "node", "copies", "c.band", "c.one", "c.other", "c.side")
     )
 
 
@@ -285,10 +271,8 @@ def _verifier(size: int, least: float):
         if not first or not b:
             return pd.DataFrame({"node": [], "root": [], "linked": []})
         ratio = similar(sets[:first], b, least)
-        # Texts that were together at a greater depth were verified there; so was a text with itself.
-        old = cell["old"].to_numpy()
-        ratio[old[:first, None] == (old if same else old[first:])[None, :]] = 0
         if same:
+            np.fill_diagonal(ratio, 0)
             link = ratio > 0
             copies = cell["copies"].to_numpy()
             linked, links = link @ copies, link.sum(1)
@@ -337,54 +321,23 @@ def near_duplicates(
         "near-nodes",
     )
     texts_of = docs.select(text_of().alias("text")).withColumn("node", F.xxhash64(F.md5("text")))
-
-    def verified_members(members: DataFrame) -> DataFrame:
-        """Counts and roots of the links among members (root, node, old, core, n, copies, band)."""
-        members = stored(members, "near-members")
-        once = (
-            texts_of.join(members.select("node"), "node", "left_semi")
-            .groupBy("node").agg(F.first("text").alias("text"))
-            .select("node", word_hashes(F.col("text")).alias("words"))
-        )
-        return stored(
-            _cells(members).join(once, "node").groupBy("root", "band", "one", "other")
-            .applyInPandas(_verifier(size, least), "node long, root long, linked long"),
-            "near-links",
-        )
-
+    groups = components(trie_links(nodes, search_depth(least, target)).drop("depth"))
     band = F.floor(F.log(F.col("n").cast("double")) / -math.log(least) + 1e-9).cast("int")
-    banded = nodes.select("node", "n", "copies", band.alias("band"))
-    stop = search_depth(least, target)
-    links = trie_links(nodes, stop)
-    # Each depth's groups by the name they had at the depth before: at first, each node its own.
-    group_of, verified = banded.select("node", F.col("node").alias("old")), None
-    for depth in range(DEPTH, stop - 1, -1):
-        here = links.filter(F.col("depth") >= depth)
-        for end in ("a", "b"):
-            here = here.join(
-                group_of.select(F.col("node").alias(end), F.col("old").alias(f"old_{end}")), end
-            )
-        merged = components(
-            here.select(F.col("old_a").alias("a"), F.col("old_b").alias("b")).filter("a <> b")
-        ).withColumnRenamed("node", "old")
-        if depth < DEPTH:
-            # The largest of the groups that were merged is the core: its pairs are done.
-            sizes = group_of.groupBy("old").agg(F.count("*").alias("texts"))
-            parts = stored(merged.join(sizes, "old"), "near-parts")
-            largest = parts.groupBy("root").agg(F.max(F.struct("texts", "old")).alias("most"))
-            merged = parts.join(largest, "root").select(
-                "root", "old",
-                ((F.col("most.old") == F.col("old")) & (F.col("texts") > 1)).alias("core"),
-            )
-        else:
-            merged = merged.withColumn("core", F.lit(False))
-        found = verified_members(banded.join(group_of, "node").join(merged, "old"))
-        verified = found if verified is None else verified.unionByName(found)
-        if depth > stop:
-            group_of = stored(
-                group_of.join(merged, "old", "left")
-                .select("node", F.coalesce("root", "old").alias("old")), "near-groups",
-            )
+    members = stored(
+        nodes.join(groups, "node").select("node", "root", "n", "copies", band.alias("band")),
+        "near-members",
+    )
+    once = (
+        texts_of.join(members.select("node"), "node", "left_semi")
+        .groupBy("node").agg(F.first("text").alias("text"))
+        .select("node", word_hashes(F.col("text")).alias("words"))
+    )
+    verified = stored(
+        _cells(members).join(once, "node")
+        .groupBy("root", "band", "one", "other")
+        .applyInPandas(_verifier(size, least), "node long, root long, linked long"),
+        "near-links",
+    )
     classes = components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
     counts = verified.groupBy("node").agg(F.sum("linked").alias("linked"))
     joined = (
