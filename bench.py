@@ -2,7 +2,8 @@
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the number of cores, ``BENCH_QUERIES`` a
 comma-separated choice (``all`` for every registered query).  Each time covers building the
-query, including the tables it writes on the way, and computing every row of its result.
+query, including the tables it writes on the way, and computing every row of its result.  Gold
+tables and reports read stored layers; building those, once, is timed as ``stored_layers``.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import json
 import os
 import time
 
-from lettera.plans.catalog import QUERIES
+from lettera.plans.catalog import QUERIES, Workspace
 from lettera.session import local_session
 
 HEADLINE = [
@@ -25,7 +26,8 @@ HEADLINE = [
     "q4_state_ranking", "q5_states_below", "q6_state_spread",
     "q7_national_goal_vs_result", "q8_national_indicator", "q9_national_evolution",
     "additive_parts", "dim_enrich", "dim_enrich_large", "prior_year_context",
-    "dedup_rows", "dedup_by_key", "goal_map_explode", "stream_ingest",
+    "dedup_rows", "dedup_by_key", "count_distinct", "goal_map_explode", "stream_ingest",
+    "latest_goal", "stream_refresh", "write_scope",
 ]
 
 
@@ -42,6 +44,9 @@ def main() -> None:
     QUERIES["additive_parts"](spark, folder).write.format("noop").mode("overwrite").save()
 
     seconds = {}
+    start = time.perf_counter()
+    Workspace(spark, folder).layers
+    seconds["stored_layers"] = round(time.perf_counter() - start, 3)
     for name in chosen():
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
