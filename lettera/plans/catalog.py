@@ -75,6 +75,8 @@ YEAR_GRADE = ["ano_referencia", "serie"]
 
 # Lines of an event file: what a producer gathers before it hands a file over.
 EVENTS_PER_FILE = 20_000
+# Micro-batches of a run over all events: they grow with the events, their number doesn't.
+EVENT_BATCHES = 5
 
 # The stored layers of each folder, by session.
 LAKES: dict[tuple[str, str], pipeline.Layers] = {}
@@ -188,24 +190,30 @@ class Workspace(Testbed):
 
     # -- events --------------------------------------------------------------------------
 
-    def drop_events(self, folder: str) -> None:
-        """Files of events, one after the other, with the events in the order of their ids."""
-        events = self.goal_events()
-        first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
-        for lower in range(first, last + 1, EVENTS_PER_FILE):
-            (
-                events.where(F.col("event_id").between(lower, lower + EVENTS_PER_FILE - 1))
-                .coalesce(1).sortWithinPartitions("event_id").select("value")
-                .write.mode("append").text(folder)
-            )
+    def drop_events(self, folder: str) -> int:
+        """Numbered deliveries, one file each, with the events in the order of their ids.
+
+        One job deals and writes them all; returns how many there are.
+        """
+        events = self.table("events")
+        files = max(1, -(-events.count() // EVENTS_PER_FILE))
+        (
+            self.goal_events(events.repartitionByRange(files, "event_id"))
+            .withColumn("entrega", F.spark_partition_id())
+            .sortWithinPartitions("entrega", "event_id").select("value", "entrega")
+            .write.partitionBy("entrega").text(folder)
+        )
+        return files
 
     def run_events(self, root: str | None = None, refresh=None):
         """The finished run over all events, and the goals it stored below ``root``."""
         root = root or scratch_folder(self.spark, "events")
         received = f"{root}/received"
-        self.drop_events(f"{root}/incoming")
+        files = self.drop_events(f"{root}/incoming")
         run = stream.start_goal_stream(
-            stream.read_goal_events(self.spark, f"{root}/incoming", files_per_batch=1),
+            stream.read_goal_events(
+                self.spark, f"{root}/incoming", files_per_batch=-(-files // EVENT_BATCHES)
+            ),
             received, f"{root}/quarantine", f"{root}/checkpoint", refresh,
         )
         run.awaitTermination()

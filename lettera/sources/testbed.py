@@ -245,8 +245,11 @@ class Testbed:
 
     # -- events ------------------------------------------------------------------------
 
-    def goal_events(self) -> DataFrame:
-        """Events as JSON envelopes of every shape, good and bad (``event_id``, ``value``)."""
+    def goal_events(self, events: DataFrame | None = None) -> DataFrame:
+        """Events as JSON envelopes of every shape, good and bad (``event_id``, ``value``).
+
+        ``events`` are those of the table, as they are or dealt in another way.
+        """
         year = "CAST(1998 + event_id % 4 AS INT)"
         goals = ", ".join(
             f"'{GOAL_PREFIX}{y}', IF({year} < {y}, CAST(value + {y} - 1995 AS STRING), NULL)"
@@ -273,7 +276,7 @@ class Testbed:
             WHEN 7 THEN '{{"metas":"nada"}}'
             ELSE '{{"metas":[]}}' END AS value"""
         return (
-            self.table("events")
+            (self.table("events") if events is None else events)
             .selectExpr("event_id", "user_id", goal)
             .selectExpr("event_id", envelope)
         )

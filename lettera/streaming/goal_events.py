@@ -4,6 +4,10 @@ Events arrive as text (files here; any source with a text column will do).  Acce
 appended to a bronze table, one folder per micro-batch, so that a batch that runs again after
 a failure replaces its own output.  What cannot be used goes to a quarantine table and never
 stops the stream.  Which goal counts is decided when the table is read: the latest to arrive.
+
+A producer that hands over many files at once numbers its deliveries, one folder
+``entrega=<number>`` each.  The numbers tell the order then, however many files a micro-batch
+takes and in whatever order they were written.
 """
 
 from __future__ import annotations
@@ -26,14 +30,19 @@ REJECT_FORMAT = "formato nao suportado"
 REJECT_YEAR = "sem ano"
 
 BRONZE_SCHEMA = (
-    "chegada timestamp, linha bigint, ordem int, ano int, rede string, item string, lote bigint"
+    "chegada timestamp, entrega bigint, linha bigint, ordem int, ano int, rede string, item string, "
+    "lote bigint"
 )
 
+# The number of a delivery, in the path of its files.
+_DELIVERY = r"/entrega=([0-9]+)/[^/]*$"
+
 
 def read_goal_events(
     spark: SparkSession, path: str, one_event_per_file: bool = False, files_per_batch: int = 1000
 ) -> DataFrame:
-    """Stream of raw events: ``value`` and the time its file arrived (``chegada``).
+    """Stream of raw events: ``value``, the time its file arrived (``chegada``) and the number of
+    its delivery (``entrega``; NULL for a file outside a numbered folder).
 
     Events are lines, or whole files.  Lines of one file arrive at the same time.
     """
@@ -42,7 +51,12 @@ def read_goal_events(
         .option("wholetext", one_event_per_file)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(path)
-        .select("value", F.col("_metadata.file_modification_time").alias("chegada"))
+        .select(
+            "value",
+            F.col("_metadata.file_modification_time").alias("chegada"),
+            F.regexp_extract("_metadata.file_path", _DELIVERY, 1).try_cast("bigint")
+            .alias("entrega"),
+        )
     )
 
 
@@ -118,10 +132,12 @@ def quarantined(items: DataFrame) -> DataFrame:
 def latest_goals(received: DataFrame) -> DataFrame:
     """Of the goals received for one year and network, the last to arrive.
 
-    Batches come first, then the arrival of files, the lines of a file, the places in a line.
+    Numbered deliveries come first, then batches, the arrival of files, the lines of a file, the
+    places in a line.  What has a number is later than what has none.
     """
     return one_per_key(
-        received, ["ano", "rede"], prefer=["lote", "chegada", "linha", "ordem"], latest=True
+        received, ["ano", "rede"], prefer=["entrega", "lote", "chegada", "linha", "ordem"],
+        latest=True,
     )
 
 
@@ -202,8 +218,8 @@ def start_goal_stream(
     bring the tables that depend on goals up to date.  A batch without usable goals calls
     nothing.
 
-    Batches take the files in the order of their arrival.  Between files of one batch that
-    arrived in the same moment the order is that of the partitions that read them.
+    Batches take the files in the order of their arrival.  Between unnumbered files of one batch
+    that arrived in the same moment the order is that of the partitions that read them.
     """
     batches: dict[int, tuple[int, int]] = {}
     # The first row of each event is its only one without an item, or its item 0.
@@ -212,7 +228,11 @@ def start_goal_stream(
     def store(batch: DataFrame, batch_id: int) -> None:
         # Numbers rise along the lines of a file, so that the later of two lines counts.
         lines = batch.withColumn("linha", F.monotonically_increasing_id())
-        items = goal_items(lines).persist()
+        used = F.col("motivo").isNull()
+        # Kept until both tables are written: of each row only the text that its table takes.
+        items = goal_items(lines).drop("item").withColumns(
+            {"value": F.when(~used, F.col("value")), "texto": F.when(used, F.col("texto"))}
+        ).persist()
         try:
             stored, refused = Observation(), Observation()
             accepted(items).observe(stored, F.count(F.lit(1)).alias("goals"), firsts) \

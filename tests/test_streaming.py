@@ -1,15 +1,26 @@
 import json
+import os
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from lettera.model import IndicatorModel
+from lettera.plans import catalog
+from lettera.plans.catalog import Workspace
 from lettera.streaming import goal_events as stream
-from tests.conftest import as_set
+from oracle.sql import ORACLE
+from tests.compare import connect, differences
+from tests.conftest import FOLDER, as_set
 
 MODEL = IndicatorModel()
 
 
+@pytest.fixture(scope="module")
+def con_events():
+    return connect(FOLDER)
+
+
 def goal(year, network="Pública", **goals):
     return {"ano": str(year), "rede": network, "taxa_alfabetizacao": "61.0"} | {
         f"meta_alfabetizacao_{y[1:]}": v for y, v in goals.items()
@@ -223,3 +234,36 @@ def test_received_goals_replace_loaded_ones(rows):
     assert as_set(out, "chave", "ano_publicacao", "meta_alfabetizacao") == {
         ("BR", 2024, 70.0), ("RS", 2024, 80.0), ("BR", 2025, 75.0),
     }
+
+
+def test_numbered_deliveries_tell_the_order(spark, tmp_path):
+    """The higher number counts, in one batch and across batches, whatever was written last."""
+    for files_per_batch in (1, 10):
+        (tmp_path / str(files_per_batch)).mkdir()
+        run = Run(spark, tmp_path / str(files_per_batch), files_per_batch=files_per_batch)
+        for at, number in enumerate((2, 10, 1)):
+            folder = run.root / "in" / f"entrega={number}"
+            folder.mkdir()
+            line = json.dumps({"metas": goal(2024, "Municipal", g2030=str(number))})
+            (folder / "part-0.txt").write_text(line)
+            os.utime(folder / "part-0.txt", (1_000_000 + at, 1_000_000 + at))
+        run()
+        goals = stream.goal_years_of(stream.latest_goals(run.received()))
+        assert as_set(goals, "ano_meta", "meta_alfabetizacao") == {(2030, 10.0)}
+
+
+def test_batches_do_not_grow_in_number_with_the_events(workspace, con_events, monkeypatch):
+    """Many files, and ids with wide gaps: few batches, and the last event still counts."""
+    wide = Workspace(workspace.spark, workspace.folder)
+    wide._tables["events"] = workspace.table("events").withColumn(
+        "event_id", F.col("event_id") * 1_000_000_001  # the same remainder by 4, which tells the year
+    )
+    monkeypatch.setattr(catalog, "EVENTS_PER_FILE", 40)
+    run, received = wide.run_events()
+    assert 1 < len(run.batches) <= catalog.EVENT_BATCHES
+    assert received.select("entrega").distinct().count() > catalog.EVENT_BATCHES
+    got = stream.latest_goals(received).select(
+        "ano", "rede",
+        F.get_json_object("item", "$.taxa_alfabetizacao").cast("double").alias("taxa_alfabetizacao"),
+    )
+    assert differences(got, con_events, ORACLE["latest_goal"]) == []
