@@ -30,7 +30,7 @@ def typed(
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     return df.withColumns(
         {c: to_int(F.col(c), c in text) for c in ints}
-        | {c: to_double(F.col(c)) for c in doubles}
+        | {c: to_double(F.col(c), c in text) for c in doubles}
     )
 
 

@@ -33,15 +33,18 @@ def unpivot_goals(df: DataFrame, level: Level, model: IndicatorModel) -> DataFra
     Goal-year columns that the table lacks are left out, further ones are ignored.
     """
     years = [y for y in model.goal_years if f"{GOAL_PREFIX}{y}" in df.columns]
-    text = dict(df.dtypes)["ano"] == "string"
+    text = {c for c, kind in df.dtypes if kind == "string"}
     ids = ["escopo", "chave", "rede", "rede_descricao", "ano_publicacao"]
     wide = df.select(
         F.lit(level.scope).alias("escopo"),
         place_key(level).alias("chave"),
         code_of(F.col("rede"), model.network_codes).alias("rede"),
         normalized_id(F.col("rede")).alias("rede_descricao"),
-        to_int(F.col("ano"), text).alias("ano_publicacao"),
-        *[to_double(F.col(f"{GOAL_PREFIX}{y}")).alias(str(y)) for y in years],
+        to_int(F.col("ano"), "ano" in text).alias("ano_publicacao"),
+        *[
+            to_double(F.col(c), c in text).alias(str(y))
+            for y in years for c in [f"{GOAL_PREFIX}{y}"]
+        ],
     )
     return (
         wide.unpivot(ids, [str(y) for y in years], "ano_meta", "meta_alfabetizacao")

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,6 +26,48 @@ def test_text_to_numbers(rows):
     assert values(df, to_double(F.col("a")))[:5] == [3.0, 3.0, 3.0, 3.7, -2.9]
 
 
+ODD = [
+    "7", "+7", "-7", "-0", " 7\t", "\n7", "7\n", "\x007\x7f", "\x1f7", "7.", ".5", "-.5", ".", "+", "",
+    " ", "1 2", "7-", "--7", "1,5", "1_0", "1e3", "1E-2", "1d", "1.5F", "0x10", "0x1p3", "NaN", "nan",
+    " NaN ", "-NaN", "inf", "+inf", "-INF", " Infinity ", "-infinity", "infinit", "N", "A", "I", "nada",
+    "\u00a07", "7\u00a0", "\u30007", "\uff17", "\u0667", "7\u0085", "\x857", "2147483647", "2147483648",
+    "-2147483648", "99999999999", "1e400", "\n+7.25 ", None,
+]
+
+
+def test_texts_left_out_are_those_that_no_cast_reads(rows):
+    """The guards before the casts change no value, on odd texts and bare characters."""
+    texts = [*ODD, *map(chr, range(256)), *(f"{chr(c)}7" for c in range(256)),
+             *(f"7{chr(c)}" for c in range(256))]
+    df = rows([(t,) for t in texts], "a string")
+    plain = F.coalesce(
+        F.col("a").try_cast("int"),
+        F.when(F.col("a").rlike(r"^\s*[+-]?[0-9]+\.[0-9]*\s*$"),
+               F.col("a").try_cast("double").try_cast("int")),
+    )
+    assert list(map(repr, values(df, to_int(F.col("a"))))) == list(map(repr, values(df, plain)))
+    assert list(map(repr, values(df, to_double(F.col("a"))))) == list(
+        map(repr, values(df, F.col("a").try_cast("double")))
+    )
+
+
+@pytest.mark.parametrize("number", [to_int, to_double])
+def test_unreadable_texts_cost_no_exception(spark, number):
+    """Decimals and words take no more than some times what whole numbers take."""
+    def seconds(text):
+        df = spark.range(0, 1_000_000, 1, 4).select(text.alias("a")).select(number(F.col("a")))
+        best = []
+        for _ in range(3):
+            begin = time.perf_counter()
+            df.write.format("noop").mode("overwrite").save()
+            best.append(time.perf_counter() - begin)
+        return min(best)
+
+    whole = seconds(F.col("id").cast("string"))
+    assert seconds(F.concat(F.lit("x"), "id")) < 5 * whole + 0.2
+    assert seconds(F.concat("id", F.lit(".5"))) < 5 * whole + 0.2
+
+
 def test_numbers_stay_numbers(rows):
     df = rows([(4, 2.9), (None, None)], "a int, b double")
     assert values(df, to_int(F.col("a"), False)) == [4, None]
