@@ -78,7 +78,7 @@ def build_silver(spark: SparkSession, layers: Layers, model: IndicatorModel) ->
     for table, (rows, checks) in tables.items():
         taken = Observation()
         write_partitioned(
-            rows, f"{layers.silver}/{table}", ["ano"],
+            rows, f"{layers.silver}/{table}", ["ano"], rebalance=False,
             measure=(taken, [c.alias(name) for name, c in checks.items()]),
         )
         found += [(table, name, taken.get.get(name, 0)) for name in checks]
@@ -89,16 +89,25 @@ def build_silver(spark: SparkSession, layers: Layers, model: IndicatorModel) ->
     build_silver_goals(spark, layers, model)
 
 
-def _goals(spark: SparkSession, layers: Layers, model: IndicatorModel) -> DataFrame:
-    """Goals of all scopes as loaded, with the received ones in the place of the country's."""
+def _goals(
+    spark: SparkSession, layers: Layers, model: IndicatorModel, scopes: Sequence[str] | None = None
+) -> DataFrame:
+    """Goals of all scopes as loaded, with the received ones in the place of the country's.
+
+    ``scopes`` leaves out the others, before goals are compared.
+    """
     states, municipalities, country = (
         scan(spark, f"{layers.bronze}/meta_alfabetizacao_{scope}")
         for scope in ("uf", "municipio", "brasil")
     )
     goals = silver.silver_goals(states, municipalities, country, model)
+    if scopes is not None:
+        goals = goals.where(F.col("escopo").isin(*scopes))
     if not layers.received_goals:
         return goals
     streamed = streamed_goals(read_received(spark, layers.received_goals), model)
+    if scopes is not None:
+        streamed = streamed.where(F.col("escopo").isin(*scopes))
     return silver.stamped_goals(with_streamed_goals(goals, streamed))
 
 
@@ -113,7 +122,8 @@ def rebuild_goal_scopes(
 ) -> None:
     """Write the goals of some scopes anew; the others keep their files."""
     replace_partitions(
-        _goals(spark, layers, model), f"{layers.silver}/meta_alfabetizacao", "escopo", scopes
+        _goals(spark, layers, model, scopes), f"{layers.silver}/meta_alfabetizacao", "escopo",
+        scopes,
     )
 
 
@@ -140,7 +150,7 @@ def build_goal_dependent(spark: SparkSession, layers: Layers, model: IndicatorMo
     def store(kind: str, level: Level, df: DataFrame) -> DataFrame:
         path = f"{layers.gold}/{kind}_{level.scope}"
         # A year of states or of the country is a handful of rows; municipalities may be many.
-        return write_partitioned(df, path, ["ano"], one_file=level.few_rows)
+        return write_partitioned(df, path, ["ano"], one_file=level.few_rows, rebalance=False)
 
     def store_level(level: Level, indicator: DataFrame) -> DataFrame:
         written = store("indicador", level, indicator)
@@ -160,7 +170,7 @@ def build_features(spark: SparkSession, layers: Layers, model: IndicatorModel) -
     pupils = scan(spark, f"{layers.silver}/alunos")
     places = scan(spark, f"{layers.silver}/municipio")
     features = gold.pupil_features(pupils, places, model)
-    write_partitioned(features, f"{layers.gold}/ml_aluno", ["ano"])
+    write_partitioned(features, f"{layers.gold}/ml_aluno", ["ano"], rebalance=False)
 
 
 def quality_tables(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
@@ -261,7 +271,8 @@ def refresh_after_batch(
 
     def renew(kind: str, level: Level, df: DataFrame) -> None:
         replace_partitions(
-            df, f"{layers.gold}/{kind}_{level.scope}", "ano", years, one_file=level.few_rows
+            df, f"{layers.gold}/{kind}_{level.scope}", "ano", years,
+            one_file=level.few_rows, rebalance=False,
         )
 
     of_years = parts.where(F.col("ano_referencia").isin(*years))

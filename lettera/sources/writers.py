@@ -14,6 +14,7 @@ def write_partitioned(
     partitions: Sequence[str],
     *,
     one_file: bool = False,
+    rebalance: bool = True,
     replace: str = "static",
     measure: tuple[Observation, Sequence[Column]] | None = None,
 ) -> DataFrame:
@@ -23,13 +24,21 @@ def write_partitioned(
     each value.  Otherwise rows are rebalanced by partition value, where Spark cuts a value
     that is too large for one task into several files and merges small ones.
 
+    ``rebalance=False`` is for large tables whose rows come out of a shuffle already, dealt by a key
+    other than the partitions: the tasks that hold them write them, each a file per value it has,
+    and the whole table is not shuffled once more.
+
     ``replace="dynamic"`` leaves partition values alone that the new data does not contain.
 
     ``measure`` takes aggregates of the rows while they are written.  They are taken after the
     rows were arranged, in the writing tasks: what a task counts is counted once there, even if
     executors are lost, whereas a task before a shuffle may run and count again.
     """
-    arranged = df.repartition(*partitions) if one_file else df.hint("rebalance", *partitions)
+    arranged = df
+    if one_file:
+        arranged = df.repartition(*partitions)
+    elif rebalance:
+        arranged = df.hint("rebalance", *partitions)
     if measure:
         arranged = arranged.observe(measure[0], *measure[1])
     (
@@ -43,7 +52,8 @@ def write_partitioned(
 
 
 def replace_partitions(
-    df: DataFrame, path: str, column: str, values: Sequence[str | int], *, one_file: bool = False
+    df: DataFrame, path: str, column: str, values: Sequence[str | int], *,
+    one_file: bool = False, rebalance: bool = True,
 ) -> None:
     """Give a table new rows for some values of its partition column; other values keep their files.
 
@@ -58,7 +68,7 @@ def replace_partitions(
     counted = Observation()
     rows = df.where(F.col(column).isin(*values))
     write_partitioned(
-        rows, path, [column], one_file=one_file, replace="dynamic",
+        rows, path, [column], one_file=one_file, rebalance=rebalance, replace="dynamic",
         measure=(counted, [F.count_if(F.col(column) == v).alias(str(v)) for v in values]),
     )
     for value in values:

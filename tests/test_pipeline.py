@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from lettera.plans.pipeline import (
     CATALOG_TABLES,
     Layers,
+    _goals,
+    build_features,
+    build_silver,
     load_bronze,
     quality_tables,
     refresh_after_batch,
@@ -262,3 +265,38 @@ def test_replaced_partitions(spark, rows, tmp_path):
     replace_partitions(new, path, "k", [])
     with pytest.raises(ValueError, match="plain partition value"):
         replace_partitions(new, path, "k", ["x/y"])
+
+
+def test_large_tables_are_written_where_their_rows_are(spark, workspace, tmp_path):
+    """A task that holds rows of several years writes them all: no shuffle by year before it."""
+    layers = Layers(*(str(tmp_path / n) for n in ("bronze", "silver", "gold")))
+    load_bronze(workspace.sources(), layers)
+    as_they_are = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(as_they_are, "false")
+    try:
+        build_silver(spark, layers, MODEL)
+        build_features(spark, layers, MODEL)
+    finally:
+        spark.conf.unset(as_they_are)
+    tasks = {
+        (table, year.name): {f.name.split("-")[1] for f in year.glob("*.parquet")}
+        for table in ("silver/alunos", "silver/municipio")
+        for year in (tmp_path / table).glob("ano=*")
+    }
+    shared = {table: [t for (of, _), t in tasks.items() if of == table] for table, _ in tasks}
+    assert all(len(set.union(*years)) < sum(map(len, years)) for years in shared.values())
+    assert gold(spark, layers, "ml_aluno").count() == (
+        spark.read.parquet(f"{layers.silver}/alunos").where("alfabetizado IS NOT NULL").count()
+    )
+
+
+def test_scopes_left_alone_are_not_read(spark, layers):
+    """Only the country's goals are rebuilt, so the others are no part of the plan."""
+    whole = _goals(spark, layers, MODEL).drop("processed_at")
+    country = _goals(spark, layers, MODEL, ["brasil"]).drop("processed_at")
+    assert country.exceptAll(whole.where("escopo = 'brasil'")).isEmpty()
+    assert whole.where("escopo = 'brasil'").exceptAll(country).isEmpty()
+    plan = country._jdf.queryExecution().optimizedPlan().toString()
+    assert "'municipio'" not in plan and "AS escopo" in plan
+    read = {f.split("/")[-2] for f in country.inputFiles()}
+    assert read and "meta_alfabetizacao_municipio" not in plan
