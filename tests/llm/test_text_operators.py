@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from html.parser import HTMLParser
@@ -331,6 +332,54 @@ def test_benchmark_items_are_found(spark, docs, none):
     assert decontaminate.decontaminated(none, bench).count() == 0
 
 
+def test_recall_of_the_index_against_brute_force(spark, monkeypatch):
+    """The space is fitted to a few documents, all are searched: against every passage being looked at."""
+    monkeypatch.setattr(decontaminate, "FIT_DOCS", 60)
+    folder = "/root/testdata/sf0.01"
+    docs, bench = (
+        spark.read.parquet(f"{folder}/{name}.parquet").select(key, "text").where(f"{key} IS NOT NULL")
+        for name, key in (("documents", "doc_id"), ("benchmark", "item_id"))
+    )
+    got = {tuple(r) for r in decontaminate.contaminated(docs, bench).select("doc_id", "item_id").collect()}
+
+    def hashes(df):
+        rows = df.toArrow()
+        return zip(rows.column(0).to_pylist(),
+                   decontaminate.hashed(rows.column(1).combine_chunks().fill_null("")), strict=True)
+
+    items = [(i, ws) for i, ws in hashes(bench) if len(ws)]
+    weights = np.ones(decontaminate.FEATURES, np.float32)
+    texts = [(i, ws) for i, ws in hashes(docs) if len(ws)]
+    for _, ws in texts:
+        weights[np.unique(ws % decontaminate.FEATURES)] += 1
+    weights = np.log((len(texts) + 1) / weights).astype(np.float32) + np.float32(0.05)
+    # No space and no least cosine: a part is compared wherever a passage begins.
+    monkeypatch.setattr(decontaminate, "COSINE", -2.0)
+    every = decontaminate.Items(
+        [i for i, _ in items], [ws for _, ws in items], weights, np.zeros((decontaminate.FEATURES, 1), np.float32)
+    )
+    all_pairs = {(i, every.ids[m[0]]) for i, ws in texts for m in every.matches(ws)}
+    assert len(texts) > 5 * decontaminate.FIT_DOCS and len(all_pairs) > 20
+    assert len(got & all_pairs) >= 0.9 * len(all_pairs)
+    print("recall", len(got & all_pairs), "of", len(all_pairs), "found in all", len(got))
+
+
+def test_the_driver_holds_little_beside_the_space(spark):
+    """The products of the passages are worked on in blocks: no double copy of a whole matrix."""
+    rows = [(np.arange(i, i + 300, dtype="<u4").tobytes(), 1.0) for i in range(0, 60_000, 300)]
+    df = spark.createDataFrame(rows, "words binary, weight double").repartition(2)
+    whole = decontaminate.FEATURES * (decontaminate.RANK + decontaminate.EXTRA)
+    tracemalloc.start()
+    try:
+        basis = decontaminate.singular_vectors(df, np.ones(decontaminate.FEATURES, np.float32), decontaminate.RANK)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert basis.shape == (decontaminate.FEATURES, decontaminate.RANK) and np.isfinite(basis).all()
+    print("peak MB", peak / 1e6)
+    assert peak < 5 * 4 * whole
+
+
 def test_parts_of_long_items_are_found(spark):
     rng = random.Random(13)
     items = [(i, words(rng, n, 3000)) for i, n in enumerate([300, 300, 800, 40])]
