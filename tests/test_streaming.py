@@ -3,6 +3,7 @@ import os
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from lettera.model import IndicatorModel
@@ -267,3 +268,25 @@ def test_batches_do_not_grow_in_number_with_the_events(workspace, con_events, mo
         F.get_json_object("item", "$.taxa_alfabetizacao").cast("double").alias("taxa_alfabetizacao"),
     )
     assert differences(got, con_events, ORACLE["latest_goal"]) == []
+
+
+@pytest.mark.parametrize("name", ["stream_ingest"])
+def test_queries_on_the_stream_take_all_events_in_few_steps(spark, con_events, monkeypatch, name):
+    """Of a hundred files, one write deals all and five batches take all in."""
+    runs, written = [], []
+    start, text = stream.start_goal_stream, DataFrameWriter.text
+
+    def start_noted(*args):
+        runs.append(start(*args))
+        return runs[-1]
+
+    def text_noted(writer, path):
+        written.append(path)
+        text(writer, path)
+
+    monkeypatch.setattr(stream, "start_goal_stream", start_noted)
+    monkeypatch.setattr(DataFrameWriter, "text", text_noted)
+    monkeypatch.setattr(catalog, "EVENTS_PER_FILE", 10)
+    got = catalog.QUERIES[name](spark, FOLDER)
+    assert differences(got, con_events, ORACLE[name]) == []
+    assert (len(written), [len(run.batches) for run in runs]) == (1, [5])
