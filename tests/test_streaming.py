@@ -270,7 +270,7 @@ def test_batches_do_not_grow_in_number_with_the_events(workspace, con_events, mo
     assert differences(got, con_events, ORACLE["latest_goal"]) == []
 
 
-@pytest.mark.parametrize("name", ["stream_ingest", "stream_acknowledgement"])
+@pytest.mark.parametrize("name", ["stream_ingest", "stream_acknowledgement", "latest_goal"])
 def test_queries_on_the_stream_take_all_events_in_few_steps(spark, con_events, monkeypatch, name):
     """Of a hundred files, one write deals all and five batches take all in."""
     runs, written = [], []
