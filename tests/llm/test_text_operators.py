@@ -364,6 +364,103 @@ def test_recall_of_the_index_against_brute_force(spark, monkeypatch):
     print("recall", len(got & all_pairs), "of", len(all_pairs), "found in all", len(got))
 
 
+def fitted_rows(monkeypatch):
+    """What each later call of ``singular_vectors`` is fitted to: words and weight of its rows."""
+    rows, fit = [], decontaminate.singular_vectors
+
+    def kept(words, weights, rank):
+        rows.append([(bytes(r["words"]), r["weight"]) for r in words.collect()])
+        return fit(words, weights, rank)
+
+    monkeypatch.setattr(decontaminate, "singular_vectors", kept)
+    return rows
+
+
+def test_the_space_is_fitted_to_all_texts_and_items(spark, monkeypatch):
+    """However many there are; items keep the share that they have among FIT_DOCS texts and items."""
+    monkeypatch.setattr(decontaminate, "FIT_DOCS", 10)
+    monkeypatch.setattr(decontaminate, "FIT_WORDS", 500)
+    rows = fitted_rows(monkeypatch)
+    rng = random.Random(31)
+    docs = [(i, words(rng, 1 + i % 90)) for i in range(70)] + [(0, "a b"), (None, "a b"), (71, None), (72, " . ")]
+    items = [(i, words(rng, 20)) for i in range(20)] + [(0, "c d"), (21, "")]
+    found = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(7),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    assert found.count() == 0
+
+    def hashes(texts):
+        return [ws.tobytes() for ws in decontaminate.hashed(common.pa.array([t or "" for _, t in texts])) if len(ws)]
+
+    weight = decontaminate.ITEM_WEIGHT * (72 / 10) / (21 / 10)
+    expected = [(ws, 1.0) for ws in hashes(docs)] + [(ws, weight) for ws in hashes(items)]
+    assert len(expected) == 72 + 21 and [sorted(r) for r in rows] == [sorted(expected)]
+
+
+def test_products_of_all_passages(monkeypatch):
+    """Texts of all lengths, long ones in pieces, against one passage after the other."""
+    for n in range(1, 70_000, 7):
+        found = [a + x for a, b in decontaminate.pieces(n) for x in decontaminate.starts(b - a).tolist()]
+        assert found == decontaminate.starts(n).tolist()
+    monkeypatch.setattr(decontaminate, "CHUNK", 60)
+    monkeypatch.setattr(decontaminate, "FIT_BLOCK", 3000)
+    rng = np.random.default_rng(41)
+    texts = [rng.zipf(1.3, n).astype("<u4") for n in range(1, 200)]
+    weight = rng.random(len(texts))
+    weights = rng.random(decontaminate.FEATURES).astype(np.float32)
+    basis = rng.standard_normal((decontaminate.FEATURES, 3)).astype(np.float32)
+    brute = np.zeros(basis.shape)
+    for ws, w in zip(texts, weight, strict=True):
+        for at in decontaminate.starts(len(ws)):
+            feature = ws[at : at + decontaminate.PASSAGE] % decontaminate.FEATURES
+            product = (basis[feature] * weights[feature, None]).sum(axis=0, dtype=float)
+            np.add.at(brute, feature, w * weights[feature, None] * product)
+    batch = common.pa.record_batch({"words": [t.tobytes() for t in texts], "weight": weight})
+    total, blocks = np.zeros(basis.shape, np.float32), list(decontaminate._fit_blocks([batch]))
+    for block in blocks:
+        decontaminate._add_products(total, *block, basis * weights[:, None])
+    assert len(blocks) > 3
+    assert np.allclose(total * weights[:, None], brute, rtol=1e-4, atol=1e-4 * abs(brute).max())
+
+
+def test_singular_vectors_are_those_of_the_passages(spark):
+    """Of 30 different words, fewer than the columns of the random matrix, so nothing is approximate."""
+    rng = np.random.default_rng(43)
+    texts = [rng.integers(0, 30, n).astype("<u4") for n in rng.integers(1, 400, 80)]
+    weight = rng.choice([1.0, 5.0], len(texts))
+    weights = rng.random(decontaminate.FEATURES).astype(np.float32)
+    rows = []
+    for ws, w in zip(texts, weight, strict=True):
+        for at in decontaminate.starts(len(ws)):
+            count = np.bincount(ws[at : at + decontaminate.PASSAGE], minlength=30)
+            rows.append(count * weights[:30] * w ** 0.5)
+    size = np.linalg.svd(np.array(rows), compute_uv=False)
+    df = spark.createDataFrame(
+        [(t.tobytes(), float(w)) for t, w in zip(texts, weight, strict=True)], "words binary, weight double"
+    ).repartition(5)
+    basis = decontaminate.singular_vectors(df, weights, 20)
+    assert basis.shape == (decontaminate.FEATURES, 20) and not basis[30:].any()
+    # Each is divided by its singular value; together they hold as much of the matrix as any so many can.
+    product = np.array(rows) @ basis[:30]
+    assert np.allclose(product.T @ product, np.eye(20), atol=0.02)
+    held = np.linalg.norm(np.array(rows) @ np.linalg.qr(basis[:30])[0]) ** 2 / np.sum(size[:20] ** 2)
+    print("held", held)
+    assert held > 0.999
+
+
+def test_words_of_odd_texts():
+    rng = random.Random(47)
+    signs = " \t\n\r\x0b\x0c\x1c\x85\xa0\u2003\u3000aAbÉéßΣς_09٣-,.'«漢字\U0001F600\u0301"
+    texts = ["", " ", "a", " . "] + ["".join(rng.choices(signs, k=rng.randrange(50))) for _ in range(2500)]
+    found = decontaminate.hashed(common.pa.array(texts))
+    whole = common.pa.compute.split_pattern_regex(
+        common.pa.compute.utf8_lower(common.pa.array(texts)), decontaminate.WORD_BREAK
+    )
+    for ws, expected in zip(found, whole.to_pylist(), strict=True):
+        assert ws.tolist() == [zlib.crc32(w.encode()) for w in expected if w]
+
+
 def test_the_driver_holds_little_beside_the_space(spark):
     """The products of the passages are worked on in blocks: no double copy of a whole matrix."""
     rows = [(np.arange(i, i + 300, dtype="<u4").tobytes(), 1.0) for i in range(0, 60_000, 300)]
