@@ -949,3 +949,17 @@ def test_pipeline_stages(spark, docs):
         assert out.columns == table.columns, name
         assert out.count() <= table.count()
         table = out
+
+
+def test_the_pipeline_fits_its_space_to_all_rows(spark, docs, monkeypatch):
+    """Of documents with null and repeated ids, of which one repeats as a whole, and of all of the benchmark."""
+    import corpus_pipeline
+
+    monkeypatch.setattr(decontaminate, "FIT_DOCS", 3)
+    rows = fitted_rows(monkeypatch)
+    kept = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, SF)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+    n_items = common.table(spark, SF, "benchmark").count()
+    weight = decontaminate.ITEM_WEIGHT * 9 / n_items
+    assert [Counter(w for _, w in r) for r in rows] == [Counter({1.0: 9, weight: n_items})]
+    assert max(len(ws) for ws, _ in rows[0]) == 4 * 30_000
